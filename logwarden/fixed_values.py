@@ -120,3 +120,9 @@ LOF_DENSITY_FLOOR = 1e-10
 SCATTER_SAMPLE_ROWS = 6000
 SCATTER_SAMPLE_SEED = 1
 ALERT_QUEUE_ROWS = 500
+
+CRITICAL_MESSAGE = (
+    "SECURITY ALERT CRITICAL: %d critical threats detected from %d unique IPs. "
+    "Top IP: %s (score: %d)"
+)
+QUIET_MESSAGE = "No critical threats. HIGH=%d MEDIUM=%d"

@@ -53,6 +53,47 @@ def _density(distance: np.ndarray, kth_of_neighbor: np.ndarray) -> np.ndarray:
     return 1.0 / (reach.mean(axis=1) + V.LOF_DENSITY_FLOOR)
 
 
+class _References:
+    """The reference rows, broadcast, and a column that finds a row's neighbours among them."""
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], neighbors: int, rows: int, seed: int, total: int | None):
+        self.columns = columns = list(columns)
+        sample = hash_sample(df.select("row_id", *columns), rows, seed, total)
+        picked = sample.toPandas().sort_values("row_id", ignore_index=True)
+        self.frame = picked
+        self.k = k = min(neighbors, len(picked) - 1)
+        self.points = points = df.sparkSession.sparkContext.broadcast(
+            (pd.Index(picked["row_id"]), picked[columns].to_numpy(dtype=float)))
+
+        def neighborhood(batch: pd.DataFrame) -> pd.DataFrame:
+            keys, reference = points.value
+            own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
+            found = [nearest(rows[b], own[b], reference, k) for b in _blocks(len(rows), len(reference))]
+            position, distance = (list(np.vstack(part)) for part in zip(*found))
+            neighbor = [keys.take(p).to_numpy() for p in position]
+            return pd.DataFrame({"position": position, "neighbor": neighbor, "distance": distance})
+
+        key_type = df.schema["row_id"].dataType.simpleString()
+        self.neighborhood = F.pandas_udf(
+            neighborhood, f"position array<long>, neighbor array<{key_type}>, distance array<double>")
+
+    def of(self, df: DataFrame) -> DataFrame:
+        return df.select("row_id", self.neighborhood(F.struct("row_id", *self.columns)).alias("n")).select("row_id", "n.*")
+
+
+def nearest_rows(
+    df: DataFrame, columns: Sequence[str], neighbors: int, reference_rows: int = REFERENCE_ROWS,
+    seed: int = LOF_SEED, total: int | None = None,
+) -> DataFrame:
+    """(row_id, rank, neighbor_id, distance): the nearest reference rows of every row."""
+    references = _References(df, columns, neighbors, reference_rows, seed, total)
+    pairs = F.array_sort(F.arrays_zip("distance", "neighbor"))
+    ordered = references.of(df).select("row_id", F.posexplode(pairs).alias("rank", "p"))
+    return ordered.select(
+        "row_id", (F.col("rank") + 1).alias("rank"),
+        F.col("p.neighbor").alias("neighbor_id"), F.col("p.distance").alias("distance"))
+
+
 def lof_score(
     df: DataFrame,
     columns: Sequence[str] = V.FEATURE_COLUMNS,
@@ -63,42 +104,22 @@ def lof_score(
 ) -> Column:
     """Negative factor of a row of ``df``: about -1 for inliers, lower for outliers."""
     columns, spark = list(columns), df.sparkSession
-    sample = hash_sample(df.select("row_id", *columns), reference_rows, seed, total)
-    picked = sample.toPandas().sort_values("row_id", ignore_index=True)
-    k = min(neighbors, len(picked) - 1)
+    references = _References(df, columns, neighbors, reference_rows, seed, total)
+    k, points = references.k, references.points
     if k < 1:
         return F.lit(-1.0)
-    reference, keys = picked[columns].to_numpy(dtype=float), pd.Index(picked["row_id"])
-    points = spark.sparkContext.broadcast((keys, reference))
-
-    # The neighbourhoods of the reference rows, computed by tasks as well.
-    def neighborhood(batch: pd.DataFrame) -> pd.DataFrame:
-        keys, reference = points.value
-        own = keys.get_indexer(batch["row_id"])
-        found = [
-            nearest(reference[own[b]], own[b], reference, k)
-            for b in _blocks(len(batch), len(reference))
-        ]
-        position, distance = (list(np.vstack(part)) for part in zip(*found))
-        return pd.DataFrame({"position": position, "distance": distance})
-
-    find = F.pandas_udf(neighborhood, "position array<long>, distance array<double>")
-    slots = max(min(spark.sparkContext.defaultParallelism, len(picked)), 1)
-    around = (
-        spark.createDataFrame(picked[["row_id"]]).repartition(slots, "row_id")
-        .select("row_id", find(F.struct("row_id")).alias("n")).select("row_id", "n.*")
-        .toPandas().sort_values("row_id")
-    )
+    # The reference rows' own neighbourhoods are found by tasks too.
+    slots = max(min(spark.sparkContext.defaultParallelism, len(references.frame)), 1)
+    around = (references.of(spark.createDataFrame(references.frame).repartition(slots, "row_id"))
+              .toPandas().sort_values("row_id"))
     position, distance = np.vstack(around["position"]), np.vstack(around["distance"])
     kth = distance.max(axis=1)
-    density = _density(distance, kth[position])
-    model = spark.sparkContext.broadcast((kth, density))
+    model = spark.sparkContext.broadcast((kth, _density(distance, kth[position])))
 
     def factor(batch: pd.DataFrame) -> pd.Series:
         keys, reference = points.value
         kth, density = model.value
-        own = keys.get_indexer(batch["row_id"])
-        rows = batch[columns].to_numpy(dtype=float)
+        own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
         result = np.empty(len(rows))
         for block in _blocks(len(rows), len(reference)):
             position, distance = nearest(rows[block], own[block], reference, k)

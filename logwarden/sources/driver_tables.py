@@ -62,16 +62,16 @@ def _full_fraction(time: Column) -> Column:
     return F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
 
 
-def access_log(spark: SparkSession, sf_dir: str, clock: str = "event") -> DataFrame:
-    """The ``events`` table as a raw access log with a ``row_id``; see the module notes."""
-    events = read_table(spark, sf_dir, "events")
+def as_access_log(events: DataFrame, clock: str = "event") -> DataFrame:
+    """Events as a raw access log with a ``row_id`` and ``batch_id``, the day of the event
+    (one micro-batch per day); see the module notes. Works on streams too."""
     event_id, event_type = F.col("event_id"), F.col("event_type")
     time = burst_time(F.col("ts")) if clock == "burst" else F.col("ts")
     failed_signup = (event_type == "signup") & (event_id % 3 == 0)
     return events.select(
         event_id.alias("row_id"),
-        F.when(event_id % 97 == 0, "n/a")
-        .otherwise(_full_fraction(time)).alias("timestamp"),
+        F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("batch_id"),
+        F.when(event_id % 97 == 0, "n/a").otherwise(_full_fraction(time)).alias("timestamp"),
         F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("ip_address"),
         F.when(event_type.isin("signup", "purchase"), "POST").otherwise("GET").alias("method"),
         _url(event_id, event_type, F.col("props")).alias("url"),
@@ -89,3 +89,13 @@ def access_log(spark: SparkSession, sf_dir: str, clock: str = "event") -> DataFr
         .when(event_id % 50 == 7, "account_takeover")
         .otherwise("normal").alias("attack_type"),
     )
+
+
+def access_log(spark: SparkSession, sf_dir: str, clock: str = "event") -> DataFrame:
+    return as_access_log(read_table(spark, sf_dir, "events"), clock)
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table followed as a file stream."""
+    schema = read_table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
