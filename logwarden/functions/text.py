@@ -22,14 +22,18 @@ def lowered(text: Column) -> Column:
     return F.lower(F.coalesce(text, F.lit("")))
 
 
+def _matched(value: Column, pattern: str, group: int) -> Column:
+    """Matched text or NULL. An empty text would do too, but each failing try_cast costs
+    a Java exception, so the common misses are kept away from it."""
+    return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
+
+
 def parse_event_time(timestamp: Column) -> Column:
     """Wall-clock time of ``yyyy-MM-dd HH:mm:ss[.ffffff]`` text, NULL for anything else.
 
     TIMESTAMP_NTZ keeps the result independent of the session time zone.
     """
-    return F.when(
-        timestamp.rlike(V.TIMESTAMP_PATTERN), timestamp.try_cast("timestamp_ntz")
-    )
+    return _matched(timestamp, V.TIMESTAMP_PATTERN, 0).try_cast("timestamp_ntz")
 
 
 def is_bot(user_agent: Column) -> Column:
@@ -60,7 +64,7 @@ def has_suspicious_params(url: Column, tokens: Sequence[str] = V.SUSPICIOUS_TOKE
 
 def trailing_id(path: Column) -> Column:
     """Number after the last slash; NULL without one or when it exceeds a long."""
-    return F.regexp_extract(path, r"/(\d+)$", 1).try_cast("long")
+    return _matched(path, r"/(\d+)$", 1).try_cast("long")
 
 
 def is_post_login(path: Column, method: Column) -> Column:

@@ -18,9 +18,7 @@ def epoch_micros(time: Column) -> Column:
 
 def wall_clock(micros: Column) -> Column:
     """The TIMESTAMP_NTZ that lies ``micros`` after 1970."""
-    seconds = (micros.cast("decimal(20,0)") / F.lit(MICROS).cast("decimal(7,0)")).cast("decimal(18,6)")
-    zero = F.lit(0)
-    return F.lit(_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 def interval_seconds(later: Column, earlier: Column) -> Column:

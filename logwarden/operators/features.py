@@ -21,7 +21,7 @@ from logwarden import fixed_values as V
 from logwarden.functions import text
 from logwarden.functions.scoring import guarded_ratio
 from logwarden.functions.timekeys import MICROS, epoch_micros, interval_seconds
-from logwarden.operators.hot_features import find_hot_addresses, hot_features
+from logwarden.operators.hot_features import NULL_ADDRESS, find_hot_addresses, hot_features
 
 HOT_ROWS = 1_000_000
 
@@ -37,7 +37,7 @@ def log_features(clean: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame
     ``hot_rows=None`` skips the look for hot addresses (one narrow pre-aggregated pass).
     """
     rows = _prepared(clean)
-    hot = find_hot_addresses(rows, hot_rows) if hot_rows is not None else None
+    hot = find_hot_addresses(clean, rows, hot_rows) if hot_rows is not None else None
     if hot is None:
         return _finished(_windowed(rows), clean)
     cold = rows.join(F.broadcast(hot), KEY, "left_anti")
@@ -48,8 +48,7 @@ def log_features(clean: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame
 def _prepared(clean: DataFrame) -> DataFrame:
     path = F.col("base_url")
     return clean.filter(F.col("event_time").isNotNull()).withColumns({
-        # NULL addresses form one group, as they would in a window.
-        KEY: F.coalesce(F.col("ip_address"), F.lit("\u0000")),
+        KEY: F.coalesce(F.col("ip_address"), F.lit(NULL_ADDRESS)),
         AT: epoch_micros(F.col("event_time")),
         NUM: text.trailing_id(path),
         POST: text.is_post_login(path, F.col("method")),
@@ -69,7 +68,7 @@ def run_flags(rows: DataFrame, *part: str, only_url: tuple[Column, ...] = (),
     """
     hour, day = V.HOUR_SECONDS * MICROS, V.DAY_SECONDS * MICROS
     by_url = W.partitionBy(*part, "base_url", *only_url).orderBy(AT)
-    by_session = W.partitionBy(*part, "session_id", *only_session).orderBy(AT)
+    by_session = W.partitionBy(*part, "session_id", *only_session).orderBy(AT, "row_id")
     by_key = W.partitionBy(*part, *only_key).orderBy(AT, "row_id")
     at = F.col(AT)
     has_path = F.col("base_url").isNotNull()

@@ -28,23 +28,34 @@ from logwarden.operators.durable import durable
 # The hot list is collected and broadcast, so it is kept this short. Addresses beyond it
 # stay on the plain path, where each holds less than 1/MAX_HOT of all rows.
 MAX_HOT = 10_000
+# Stands for the missing address, whose requests form one group as in any window.
+NULL_ADDRESS = "\u0000"
 
 TOTALS = ["_n60", "_n300", "_n1800", "_post300", "_err300", "_susp1800",
           "_size3600", "_sized3600", "_urls3600"]
 
 
-def find_hot_addresses(rows: DataFrame, hot_rows: int) -> DataFrame | None:
-    """(address, first time, block width) of addresses with more than ``hot_rows`` rows."""
-    counts = rows.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last"))
-    busiest = counts.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), "_key").limit(MAX_HOT).collect()
+def find_hot_addresses(clean: DataFrame, rows: DataFrame, hot_rows: int) -> DataFrame | None:
+    """(address, first time, block width) of addresses with more than ``hot_rows`` rows.
+
+    The first pass reads the address column alone and usually finds nothing; only then
+    are the times of the few hot addresses looked at.
+    """
+    key = F.coalesce(F.col("ip_address"), F.lit(NULL_ADDRESS)).alias("_key")
+    busiest = (clean.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+               .orderBy(F.desc("n"), "_key").limit(MAX_HOT).collect())
     if not busiest:
         return None
+    names = clean.sparkSession.createDataFrame([(r["_key"],) for r in busiest], "_key string")
+    spans = rows.join(F.broadcast(names), "_key").groupBy("_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last")).collect()
+    if not spans:
+        return None
     listed = []
-    for r in busiest:
+    for r in spans:
         blocks = -(-r.n // max(hot_rows, 1))
         listed.append((r["_key"], r["first"], max((r["last"] - r["first"]) // blocks, 1)))
-    return rows.sparkSession.createDataFrame(listed, "_key string, _first long, _width long")
+    return clean.sparkSession.createDataFrame(listed, "_key string, _first long, _width long")
 
 
 def hot_features(rows: DataFrame, hot: DataFrame, run_flags: Callable[..., DataFrame]) -> DataFrame:

@@ -57,9 +57,8 @@ def _url(event_id: Column, event_type: Column, props: Column) -> Column:
 
 
 def _full_fraction(time: Column) -> Column:
-    """Text of a wall-clock time with six fraction digits, free of any time zone."""
-    text = time.cast("string")
-    return F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
+    """Text of a wall-clock time with six fraction digits."""
+    return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 def as_access_log(events: DataFrame, clock: str = "event") -> DataFrame:
@@ -98,4 +97,5 @@ def access_log(spark: SparkSession, sf_dir: str, clock: str = "event") -> DataFr
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table followed as a file stream."""
     schema = read_table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # A pattern, because a file source takes a plain path for a directory.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")

@@ -6,8 +6,6 @@ again after a failure replaces its earlier output instead of adding to it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +24,13 @@ STATE_SCHEMA = T.StructType(
     + [T.StructField("window", T.ArrayType(_MOMENTS))])
 
 
-@dataclass(frozen=True)
 class AlertStream:
     """Where the stream keeps its alerts and its per-batch state (metrics and baseline)."""
 
-    root: str
+    def __init__(self, root: str) -> None:
+        self.root = root
+        # The window the last batch left, to spare a read; after a restart it is read back.
+        self._left: tuple[int, list[tuple]] = (-1, [])
 
     @property
     def alerts_path(self) -> str:
@@ -56,11 +56,12 @@ class AlertStream:
         state = [(*[found[name] for name in METRIC_NAMES], window)]
         (spark.createDataFrame(state, STATE_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}"))
+        self._left = (batch_id, window)
 
     def _window_before(self, spark: SparkSession, batch_id: int) -> list[tuple]:
         """Moments of up to ten earlier batches, from the row the previous batch left."""
-        if batch_id == 0:
-            return []
+        if self._left[0] == batch_id - 1:
+            return self._left[1]
         path = f"{self.state_path}/batch_id={batch_id - 1}"
         try:
             row = spark.read.schema(STATE_SCHEMA).parquet(path).select("window").first()
