@@ -104,7 +104,9 @@ def _windowed(rows: DataFrame) -> DataFrame:
 
     minute, five = V.MINUTE_SECONDS, V.FIVE_MINUTES_SECONDS
     half, hour = V.HALF_HOUR_SECONDS, V.HOUR_SECONDS
-    rows = run_flags(rows, KEY).withColumn("_one", F.lit(1))
+    # Grouped by address once; the finer groups of the flags lie within it. Left to itself
+    # the planner would shuffle anew for each of them.
+    rows = run_flags(rows.repartition(KEY), KEY).withColumn("_one", F.lit(1))
     return rows.withColumns({
         "_n60": trailing("_one", minute),
         "_n300": trailing("_one", five),
