@@ -1,8 +1,9 @@
-"""Local Outlier Factor (Breunig, Kriegel, Ng, Sander 2000) against a reference set.
+"""Local Outlier Factor (Breunig, Kriegel, Ng, Sander 2000).
 
-Every row is compared with ``reference_rows`` rows chosen by key hash, so the work grows
-linearly with the table and the broadcast model keeps its size whatever the table holds.
-With at least as many reference rows as rows, the result is the exact in-sample factor.
+``exact_lof`` finds every row's neighbours among all rows with a distributed join.
+``lof_score`` compares every row with ``reference_rows`` rows chosen by key hash instead:
+its work grows linearly with the table and its model keeps its size whatever the table
+holds. With at least as many reference rows as rows, both give the same.
 
 Distances are Euclidean, rounded to nine places; equal ones are taken in key order, so
 each row has exactly ``neighbors`` neighbours and the result does not depend on
@@ -19,33 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
+from logwarden.operators.durable import durable
+from logwarden.operators.neighbors import blocks, first_copies, nearest, nearest_neighbors
 from logwarden.operators.sampling import hash_sample
 
 REFERENCE_ROWS = 4096
 LOF_SEED = 42
-# Cells of one distance block; bounds a task's memory whatever the batch size is.
-_BLOCK_CELLS = 2_000_000
-
-
-def nearest(points: np.ndarray, own: np.ndarray, reference: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and distances of the k nearest reference rows; ``own`` is a row's own position or -1."""
-    squared = np.zeros((len(points), len(reference)))
-    for column in range(reference.shape[1]):
-        squared += (points[:, column, None] - reference[None, :, column]) ** 2
-    distance = np.round(np.sqrt(squared), 9)
-    inside = np.flatnonzero(own >= 0)
-    distance[inside, own[inside]] = np.inf
-    kth = np.partition(distance, k - 1, axis=1)[:, k - 1, None]
-    closer, tied = distance < kth, distance == kth
-    room = k - closer.sum(axis=1, keepdims=True)
-    chosen = closer | (tied & (np.cumsum(tied, axis=1) <= room))
-    position = np.nonzero(chosen)[1].reshape(len(points), k)
-    return position, np.take_along_axis(distance, position, axis=1)
-
-
-def _blocks(rows: int, reference_rows: int) -> list[slice]:
-    step = max(_BLOCK_CELLS // max(reference_rows, 1), 1)
-    return [slice(start, start + step) for start in range(0, rows, step)]
 
 
 def _density(distance: np.ndarray, kth_of_neighbor: np.ndarray) -> np.ndarray:
@@ -68,32 +48,16 @@ class _References:
         def neighborhood(batch: pd.DataFrame) -> pd.DataFrame:
             keys, reference = points.value
             own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
-            found = [nearest(rows[b], own[b], reference, k) for b in _blocks(len(rows), len(reference))]
+            found = [nearest(rows[b], own[b], reference, k) for b in blocks(len(rows), len(reference))]
             position, distance = (list(np.vstack(part)) for part in zip(*found))
-            neighbor = [keys.take(p).to_numpy() for p in position]
-            return pd.DataFrame({"position": position, "neighbor": neighbor, "distance": distance})
+            return pd.DataFrame({"position": position, "distance": distance})
 
-        key_type = df.schema["row_id"].dataType.simpleString()
-        self.neighborhood = F.pandas_udf(
-            neighborhood, f"position array<long>, neighbor array<{key_type}>, distance array<double>")
+        self.neighborhood = F.pandas_udf(neighborhood, "position array<long>, distance array<double>")
 
     def of(self, df: DataFrame) -> DataFrame:
         return df.select("row_id", self.neighborhood(F.struct("row_id", *self.columns)).alias("n")).select("row_id", "n.*")
 
 
-def nearest_rows(
-    df: DataFrame, columns: Sequence[str], neighbors: int, reference_rows: int = REFERENCE_ROWS,
-    seed: int = LOF_SEED, total: int | None = None,
-) -> DataFrame:
-    """(row_id, rank, neighbor_id, distance): the nearest reference rows of every row."""
-    references = _References(df, columns, neighbors, reference_rows, seed, total)
-    pairs = F.array_sort(F.arrays_zip("distance", "neighbor"))
-    ordered = references.of(df).select("row_id", F.posexplode(pairs).alias("rank", "p"))
-    return ordered.select(
-        "row_id", (F.col("rank") + 1).alias("rank"),
-        F.col("p.neighbor").alias("neighbor_id"), F.col("p.distance").alias("distance"))
-
-
 def lof_score(
     df: DataFrame,
     columns: Sequence[str] = V.FEATURE_COLUMNS,
@@ -121,9 +85,34 @@ def lof_score(
         kth, density = model.value
         own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
         result = np.empty(len(rows))
-        for block in _blocks(len(rows), len(reference)):
+        for block in blocks(len(rows), len(reference)):
             position, distance = nearest(rows[block], own[block], reference, k)
             result[block] = -density[position].mean(axis=1) / _density(distance, kth[position])
         return pd.Series(result)
 
     return F.pandas_udf(factor, "double")(F.struct("row_id", *columns))
+
+
+def exact_lof(
+    df: DataFrame, columns: Sequence[str] = V.FEATURE_COLUMNS, neighbors: int = V.LOF_NEIGHBORS
+) -> DataFrame:
+    """(row_id, lof_score) of every row, each compared with all others.
+
+    A copy of a point beyond the first k + 1 has only copies at distance 0 around it, all
+    equally dense, and so a factor of exactly 1; it needs no search.
+    """
+    columns = list(columns)
+    searched = durable(first_copies(df, columns, neighbors + 1), "points")
+    near = durable(nearest_neighbors(searched, columns, neighbors), "neighbors")
+    kth = near.groupBy(F.col("row_id").alias("neighbor_id")).agg(F.max("distance").alias("kth"))
+    reach = F.greatest("distance", "kth")
+    density = durable(
+        near.join(kth, "neighbor_id").groupBy("row_id")
+        .agg((1.0 / (F.avg(reach) + F.lit(V.LOF_DENSITY_FLOOR))).alias("density")), "density")
+    around = (
+        near.join(density.withColumnsRenamed({"row_id": "neighbor_id", "density": "other"}), "neighbor_id")
+        .groupBy("row_id").agg(F.avg("other").alias("others"))
+    )
+    factor = around.join(density, "row_id").select("row_id", (-F.col("others") / F.col("density")).alias("lof_score"))
+    return (df.select("row_id").join(factor, "row_id", "left")
+            .withColumn("lof_score", F.coalesce("lof_score", F.lit(-1.0))))

@@ -21,7 +21,8 @@ from logwarden.operators.durable import durable, durable_path
 from logwarden.operators.features import log_features
 from logwarden.operators.ingest import clean_logs, quality_report
 from logwarden.operators.isolation_forest import fit_forest, forest_anomaly
-from logwarden.operators.lof import lof_score, nearest_rows
+from logwarden.operators.lof import exact_lof, lof_score
+from logwarden.operators.neighbors import nearest_neighbors
 from logwarden.operators.quantile import contamination_flag
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
 from logwarden.plans import pipeline
@@ -217,11 +218,10 @@ def _embedding_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list
 
 
 def lof_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector is a reference row, which makes the factor exact."""
+    """Every vector compared with all others."""
     points, names = _embedding_points(spark, sf_dir)
-    total = points.count()
-    scored = points.select("row_id", lof_score(points, names, reference_rows=total, total=total).alias("lof_score"))
-    return rounded(contamination_flag(durable(scored, "lof"), "lof_score", "lof_flag"), "lof_score")
+    scored = durable(exact_lof(points, names), "lof")
+    return rounded(contamination_flag(scored, "lof_score", "lof_flag"), "lof_score")
 
 
 def lof_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +233,7 @@ def lof_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knn_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     points, names = _embedding_points(spark, sf_dir)
-    return nearest_rows(points, names, V.LOF_NEIGHBORS, reference_rows=points.count())
+    return nearest_neighbors(points, names, V.LOF_NEIGHBORS)
 
 
 def threat_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

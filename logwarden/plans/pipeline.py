@@ -11,7 +11,7 @@ from logwarden.operators.durable import durable
 from logwarden.operators.features import HOT_ROWS, log_features
 from logwarden.operators.ingest import clean_logs
 from logwarden.operators.isolation_forest import fit_forest, forest_anomaly
-from logwarden.operators.lof import REFERENCE_ROWS, lof_score
+from logwarden.operators.lof import REFERENCE_ROWS, exact_lof, lof_score
 from logwarden.operators.quantile import exact_quantile
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
 
@@ -26,11 +26,14 @@ def with_threat_score(flagged: DataFrame) -> DataFrame:
 
 def detect(
     features: DataFrame,
-    reference_rows: int = REFERENCE_ROWS,
+    reference_rows: int | None = REFERENCE_ROWS,
     contamination: float = V.CONTAMINATION,
 ) -> DataFrame:
     """Runs the three detectors over feature rows and adds the composite score.
 
+    ``reference_rows=None`` compares each row with all others for its outlier factor,
+    which is exact but no longer linear in the rows.
+
     Two tables are written on the way, because their rows are read several times: the
     features (moments, forest sample, reference rows, scoring) and the model scores
     (thresholds, result). Everything kept outside of them is bounded: one row of moments,
@@ -41,10 +44,12 @@ def detect(
     scaled = standard_scale(ready)
     names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
     nodes, psi = fit_forest(scaled, names, total=total)
-    modelled = scaled.withColumns({
-        "anomaly": forest_anomaly(nodes, psi, names),
-        "lof_score": lof_score(scaled, names, reference_rows=reference_rows, total=total),
-    })
+    modelled = scaled.withColumn("anomaly", forest_anomaly(nodes, psi, names))
+    if reference_rows is None:
+        modelled = modelled.join(exact_lof(scaled, names), "row_id")
+    else:
+        modelled = modelled.withColumn(
+            "lof_score", lof_score(scaled, names, reference_rows=reference_rows, total=total))
     modelled = modelled.withColumn("isolation_forest_score", -F.col("anomaly")).drop("anomaly", *names)
     scores = durable(modelled, "scores")
     offset = exact_quantile(scores, "isolation_forest_score", contamination)
@@ -58,7 +63,7 @@ def detect(
 
 
 def score_logs(
-    raw: DataFrame, reference_rows: int = REFERENCE_ROWS, hot_rows: int | None = HOT_ROWS
+    raw: DataFrame, reference_rows: int | None = REFERENCE_ROWS, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Raw access log (with ``row_id``) to scored log."""
     return detect(log_features(clean_logs(raw), hot_rows), reference_rows)

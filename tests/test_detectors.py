@@ -32,6 +32,13 @@ def scored(spark):
     return detect(spark.createDataFrame(planted())).toPandas()
 
 
+def test_exact_factor_scores_the_same_rows(spark, scored):
+    exact = detect(spark.createDataFrame(planted()), reference_rows=None).toPandas().sort_values("row_id")
+    known = scored.sort_values("row_id")
+    assert exact.lof_score.to_numpy() == pytest.approx(known.lof_score.to_numpy())
+    assert exact.threat_score.tolist() == known.threat_score.tolist()
+
+
 def test_score_is_the_weighted_sum(scored):
     expected = (35 * scored.isolation_forest_flag + 35 * scored.lof_flag + 20 * scored.zscore_flag
                 + 5 * scored.is_bot + 5 * (scored.suspicious_param_rate > 0.5))
