@@ -43,7 +43,12 @@ def _order_statistic(values: DataFrame, rank: int, size: int, small_rows: int) -
         else:
             passed = after_low + n.inside + n.at_high
             values, size, rank = values.filter(v > high), size - passed, rank - passed
-    return values.agg(F.sort_array(F.collect_list("v"))[rank].alias("v")).first().v
+    return _sorted_values(values)[rank]
+
+
+def _sorted_values(values: DataFrame) -> list[float]:
+    """All values; only for as many rows as the caller has bounded."""
+    return values.agg(F.sort_array(F.collect_list("v")).alias("all")).first()["all"]
 
 
 def exact_quantile(
@@ -55,7 +60,10 @@ def exact_quantile(
     if total == 0:
         return None
     position = share * (total - 1)
-    below = math.floor(position)
+    below, above = math.floor(position), math.ceil(position)
+    if total <= small_rows:
+        ordered = _sorted_values(values)
+        return ordered[below] + (ordered[above] - ordered[below]) * (position - below)
     low = _order_statistic(values, below, total, small_rows)
     if position == below:
         return low

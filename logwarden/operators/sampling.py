@@ -13,12 +13,13 @@ def hash_rank(seed: int, row_id: str = "row_id") -> Column:
 def hash_sample(df: DataFrame, rows: int, seed: int, total: int | None = None) -> DataFrame:
     """The ``rows`` rows with the smallest key hash, in hash order.
 
-    With ``total`` known, rows whose hash cannot be among the smallest are filtered out
-    first, so that the final top-k sees a few multiples of ``rows`` instead of ``rows``
-    candidates from every partition.
+    Rows whose hash cannot be among the smallest, judging by the ``total`` number of rows,
+    are filtered out first, so that the final top-k sees a few multiples of ``rows``
+    instead of ``rows`` candidates from every partition.
     """
     ranked = df.withColumn("_hash", hash_rank(seed))
-    if total is not None and total > 20 * rows:
+    total = df.count() if total is None else total
+    if total > 20 * rows:
         bound = f"{int(16**12 * 4 * rows / total):012x}"
         likely = ranked.filter(F.col("_hash") < bound)
         if len(likely.select(F.lit(1)).head(rows)) == rows:

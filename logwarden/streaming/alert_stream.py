@@ -53,8 +53,10 @@ class AlertStream:
         found = seen.get
         if found["n"]:
             window = [*window, (found["n"], found["s"], found["sq"])][-V.BASELINE_BATCHES:]
-        state = [(*[found[name] for name in METRIC_NAMES], window)]
-        (spark.createDataFrame(state, STATE_SCHEMA).coalesce(1)
+        entries = [F.struct(*[F.lit(v).alias(f) for f, v in zip(("n", "s", "sq"), entry)]) for entry in window]
+        row = [F.lit(found[name]).cast("long").alias(name) for name in METRIC_NAMES]
+        row.append(F.array(*entries).cast(STATE_SCHEMA["window"].dataType).alias("window"))
+        (spark.range(1, numPartitions=1).select(*row)
          .write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}"))
         self._left = (batch_id, window)
 

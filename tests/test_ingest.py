@@ -28,13 +28,14 @@ def test_required_columns(spark):
 
 def test_quality_report_is_one_pass(spark):
     report = quality_report(clean_logs(log(spark, ROWS)))
+    # Before it has run: afterwards the text shows the initial plan next to the final one.
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
     found = {r.metric: (r.value, r.status) for r in report.collect()}
     assert found == {
         "total_rows": (3, None), "null_timestamp": (0, "OK"), "null_ip_address": (1, "FAIL"), "null_url": (1, "FAIL"),
         "null_status_code": (1, "FAIL"), "bad_timestamps": (1, None), "bot_requests": (1, None),
         "suspicious_requests": (1, None)}
-    plan = report._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan") == 1
 
 
 def test_text_numbers_are_cast_and_bad_ones_nulled(spark):
