@@ -340,8 +340,7 @@ def stream_replay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for day in range(days + 1):
         start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(day))
         of_day = events.filter((F.col("ts") >= start) & (F.col("ts") < start + F.make_dt_interval(F.lit(1))))
-        log = as_access_log(of_day)
-        stream.process_batch(streams.parse_events(files.as_json_events(log).select("value")), day)
+        stream.process_batch(as_access_log(of_day).select(V.REQUIRED_COLUMNS), day)
     return stream.alerts(spark).select("batch_id", *V.STREAM_ALERT_COLUMNS)
 
 

@@ -37,9 +37,8 @@ def read_access_log(
         key = F.xxhash64(*V.REQUIRED_COLUMNS)
     else:
         log = spark.read.parquet(path)
-        key = F.concat_ws(
-            ":", F.col("_metadata.file_path"), F.lpad(F.col("_metadata.row_index").cast("string"), 19, "0")
-        )
+        position = F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")
+        key = F.concat_ws("-", F.hex(F.xxhash64("_metadata.file_path")), position)
     validate_columns(log.columns)
     if row_id and ROW_ID not in log.columns:
         log = log.select("*", key.alias(ROW_ID))

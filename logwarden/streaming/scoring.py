@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from logwarden import fixed_values as V
 from logwarden.functions import text
 from logwarden.functions.scoring import is_alert, severity, weighted_sum
+from logwarden.operators.durable import durable
 
 
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -86,8 +87,9 @@ def rolling_baseline(events: DataFrame, batch: str = "batch_id") -> DataFrame:
 
 def score_in_batches(events: DataFrame, batch: str = "batch_id") -> DataFrame:
     """What the stream computes, as one batch job over events that carry their batch number."""
-    # One row per batch: small beside the events, and joined on an equal key.
-    baseline = rolling_baseline(events, batch)
+    # Written out, the baseline has a known size (one row per batch), so that Spark can tell
+    # that it may be broadcast instead of shuffling the events by their few batch numbers.
+    baseline = durable(rolling_baseline(events, batch), "baseline")
     joined = enrich_events(events).join(baseline, batch)
     return score_events(joined, F.col("baseline_mean"), F.col("baseline_std"))
 

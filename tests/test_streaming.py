@@ -69,6 +69,11 @@ def test_handler_equals_the_batch_form(spark, sf, tmp_path):
     assert live.exceptAll(batch).isEmpty() and batch.exceptAll(live).isEmpty()
 
 
+def test_events_are_not_shuffled_for_their_baseline(spark, sf):
+    plan = score_in_batches(access_log(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_baseline_covers_the_last_ten_filled_batches(spark):
     rows = [(b, None if b in (3, 4) else 100 * b) for b in range(15)]
     frame = spark.createDataFrame(rows, "batch_id int, response_bytes long")
