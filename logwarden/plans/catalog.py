@@ -27,7 +27,8 @@ from logwarden.operators.quantile import contamination_flag
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
 from logwarden.plans import pipeline
 from logwarden.sources import access_log as files
-from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
+from logwarden.sources.driver_tables import (
+    BATCH_DAYS, access_log, as_access_log, batch_of, event_stream, read_table)
 from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
 
@@ -333,14 +334,16 @@ def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The micro-batch handler itself, called once per day of the log in order."""
+    """The micro-batch handler itself, called batch by batch in order."""
     events = read_table(spark, sf_dir, "events")
-    days = events.agg(F.datediff(F.max("ts"), F.lit("2024-01-01")).alias("last")).first()["last"]
+    last = events.agg(F.max(batch_of(F.col("ts"))).alias("last")).first()["last"]
     stream = AlertStream(durable_path(spark, "replay"))
-    for day in range(days + 1):
-        start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(day))
-        of_day = events.filter((F.col("ts") >= start) & (F.col("ts") < start + F.make_dt_interval(F.lit(1))))
-        stream.process_batch(as_access_log(of_day).select(V.REQUIRED_COLUMNS), day)
+    width = F.make_dt_interval(F.lit(BATCH_DAYS))
+    for batch in range(last + 1):
+        # A range of the raw time, which the scan can skip row groups by.
+        start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(BATCH_DAYS * batch))
+        part = events.filter((F.col("ts") >= start) & (F.col("ts") < start + width))
+        stream.process_batch(as_access_log(part).select(V.REQUIRED_COLUMNS), batch)
     return stream.alerts(spark).select("batch_id", *V.STREAM_ALERT_COLUMNS)
 
 

@@ -32,7 +32,7 @@ def _log(clock: str = "event") -> str:
     return f"""
 log AS (
   SELECT event_id AS row_id,
-    date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS batch_id,
+    CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 2 AS INTEGER) AS batch_id,
     CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE strftime({time}, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp,
     '10.0.0.' || user_id AS ip_address,
     CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END AS method,

@@ -32,6 +32,7 @@ USER_AGENTS = [
 EVENTS_START_MICROS = 1_704_067_200_000_000
 BURST_START_MICROS = 1_767_299_400_000_000
 BURST_COMPRESSION = 240
+BATCH_DAYS = 2
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,15 +62,21 @@ def _full_fraction(time: Column) -> Column:
     return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
+def batch_of(ts: Column) -> Column:
+    """Micro-batch of an event: one per ``BATCH_DAYS`` days."""
+    days = F.datediff(ts.cast("date"), F.lit("2024-01-01").cast("date"))
+    return F.floor(days / BATCH_DAYS).cast("int")
+
+
 def as_access_log(events: DataFrame, clock: str = "event") -> DataFrame:
-    """Events as a raw access log with a ``row_id`` and ``batch_id``, the day of the event
-    (one micro-batch per day); see the module notes. Works on streams too."""
+    """Events as a raw access log with a ``row_id`` and a ``batch_id``; see the module notes.
+    Works on streams too."""
     event_id, event_type = F.col("event_id"), F.col("event_type")
     time = burst_time(F.col("ts")) if clock == "burst" else F.col("ts")
     failed_signup = (event_type == "signup") & (event_id % 3 == 0)
     return events.select(
         event_id.alias("row_id"),
-        F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).alias("batch_id"),
+        batch_of(F.col("ts")).alias("batch_id"),
         F.when(event_id % 97 == 0, "n/a").otherwise(_full_fraction(time)).alias("timestamp"),
         F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("ip_address"),
         F.when(event_type.isin("signup", "purchase"), "POST").otherwise("GET").alias("method"),
