@@ -5,7 +5,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from logwarden.fixed_values import FEATURE_COLUMNS
 from logwarden.operators.features import log_features
