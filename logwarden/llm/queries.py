@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logwarden.llm import exact_dedup, secret_scan, sharding
+from logwarden.llm import exact_dedup, quality, secret_scan, sharding, toxicity
 from logwarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
@@ -20,12 +24,18 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op4_sharding": op4_sharding,
     "op5_secret_scan": op5_secret_scan,
+    "op7_toxicity": op7_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
