@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logwarden.llm import (
-    decontaminate, exact_dedup, quality, secret_scan, sentencepiece_codec, sharding, toxicity)
+    decontaminate, exact_dedup, near_dedup, quality, secret_scan, sentencepiece_codec,
+    sharding, toxicity)
 from logwarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -48,5 +53,6 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_secret_scan": op5_secret_scan,
     "op7_toxicity": op7_toxicity,
+    "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
