@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from logwarden.llm import (
-    decontaminate, exact_dedup, near_dedup, quality, secret_scan, sentencepiece_codec,
-    sharding, toxicity)
+    decontaminate, exact_dedup, html_extract, lm_score, near_dedup, quality, secret_scan,
+    sentencepiece_codec, sharding, toxicity)
 from logwarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest_columns(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,13 +51,20 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_sharding": op4_sharding,
     "op5_secret_scan": op5_secret_scan,
+    "op6_lm_score": op6_lm_score,
     "op7_toxicity": op7_toxicity,
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_html_extraction": op10_html_extraction,
+    "pipeline": corpus_pipeline.run,
 }
