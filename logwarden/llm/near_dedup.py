@@ -149,6 +149,9 @@ def _edges(percent: int):
 
 EDGE = "a long, b long"
 
+#: Ids are broadcast to the documents up to this many (16 bytes each); beyond it texts are shuffled by id.
+BROADCAST_IDS = 2_000_000
+
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -173,8 +176,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     member = classes.select("rep", "n_shingles", F.explode("bands").alias("band"))
     shared = member.groupBy("band").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     clusters = components(member.join(shared, "band").select(F.col("rep").alias("a"), F.col("least").alias("b")))
-    found = durable(_links(docs, classes, clusters, words, percent), "near-links")
-    found = _across_chunks(docs, classes, clusters, found, words, percent)
+    members = _clustered(classes, clusters)
+    sized = durable(members.join(_sizes(members), "cluster").withColumn("large", _large()), "near-members")
+    sets = durable(_with_sets(docs, sized.select("rep", "cluster", "large"), words), "near-sets")
+    found = sets.where("not large").groupBy("cluster").applyInArrow(_edges(percent), EDGE)
+    chunks = _chunks(sized.where("large"))
+    if not sized.where("large").isEmpty():
+        chunks = durable(chunks, "near-chunks")
+        dealt = chunks.join(sets.where("large").select("rep", "shingles"), "rep")
+        found = found.unionByName(dealt.groupBy("band", "chunk").applyInArrow(_edges(percent), EDGE))
+    found = durable(found, "near-links")
+    found = _across_chunks(chunks.where("chunks > 1"), sets, found, percent)
     roots = components(found).select(F.col("node").alias("rep"), "root")
     of_class = classes.join(roots, "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))
     full = read.drop("bands").join(of_class, key, "left")
@@ -204,7 +216,8 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                     [*(c for c in part.schema.names if c != "text"), "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    joined = texts.join(wanted.hint("shuffle_hash"), "rep").select(*wanted.columns, "text")
+    few = wanted.count() <= BROADCAST_IDS
+    joined = texts.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "rep").select(*wanted.columns, "text")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema.fields)
     return joined.mapInArrow(made, f"{schema}, shingles binary")
 
@@ -218,19 +231,6 @@ def _large() -> Column:
     return (F.col("members") > MEMBERS) | (F.col("total") > SHINGLES)
 
 
-def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    members = _clustered(classes, clusters)
-    sized = durable(members.join(_sizes(members), "cluster"), "near-members")
-    small = _with_sets(docs, sized.where(~_large()).select("rep", "cluster"), words)
-    found = small.groupBy("cluster").applyInArrow(_edges(percent), EDGE)
-    large = sized.where(_large())
-    if large.isEmpty():
-        return found
-    sets = durable(_with_sets(docs, large.select("rep"), words), "near-sets")
-    chunked = _chunks(large).join(sets.hint("shuffle_hash"), "rep")
-    return found.unionByName(chunked.groupBy("band", "chunk").applyInArrow(_edges(percent), EDGE))
-
-
 def _chunks(large: DataFrame) -> DataFrame:
     """Members of each bucket of the large clusters, dealt at random into chunks of bounded size."""
     member = large.select("rep", "n_shingles", F.explode("bands").alias("band"))
@@ -240,16 +240,12 @@ def _chunks(large: DataFrame) -> DataFrame:
         "chunk", F.pmod(F.xxhash64("rep", "band"), F.col("chunks")))
 
 
-def _across_chunks(docs: DataFrame, classes: DataFrame, clusters: DataFrame, found: DataFrame, words: int,
-                   percent: int) -> DataFrame:
+def _across_chunks(chunks: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Links between members of one bucket that lie in different chunks and, so far, in different components.
 
     The members outside the commonest component of a bucket are asked for in every chunk of it,
     in bounded sets; so no pair of components that meet in a bucket is left out.
     """
-    members = _clustered(classes, clusters)
-    large = members.join(_sizes(members).where(_large()), "cluster")
-    chunks = _chunks(large).where("chunks > 1")
     if chunks.isEmpty():
         return found
     roots = components(found).select(F.col("node").alias("rep"), "root")
@@ -268,8 +264,8 @@ def _across_chunks(docs: DataFrame, classes: DataFrame, clusters: DataFrame, fou
     asked = strays.join(parts, "band").select(
         "rep", "band", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
         F.pmod(F.xxhash64("band", "rep", F.lit(3)), F.col("parts")).alias("part"), F.lit(True).alias("asked"))
-    sets = durable(_with_sets(docs, mixed.select("rep").distinct(), words), "near-sets")
-    grouped = base.unionByName(asked).join(sets.hint("shuffle_hash"), "rep").groupBy("band", "chunk", "part")
+    grouped = base.unionByName(asked).join(
+        sets.where("large").select("rep", "shingles"), "rep").groupBy("band", "chunk", "part")
     return durable(found.unionByName(grouped.applyInArrow(_edges(percent), EDGE)), "near-links")
 
 
