@@ -137,16 +137,13 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     band = np.floor_divide(diagonal, step) + SEGMENT
     wide = len(codes) + 3 * SEGMENT
     keys, counts = np.unique(segment * wide + band, return_counts=True)
-    of = dict(zip(keys.tolist(), counts.tolist()))
-    out = []
-    for key in {k for key in of for k in (key, key - 1)}:  # a band begins in the step of its key and takes in the next
-        s = key // wide
-        if of.get(key, 0) + of.get(key + 1, 0) >= index.needed[s]:
-            out.append((s, (key % wide - SEGMENT) * (index.budget[s] + 1)))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    s, d = zip(*sorted(out))
-    return np.array(s), np.array(d)
+    # a band begins in the step of its first q-gram and takes in the next step
+    after = np.minimum(np.searchsorted(keys, keys + 1), len(keys) - 1)
+    together = counts + np.where(keys[after] == keys + 1, counts[after], 0)
+    segment = keys // wide
+    kept = together >= index.needed[segment]
+    segment, band = segment[kept], keys[kept] % wide - SEGMENT
+    return segment, band * (index.budget[segment] + 1)
 
 
 def aligned(segment: np.ndarray, codes: np.ndarray, diagonal: int, budget: int) -> tuple[int, int, int] | None:
@@ -157,6 +154,11 @@ def aligned(segment: np.ndarray, codes: np.ndarray, diagonal: int, budget: int)
     """
     low = diagonal - budget
     width = 2 * (budget + 1) + 2 * budget
+    at = max(low, 0)
+    same = codes[at:max(at, low + width - 1 + len(segment))].tobytes().find(segment.tobytes())
+    if same >= 0 and same % codes.itemsize == 0:
+        begin = at + same // codes.itemsize
+        return 0, begin, begin + len(segment)
     columns = np.arange(width)
     cost, origin = np.zeros(width, np.int64), columns + low
     outside = 1 << 20
