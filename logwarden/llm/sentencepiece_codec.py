@@ -19,7 +19,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 LONG_WORD = 64
 
 #: Words whose pieces a worker remembers, and words of one length that advance together.
-CACHE_WORDS, TOGETHER = 300_000, 8192
+CACHE_WORDS, TOGETHER = 400_000, 4096
 
 #: Fixed value: how much worse than the worst piece an unknown character is.
 UNKNOWN_PENALTY = 10.0
@@ -38,7 +38,7 @@ SCHEMA = "doc_id long, n_tokens long, token_ids array<int>, roundtrip boolean"
 class Pieces:
     """Piece keys sorted by hash for each length in characters, and what each id stands for."""
 
-    keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # length -> hashes, ids, scores
+    keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # length -> hashes, ids, scores, quick test
     unknown_score: float
     byte_ids: list[int]
     spelled: list[bytes]
@@ -74,7 +74,9 @@ def load_pieces(path: str = MODEL) -> Pieces:
         if len(np.unique(h)) != len(h):
             raise ValueError("two pieces have one hash")
         ids = np.array([i for _, i in found])[order]
-        keys[length] = (h[order], ids, np.array(scores)[ids])
+        present = np.zeros(1 << 16, bool)
+        present[h >> np.uint64(48)] = True
+        keys[length] = (h[order], ids, np.array(scores)[ids], present)
     return Pieces(keys, min(normal) - UNKNOWN_PENALTY, byte_ids, spelled)
 
 
@@ -91,25 +93,31 @@ def _prefix(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _probe(table: Pieces, codes: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each piece length the id (or -1) and score of the piece that begins at each place."""
+def _probe(table: Pieces, codes: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Piece lengths from long to short, and by length, word and place the id (or -1) and score of the piece there."""
     running, size = _prefix(codes), codes.shape[1]
-    found = {}
+    lengths = sorted({1, *(n for n in table.keys if n <= size)}, reverse=True)
+    ids = np.full((len(lengths), *codes.shape), -1, np.int32)
+    scores = np.full((len(lengths), *codes.shape), -np.inf)
     with np.errstate(over="ignore"):
-        for length, (hashes, ids, scores) in table.keys.items():
-            if length > size:
+        for k, length in enumerate(lengths):
+            if length not in table.keys:
                 continue
+            hashes, own, score, present = table.keys[length]
             power = np.uint64(1)
             for _ in range(length):
                 power *= _STEP
             h = running[:, length:] - running[:, :size + 1 - length] * power
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[at] == h
-            found[length] = np.where(hit, ids[at], -1), np.where(hit, scores[at], -np.inf)
+            rows, at = np.nonzero(present[h >> np.uint64(48)])
+            h = h[rows, at]
+            found = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[found] == h
+            rows, at, found = rows[hit], at[hit], found[hit]
+            ids[k, rows, at] = own[found]
+            scores[k, rows, at] = score[found]
     # an unknown character stands alone, and only where no piece of one character fits
-    one, score = found.get(1, (np.full(codes.shape, -1), np.full(codes.shape, -np.inf)))
-    found[1] = one, np.where(one >= 0, score, table.unknown_score)
-    return found
+    scores[-1][ids[-1] < 0] = table.unknown_score
+    return lengths, ids, scores
 
 
 def _unknown(table: Pieces, char: str) -> list[int]:
@@ -140,42 +148,36 @@ def encode_words(table: Pieces, words: list[str]) -> list[list[int]]:
 
 
 def _encode_together(table: Pieces, words: list[str], size: int) -> list[list[int]]:
-    found = _probe(table, _codes(words, size))
-    lengths = sorted(found, reverse=True)
-    best = np.full((len(words), size + 1), -np.inf)
-    best[:, 0] = 0
-    back = np.ones((len(words), size + 1), np.int64)
+    lengths, ids, scores = _probe(table, _codes(words, size))
+    length_of = np.array(lengths)
+    rows = np.arange(len(words))
+    best = np.zeros((len(words), size + 1))
+    back = np.zeros((len(words), size + 1), np.int64)
+    piece = np.zeros((len(words), size + 1), np.int64)
     for end in range(1, size + 1):
-        for length in lengths:
-            if length <= end:
-                score = best[:, end - length] + found[length][1][:, end - length]
-                better = score > best[:, end]
-                best[better, end] = score[better]
-                back[better, end] = length
-    rows, at = np.arange(len(words)), np.full(len(words), size)
-    steps = []
-    while (at > 0).any():
-        taken = np.where(at > 0, back[rows, at], 0)
-        at = at - taken
-        ids = np.full(len(words), -2)
-        for length in lengths:
-            here = taken == length
-            ids[here] = found[length][0][rows[here], at[here]]
-        steps.append(ids)
-        if len(steps) > size:
-            raise AssertionError("no way back")
-    table_of = np.array(steps[::-1]).T
-    starts = None
+        first = next(k for k, n in enumerate(lengths) if n <= end)
+        begin = end - length_of[first:]
+        k = np.arange(first, len(lengths))
+        # of equal sums the first, so the longest last piece
+        sums = scores[k, :, begin] + best[:, begin].T
+        taken = sums.argmax(0)
+        best[:, end] = sums[taken, rows]
+        back[:, end] = begin[taken]
+        piece[:, end] = ids[first + taken, rows, begin[taken]]
+    steps, at = [], np.full(len(words), size)
+    while at.any():
+        steps.append(np.where(at > 0, piece[rows, at], -2))
+        at = back[rows, at]
     out = []
-    for row, word in zip(table_of.tolist(), words):
-        ids = [i for i in row if i != -2]
-        if -1 in ids:  # spell unknown characters; their places follow from the pieces before them
-            starts, spelled = 0, []
-            for i in ids:
-                spelled += [i] if i >= 0 else _unknown(table, word[starts])
-                starts += table_length(table, i)
-            ids = spelled
-        out.append(ids)
+    for row, word in zip(np.array(steps[::-1]).T.tolist(), words):
+        found = [i for i in row if i != -2]
+        if -1 in found:  # spell unknown characters; their places follow from the pieces before them
+            place, spelled = 0, []
+            for i in found:
+                spelled += [i] if i >= 0 else _unknown(table, word[place])
+                place += table_length(table, i)
+            found = spelled
+        out.append(found)
     return out
 
 
@@ -185,8 +187,8 @@ def table_length(table: Pieces, i: int) -> int:
 
 def _encode_long(table: Pieces, word: str) -> list[int]:
     size = len(word)
-    found = {n: (ids[0].tolist(), s[0].tolist()) for n, (ids, s) in _probe(table, _codes([word], size)).items()}
-    lengths = sorted(found, reverse=True)
+    lengths, all_ids, all_scores = _probe(table, _codes([word], size))
+    found = {n: (all_ids[k, 0].tolist(), all_scores[k, 0].tolist()) for k, n in enumerate(lengths)}
     best, back = [0.0] + [-np.inf] * size, [1] * (size + 1)
     for end in range(1, size + 1):
         for length in lengths:
@@ -218,17 +220,19 @@ class Codec:
     def __init__(self, table: Pieces):
         self.table, self.known = table, {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         words = [words_of(t) for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = list(set(chain.from_iterable(words)) - self.known.keys())
-        self.known.update(zip(new, encode_words(self.table, new)))
+        new = [w for w in set(chain.from_iterable(words)) if w not in self.known]
+        # ids are kept as bytes: joining them makes no object for each id
+        self.known.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(new, encode_words(self.table, new)))
         look = self.known.__getitem__
-        return [list(chain.from_iterable(map(look, w))) for w in words]
+        return [np.frombuffer(b"".join(map(look, w)), np.int32) for w in words]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         """The text of ids: pieces one after another without the first space. Broken byte runs become U+FFFD."""
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         return b"".join(map(self.table.spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
@@ -258,10 +262,9 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, SCHEMA)
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
+def _lists(ids: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-    values = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
 
 
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:
