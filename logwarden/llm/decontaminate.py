@@ -19,6 +19,9 @@ SEGMENT, STRIDE = 100, 50
 #: An item shorter than this many normalised characters is too short to tell and matches nothing.
 SHORTEST = 24
 
+#: Pairs of equal q-grams that are counted at once.
+PAIRS = 1_000_000
+
 #: Benchmark characters that one pass over the documents holds; a larger benchmark takes several passes.
 BLOCK_CHARS = 8_000_000
 
@@ -129,14 +132,20 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     many = index.last[found] - index.first[found]
-    posting = np.repeat(index.first[found] - np.concatenate(([0], many.cumsum()[:-1])), many) + np.arange(many.sum())
-    segment = index.segment[posting]
-    # each q-gram of the segment counts once per diagonal run, each place of the text likewise
-    diagonal = np.repeat(at, many) - index.place[posting]
-    step = index.budget[segment] + 1
-    band = np.floor_divide(diagonal, step) + SEGMENT
     wide = len(codes) + 3 * SEGMENT
-    keys, counts = np.unique(segment * wide + band, return_counts=True)
+    parts = []
+    turn = many.cumsum() // PAIRS  # bounded memory also where one q-gram fills text and segment
+    for some in np.split(np.arange(len(at)), np.flatnonzero(np.diff(turn)) + 1):
+        n, first = many[some], index.first[found[some]]
+        posting = np.repeat(first - np.concatenate(([0], n.cumsum()[:-1])), n) + np.arange(n.sum())
+        segment = index.segment[posting]
+        diagonal = np.repeat(at[some], n) - index.place[posting]
+        band = np.floor_divide(diagonal, index.budget[segment] + 1) + SEGMENT
+        parts.append(np.unique(segment * wide + band, return_counts=True))
+    keys, counts = parts[0]
+    if len(parts) > 1:
+        keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([c for _, c in parts])).astype(np.int64)
     # a band begins in the step of its first q-gram and takes in the next step
     after = np.minimum(np.searchsorted(keys, keys + 1), len(keys) - 1)
     together = counts + np.where(keys[after] == keys + 1, counts[after], 0)

@@ -50,9 +50,10 @@ APART_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising b
 APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MAIN_NAMES = frozenset("content article post entry main story text body".split())
 
+#: Possessive, so that a tag that never ends costs no more than its length.
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
                  r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)"
-                 r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                 r"|<([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME = re.compile(r"[a-z]+")
 WHITE = re.compile(r"[\s​﻿]+")
@@ -92,7 +93,7 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
     tokens: list[str] = []
     stack: list[tuple] = []
     held: list[str] = []
-    count = 0
+    count = articles = 0
 
     def flush():
         text = WHITE.sub(" ", html.unescape("".join(held))).strip()
@@ -103,7 +104,9 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 tokens.append("#")
 
     def close(k: int):
+        nonlocal articles
         while len(stack) > k:
+            articles -= stack[-1][1] in ("article", "main")
             if stack[-1][1] in BLOCK:
                 flush()
                 tokens.append(f"/{stack[-1][1]}")
@@ -156,11 +159,11 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 held.append(" ")
             if tag not in VOID:
                 count += 1
-                in_article = any(e[1] in ("article", "main") for e in stack)
-                apart = (apart or tag in APART or tag == "header" and not in_article
+                apart = (apart or tag in APART or tag == "header" and not articles
                          or tag not in ("html", "body", "article", "main") and bool(names & APART_NAMES)
                          or tag == "article" and bool(names & {"comment", "comments", "reply", "teaser", "related"}))
                 stack.append((count, tag, names, apart))
+                articles += tag in ("article", "main")
                 if tag in BLOCK:
                     tokens.append(".".join([tag, *sorted(names)]))
     close(0)

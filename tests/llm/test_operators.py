@@ -31,7 +31,7 @@ def test_exact_dedup_compares_contents_under_one_digest(spark):
 
 def test_smallest_capacity_and_cuts_against_brute_force(spark):
     rng = random.Random(5)
-    for shards in (2, 3, 4):
+    for shards in (2, 4):
         texts = ["x" * rng.choice([1, 2, 3, 40]) + str(rng.randrange(30)) for _ in range(30)]
         rows = sharding.assign_shards(frame(spark, texts), shards).collect()
         by_text = {}
@@ -102,7 +102,7 @@ def near_texts():
     rng = random.Random(11)
     base = [f"w{rng.randrange(500)}" for _ in range(60)]
     out = []
-    for _ in range(40):
+    for _ in range(24):
         t = list(base)
         for _ in range(rng.randrange(6)):
             t[rng.randrange(len(t))] = f"n{rng.randrange(1000)}"
@@ -120,9 +120,9 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, members):
 
 
 def test_components_of_a_long_path(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(100, 101), (5, 5)], "a long, b long")
     found = {r.node: r.root for r in components.components(edges).collect()}
-    assert found == {**{i: 0 for i in range(1, 41)}, 101: 100}
+    assert found == {**{i: 0 for i in range(1, 13)}, 101: 100}
 
 
 # decontamination
