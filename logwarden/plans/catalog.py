@@ -35,7 +35,7 @@ from logwarden.streaming.alert_stream import AlertStream
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOG_COLUMNS = ["row_id", *V.REQUIRED_COLUMNS]
-EMBEDDING_DIMENSIONS = 8
+EMBEDDING_DIMENSIONS = 64  # all of an embedding
 REPORT_REFERENCE_ROWS = 512
 
 

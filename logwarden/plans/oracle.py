@@ -32,7 +32,7 @@ def _log(clock: str = "event") -> str:
     return f"""
 log AS (
   SELECT event_id AS row_id,
-    CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 2 AS INTEGER) AS batch_id,
+    CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS batch_id,
     CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE strftime({time}, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp,
     '10.0.0.' || user_id AS ip_address,
     CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END AS method,
@@ -212,7 +212,7 @@ lof AS (
 
 
 _EMBEDDED = "points AS (SELECT vec_id AS row_id, " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(8)) + " FROM embeddings)"
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(64)) + " FROM embeddings)"
 
 _SCALED = ", ".join(
     f"CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 "
@@ -324,9 +324,9 @@ ORACLE: dict[str, str] = {
     "alert_reason": f"{_BURST_FEATURES}{_zscores()} SELECT row_id, zscore_flag, top_flag FROM zscored",
     "contamination_flag": f"""{_LINES} SELECT l_orderkey, l_linenumber, round(score, 4) AS score,
         score < (SELECT quantile_cont(score, 0.1) FROM lines) AS flag FROM lines""",
-    "knn_self_join": "WITH " + _EMBEDDED + _lof("points", [f"x{i}" for i in range(8)], "points") + """
+    "knn_self_join": "WITH " + _EMBEDDED + _lof("points", [f"x{i}" for i in range(64)], "points") + """
         SELECT p AS row_id, CAST(rank AS INTEGER) AS rank, r AS neighbor_id, d AS distance FROM near""",
-    "lof_exact": "WITH " + _EMBEDDED + _lof("points", [f"x{i}" for i in range(8)], "points") + """
+    "lof_exact": "WITH " + _EMBEDDED + _lof("points", [f"x{i}" for i in range(64)], "points") + """
         SELECT row_id, round(lof_score, 6) AS lof_score,
           lof_score < (SELECT quantile_cont(lof_score, 0.1) FROM lof) AS lof_flag FROM lof""",
     "lof_reference": f"""{_BURST_FEATURES}, scaled AS (SELECT row_id, {_SCALED} FROM features),

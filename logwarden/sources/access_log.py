@@ -100,7 +100,7 @@ def create_alert_table(spark: SparkSession, table: str, location: str) -> DataFr
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {table} (
             timestamp STRING, ip_address STRING, url STRING, status_code INT,
-            threat_score INT, severity STRING, attack_type STRING, top_flag STRING
+            threat_score BIGINT, severity STRING, attack_type STRING, top_flag STRING
         ) USING parquet LOCATION '{escaped}'
     """)
     return spark.table(table)

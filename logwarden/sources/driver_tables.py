@@ -32,7 +32,7 @@ USER_AGENTS = [
 EVENTS_START_MICROS = 1_704_067_200_000_000
 BURST_START_MICROS = 1_767_299_400_000_000
 BURST_COMPRESSION = 240
-BATCH_DAYS = 2
+BATCH_DAYS = 1
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
