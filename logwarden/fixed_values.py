@@ -115,6 +115,9 @@ TRIGGER_INTERVAL = "30 seconds"
 FOREST_TREES = 100
 FOREST_SAMPLE_ROWS = 256
 FOREST_SEED = 42
+# Digits of the standard scores that the models see, and of the scores they give.
+MODEL_PLACES = 6
+SCORE_PLACES = 9
 LOF_NEIGHBORS = 20
 LOF_DENSITY_FLOOR = 1e-10
 SCATTER_SAMPLE_ROWS = 6000

@@ -1,21 +1,26 @@
 """Isolation Forest (Liu, Ting, Zhou 2008): grown and applied by Spark tasks.
 
 The forest is bounded by its settings, never by the data: each tree sees at most
-``sample_rows`` rows, picked by key hash, so the model is the same on any partitioning.
+``sample_rows`` rows, and every draw is a hash of the seed, the tree and the row or node, so
+the model is the same on any partitioning and any engine.
 Trees grow in parallel, one group per tree; scoring is an Arrow-batched function over the
 feature columns alone.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
+from logwarden.operators.durable import durable
+from logwarden.operators.sampling import hash_sample
 
 EULER_GAMMA = 0.5772156649
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
@@ -29,7 +34,12 @@ def expected_path(rows: np.ndarray | float) -> np.ndarray:
     return np.where(m > 2, estimate, np.where(m == 2, 1.0, 0.0))
 
 
-def _grow(points: np.ndarray, depth: int, rng: np.random.Generator) -> list[tuple]:
+def draw(*parts: object) -> float:
+    """A number in [0, 1) from the first 32 bits of a hash."""
+    return int(hashlib.md5("-".join(map(str, parts)).encode()).hexdigest()[:8], 16) / 2**32
+
+
+def _grow(points: np.ndarray, depth: int, seed: int, tree: int) -> list[tuple]:
     """Nodes (id, feature, threshold, path); children of node i are 2i+1 and 2i+2."""
     nodes, pending = [], [(0, points, 0)]
     while pending:
@@ -38,9 +48,9 @@ def _grow(points: np.ndarray, depth: int, rng: np.random.Generator) -> list[tupl
         if level >= depth or len(spread) == 0:
             nodes.append((node, -1, 0.0, level + float(expected_path(len(rows)))))
             continue
-        feature = int(rng.choice(spread))
+        feature = int(spread[int(draw(seed, tree, node, "feature") * len(spread))])
         low, high = rows[:, feature].min(), rows[:, feature].max()
-        threshold = float(rng.uniform(low, high))
+        threshold = float(low + draw(seed, tree, node, "threshold") * (high - low))
         left = rows[:, feature] <= threshold
         if left.all():  # the draw rounded up to the maximum
             threshold = float(low)
@@ -51,16 +61,16 @@ def _grow(points: np.ndarray, depth: int, rng: np.random.Generator) -> list[tupl
 
 
 def _tree_samples(df: DataFrame, columns: Sequence[str], trees: int, psi: int, seed: int, total: int) -> DataFrame:
-    """(tree, row_id, columns) with about twice the rows each tree needs, chosen by key hash."""
-    keep = df.select("row_id", *columns)
-    if total >= 2 * trees * psi:
-        # Disjoint samples: a filter on the scan, then one tree per row.
-        drawn = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(total)) < 2 * trees * psi
-        return keep.filter(drawn).withColumn(
-            "tree", F.pmod(F.xxhash64("row_id", F.lit(seed), F.lit("tree")), F.lit(trees)).cast("int"))
-    # Fewer rows than that: every tree draws from all of them.
-    drawn = F.pmod(F.xxhash64("row_id", "tree", F.lit(seed)), F.lit(total)) < 2 * psi
-    return keep.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).filter(drawn)
+    """(tree, row_id, columns): each tree draws its rows from one pool of ``trees * psi`` rows.
+
+    The pool is the rows of smallest key hash, all rows of a smaller table. One rule at every size.
+    """
+    pool = durable(hash_sample(df.select("row_id", *columns), trees * psi, seed, total), "pool")
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    drawn = pool.repartition(slots, "row_id").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    drawn = drawn.withColumn("_draw", F.md5(F.concat_ws("-", F.lit(seed), "tree", "row_id")))
+    order = W.partitionBy("tree").orderBy("_draw", "row_id")
+    return drawn.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= psi).drop("_draw", "_place")
 
 
 def fit_forest(
@@ -79,11 +89,8 @@ def fit_forest(
 
     def grow_tree(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         tree = int(key[0])
-        rng = np.random.default_rng([seed, tree])
-        points = rows.sort_values("row_id")[columns].to_numpy(dtype=float)
-        if len(points) > psi:
-            points = points[rng.choice(len(points), psi, replace=False)]
-        nodes = pd.DataFrame(_grow(points, depth, rng), columns=["node", "feature", "threshold", "path"])
+        points = rows[columns].to_numpy(dtype=float)
+        nodes = pd.DataFrame(_grow(points, depth, seed, tree), columns=["node", "feature", "threshold", "path"])
         nodes.insert(0, "tree", tree)
         return nodes
 

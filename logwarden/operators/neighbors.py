@@ -1,10 +1,11 @@
 """Exact k nearest neighbours of every row, without a broadcast that grows or a cross join.
 
 Rows are assigned to the nearest of a bounded number of pivots (Lu, Shen, Chen, Ooi 2012).
-A cell's radius and its smallest pivot distances bound how far the neighbours of its rows
-can be, so each row is sent only to the cells it can matter to. Cells are matched in
-pieces of bounded size, whatever share of the rows they hold, and each piece returns at
-most k rows per query.
+The search has two phases. First a row meets the rows of its own cell only; its k-th distance
+there bounds how far its true neighbours can be. Then it visits just those cells that reach
+into that distance, by their pivot and radius and by their range in every column. Cells are matched in pieces of bounded
+size, whatever share of the rows they hold, and each piece returns at most k rows per query,
+none beyond the query's own bound.
 
 Of many copies of one point only the first k + 1 by key can be anybody's neighbour, so
 the others are not matched at all; see ``first_copies``.
@@ -101,88 +102,126 @@ def nearest_neighbors(
     if k < 1:
         return spark.createDataFrame([], pair_schema + ", rank int")
 
-    pivots = pivots or int(min(MAX_PIVOTS, max(total**0.5, 1)))
-    centers = hash_sample(df.select("row_id", *columns), pivots, PIVOT_SEED, total).toPandas()
-    centers = spark.sparkContext.broadcast(centers[columns].to_numpy(dtype=float))
-
-    def closest(rows: pd.DataFrame) -> pd.DataFrame:
-        points, parts = rows.to_numpy(dtype=float), []
-        for block in blocks(len(points), len(centers.value)):
-            gap = distances(points[block], centers.value)
-            parts.append(np.column_stack([gap.argmin(axis=1), gap.min(axis=1)]))
-        found = np.vstack(parts) if parts else np.empty((0, 2))
-        return pd.DataFrame({"cell": found[:, 0].astype(np.int32), "gap": found[:, 1]})
-
-    assign = F.pandas_udf(closest, "cell int, gap double")
-    located = durable(
-        df.select("row_id", *columns, assign(F.struct(*columns)).alias("p")).select("row_id", *columns, "p.*"),
-        "cells")
-    reach = spark.sparkContext.broadcast(_reach(located, centers.value, k))
-
-    def cells_in_reach(rows: pd.DataFrame) -> pd.Series:
-        points, found = rows.to_numpy(dtype=float), []
-        for block in blocks(len(points), len(centers.value)):
-            near = distances(points[block], centers.value) <= reach.value
-            found += [np.flatnonzero(row).astype(np.int32) for row in near]
-        return pd.Series(found, dtype=object)
-
-    needed = F.pandas_udf(cells_in_reach, "array<int>")
-    candidates = durable(
-        located.select("row_id", *columns, F.explode(needed(F.struct(*columns))).alias("cell")), "candidates")
-    pieces = _pieces(located, candidates, query_rows, candidate_rows)
+    located, centers = _located(df.select("row_id", *columns), columns, pivots or pivot_count(total), total)
+    visits = durable(cell_visits(located, centers, columns, k, candidate_rows), "visits")
+    pieces = _pieces(visits, located, query_rows, candidate_rows)
 
     def spread(rows: DataFrame, own: str, other: str) -> DataFrame:
         """A row goes to one part of its own kind, and to every part of the other kind."""
         placed = rows.join(F.broadcast(pieces), "cell")
         part = F.pmod(F.xxhash64("row_id"), F.col(f"{own}_parts"))
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1))
-        return placed.select("row_id", *columns, "cell", part.alias(f"{own}_part"), every.alias(f"{other}_part"))
+        return placed.select(*rows.columns, part.alias(f"{own}_part"), every.alias(f"{other}_part"))
 
     def match(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"row_id": [], "neighbor_id": [], "distance": []})
         if queries.empty or rows.empty:
-            return empty
+            return pd.DataFrame({"row_id": [], "neighbor_id": [], "distance": []})
         rows = rows.sort_values("row_id", ignore_index=True)
         reference, keys = rows[columns].to_numpy(dtype=float), rows["row_id"]
         points, own = queries[columns].to_numpy(dtype=float), pd.Index(keys).get_indexer(queries["row_id"])
-        width, parts = min(k, len(rows)), []
+        bound, width, parts = queries["bound"].to_numpy(), min(k, len(rows)), []
         for block in blocks(len(points), len(reference)):
             position, distance = nearest(points[block], own[block], reference, width)
+            near = np.isfinite(distance) & (distance <= bound[block][:, None])
             parts.append(pd.DataFrame({
-                "row_id": queries["row_id"].to_numpy()[block].repeat(width),
-                "neighbor_id": keys.to_numpy()[position.ravel()], "distance": distance.ravel()}))
-        found = pd.concat(parts, ignore_index=True)
-        return found[np.isfinite(found["distance"])]
+                "row_id": queries["row_id"].to_numpy()[block].repeat(near.sum(axis=1)),
+                "neighbor_id": keys.to_numpy()[position[near]], "distance": distance[near]}))
+        return pd.concat(parts, ignore_index=True)
 
     group = ["cell", "query_part", "candidate_part"]
     partial = (
-        spread(located.drop("gap"), "query", "candidate").groupBy(*group)
-        .cogroup(spread(candidates, "candidate", "query").groupBy(*group))
+        spread(visits, "query", "candidate").groupBy(*group)
+        .cogroup(spread(located.drop("gap"), "candidate", "query").groupBy(*group))
         .applyInPandas(match, pair_schema)
     )
     best = W.partitionBy("row_id").orderBy("distance", "neighbor_id")
     return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def _reach(located: DataFrame, centers: np.ndarray, k: int) -> np.ndarray:
-    """Per cell, the distance from its pivot within which all neighbours of its rows lie."""
+def pivot_count(total: int) -> int:
+    return int(min(MAX_PIVOTS, max(total**0.5, 1)))
+
+
+def _located(df: DataFrame, columns: list[str], pivots: int, total: int) -> tuple[DataFrame, np.ndarray]:
+    """The rows with their cell and their distance from its pivot, and the pivots."""
+    centers = hash_sample(df, pivots, PIVOT_SEED, total).toPandas()[columns].to_numpy(dtype=float)
+    shared = df.sparkSession.sparkContext.broadcast(centers)
+
+    def closest(rows: pd.DataFrame) -> pd.DataFrame:
+        points, parts = rows.to_numpy(dtype=float), []
+        for block in blocks(len(points), len(shared.value)):
+            gap = distances(points[block], shared.value)
+            parts.append(np.column_stack([gap.argmin(axis=1), gap.min(axis=1)]))
+        found = np.vstack(parts) if parts else np.empty((0, 2))
+        return pd.DataFrame({"cell": found[:, 0].astype(np.int32), "gap": found[:, 1]})
+
+    assign = F.pandas_udf(closest, "cell int, gap double")
+    return durable(
+        df.select("row_id", *columns, assign(F.struct(*columns)).alias("p")).select("row_id", *columns, "p.*"),
+        "cells"), centers
+
+
+def cell_visits(
+    located: DataFrame, centers: np.ndarray, columns: list[str], k: int, candidate_rows: int = CANDIDATE_ROWS
+) -> DataFrame:
+    """(row_id, columns, bound, cell): every cell that can hold one of the row's k neighbours."""
+    spark = located.sparkSession
+    radius, low, high, within = _extents(located, centers, columns, k)
+    shared = spark.sparkContext.broadcast((centers, radius, low, high, within))
+    parts = located.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).alias("parts"))
+    split = located.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("row_id"), F.col("parts")))
+
+    def bounded(rows: pd.DataFrame) -> pd.DataFrame:
+        points = rows[columns].to_numpy(dtype=float)
+        bound = rows["gap"].to_numpy() + shared.value[4][rows["cell"].iloc[0]]
+        if len(rows) > k:
+            own = np.arange(len(points))
+            for block in blocks(len(points), len(points)):
+                kth = nearest(points[block], own[block], points, k)[1][:, -1]
+                bound[block] = np.minimum(bound[block], kth)
+        return rows[["row_id", *columns]].assign(bound=bound + _SLACK)
+
+    def reached(rows: pd.DataFrame) -> pd.Series:
+        centers, radius, low, high, _ = shared.value
+        points, bound, found = rows[columns].to_numpy(dtype=float), rows["bound"].to_numpy(), []
+        for block in blocks(len(points), len(centers)):
+            limit, outside = bound[block][:, None], np.zeros((len(points[block]), len(centers)))
+            for column, values in enumerate(points[block].T[:, :, None]):
+                outside += np.maximum(np.maximum(low[:, column] - values, values - high[:, column]), 0.0) ** 2
+            near = (distances(points[block], centers) - radius <= limit) & (np.sqrt(outside) <= limit)
+            found += [np.flatnonzero(row).astype(np.int32) for row in near]
+        return pd.Series(found, dtype=object)
+
+    names = [c for c in located.columns if c not in ("cell", "gap")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in located.schema if f.name in names)
+    limited = split.groupBy("cell", "part").applyInPandas(bounded, schema + ", bound double")
+    cells = F.pandas_udf(reached, "array<int>")(F.struct(*columns, "bound"))
+    return limited.select("*", F.explode(cells).alias("cell"))
+
+
+def _extents(located: DataFrame, centers: np.ndarray, columns: list[str], k: int) -> tuple[np.ndarray, ...]:
+    """Per cell its radius (none for an empty one), its range in every column, and how far from
+    its pivot k + 1 rows surely lie."""
     smallest = W.partitionBy("cell").orderBy("gap")
     inner = (located.select("cell", "gap").withColumn("_nth", F.row_number().over(smallest))
              .filter(F.col("_nth") <= k + 1).select("cell", "gap").toPandas())
-    outer = located.groupBy("cell").agg(F.max("gap").alias("radius")).toPandas()
-    radius = np.zeros(len(centers))
+    outer = located.groupBy("cell").agg(
+        F.max("gap").alias("radius"), F.array(*map(F.min, columns)).alias("low"),
+        F.array(*map(F.max, columns)).alias("high")).toPandas()
+    radius, low, high = np.full(len(centers), -np.inf), np.zeros(centers.shape), np.zeros(centers.shape)
     radius[outer["cell"]] = outer["radius"]
+    low[outer["cell"]], high[outer["cell"]] = np.vstack(outer["low"]), np.vstack(outer["high"])
     cell, gap = inner["cell"].to_numpy(), inner["gap"].to_numpy()
-    reach = np.empty(len(centers))
+    within = np.empty(len(centers))
     for c in range(len(centers)):
-        # The k + 1 rows surely closest to the pivot, through the pivots of their own cells.
+        # The way to a row leads through the pivot of the row's own cell.
         path = distances(centers[c : c + 1], centers)[0][cell] + gap
-        reach[c] = 2 * radius[c] + np.partition(path, k)[k] + _SLACK
-    return reach
+        within[c] = np.partition(path, k)[k]
+    return radius, low, high, within
 
 
-def _pieces(located: DataFrame, candidates: DataFrame, query_rows: int, candidate_rows: int) -> DataFrame:
+def _pieces(queries: DataFrame, candidates: DataFrame, query_rows: int, candidate_rows: int) -> DataFrame:
     """Per cell, into how many parts its queries and its candidates are split: one row per pivot."""
-    queries = located.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("query_parts"))
-    others = candidates.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).alias("candidate_parts"))
-    return queries.join(others, "cell")
+    asked = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("query_parts"))
+    held = candidates.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).alias("candidate_parts"))
+    return asked.join(held, "cell")

@@ -1,9 +1,8 @@
 """The registered queries: every operator applied to the given tables.
 
-Reports need scored logs that SQL can reproduce. A forest cannot be, so for them the two
-model scores are SQL-expressible ones (``report_log``); the thresholds, the z-score
-baseline, the composite score and the reports are the real ones. ``scored_logs``,
-``isolation_forest`` and ``detector_comparison_full`` run the models themselves.
+Reports read the scored log that the detectors wrote, as they would in use: the first report
+of a session scores the log, the others read that table (``scored_table``). ``scored_logs`` and
+``detector_comparison_full`` always score anew.
 """
 
 from __future__ import annotations
@@ -57,19 +56,21 @@ def _ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return durable(sanitize_features(_features(spark, sf_dir)), "features")
 
 
-def report_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored log with SQL-expressible model scores; see the module notes."""
-    flagged = zscore_baseline(_ready(spark, sf_dir)).withColumns({
-        "isolation_forest_score": -F.round("max_zscore", 9),
-        "lof_score": -F.round(F.abs(F.col("avg_response_bytes_ratio") - 1.0), 9),
-    })
-    flagged = contamination_flag(flagged, "isolation_forest_score", "isolation_forest_flag")
-    flagged = contamination_flag(flagged, "lof_score", "lof_flag")
-    return pipeline.with_threat_score(flagged)
+_SCORED_TABLES: dict[tuple[str, str], str] = {}
+
+
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log scored by the real detectors, written once a session to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORED_TABLES:
+        path = durable_path(spark, "scored")
+        files.write_parquet(pipeline.score_logs(access_log(spark, sf_dir, "burst")), path)
+        _SCORED_TABLES[key] = path
+    return spark.read.parquet(_SCORED_TABLES[key])
 
 
 def _report_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.alerts(report_log(spark, sf_dir))
+    return pipeline.alerts(scored_table(spark, sf_dir))
 
 
 # --- Sources and sinks -------------------------------------------------------
@@ -204,14 +205,20 @@ def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ready = _ready(spark, sf_dir)
-    scaled = standard_scale(ready)
-    names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
+    scaled, names = pipeline.model_inputs(_ready(spark, sf_dir))
     nodes, psi = fit_forest(scaled, names)
-    scores = durable(scaled.select("row_id", (-forest_anomaly(nodes, psi, names)).alias("isolation_forest_score")), "forest")
+    score = F.round(-forest_anomaly(nodes, psi, names), V.SCORE_PLACES)
+    scores = durable(scaled.select("row_id", score.alias("isolation_forest_score")), "forest")
     return contamination_flag(scores, "isolation_forest_score", "isolation_forest_flag")
 
 
+def lof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request compared with all others on the ten features."""
+    scaled, names = pipeline.model_inputs(_ready(spark, sf_dir))
+    factor = exact_lof(scaled, names).withColumn("lof_score", F.round("lof_score", V.SCORE_PLACES))
+    return contamination_flag(durable(factor, "lof"), "lof_score", "lof_flag")
+
+
 def _embedding_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     names = [f"x{i}" for i in range(EMBEDDING_DIMENSIONS)]
     values = [F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]
@@ -226,6 +233,7 @@ def lof_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lof_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The novelty form: every request against a fixed reference set; ``lof_features`` is the full one."""
     scaled = standard_scale(_ready(spark, sf_dir))
     names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
     scored = scaled.select("row_id", lof_score(scaled, names, reference_rows=REPORT_REFERENCE_ROWS).alias("lof_score"))
@@ -238,21 +246,22 @@ def knn_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threat_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_log(spark, sf_dir).select(
+    return scored_table(spark, sf_dir).select(
         "row_id", "isolation_forest_flag", "lof_flag", "zscore_flag", "is_bot", "threat_score", "severity")
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.sorted_alerts(report_log(spark, sf_dir)).select(
+    return pipeline.sorted_alerts(scored_table(spark, sf_dir)).select(
         "row_id", "timestamp", "ip_address", "url", "threat_score", "severity", "top_flag", "attack_type")
 
 
 def scored_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole analysis with both models."""
     scored = pipeline.score_logs(access_log(spark, sf_dir, "burst"))
-    return scored.select(
+    columns = scored.select(
         "row_id", "ip_address", "attack_type", "isolation_forest_score", "isolation_forest_flag", "lof_score",
         "lof_flag", "max_zscore", "zscore_flag", "top_flag", "threat_score", "severity")
+    return rounded(columns, "max_zscore")
 
 
 def detector_comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +278,7 @@ def minimum_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Reports -----------------------------------------------------------------
 
 def _on_scored(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: report(report_log(spark, sf_dir))
+    return lambda spark, sf_dir: report(scored_table(spark, sf_dir))
 
 
 def _on_alerts(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -281,12 +290,11 @@ def _on_log(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def overview_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(reports.overview_kpis(report_log(spark, sf_dir)), "anomaly_rate_pct")
+    return rounded(reports.overview_kpis(scored_table(spark, sf_dir)), "anomaly_rate_pct")
 
 
 def score_scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = reports.score_scatter_sample(report_log(spark, sf_dir))
-    return rounded(sample, "isolation_forest_score", "lof_score")
+    return reports.score_scatter_sample(scored_table(spark, sf_dir))
 
 
 # --- Streams -----------------------------------------------------------------
@@ -433,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "isolation_forest": isolation_forest,
     "knn_self_join": knn_self_join,
     "lof_exact": lof_exact,
+    "lof_features": lof_features,
     "lof_reference": lof_reference,
     "threat_score": threat_scores,
     "scored_logs": scored_logs,

@@ -126,21 +126,83 @@ zscored AS (
   FROM z)"""
 
 
-_SCORED = _zscores() + """,
-models AS (
-  SELECT *, -round(max_zscore, 9) AS isolation_forest_score,
-    -round(abs(avg_response_bytes_ratio - 1.0), 9) AS lof_score
-  FROM zscored),
+def _draw(what: str) -> str:
+    return f"CAST('0x' || substr(md5('42-' || tree || '-' || node || '-{what}'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
+
+
+def _forest() -> str:
+    """100 trees of 256 rows, grown and then walked level by level, over ``scaled.v``."""
+    path = ("CASE WHEN {n} > 2 THEN 2.0::DOUBLE * (ln({n} - 1.0::DOUBLE) + 0.5772156649::DOUBLE)"
+            " - 2.0::DOUBLE * ({n} - 1.0::DOUBLE) / {n} WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END")
+    lows, highs = (", ".join(f"{kind}(v[{i + 1}])" for i in range(len(_TEN))) for kind in ("min", "max"))
+    parts = ["""
+pool AS (SELECT row_id, v FROM scaled ORDER BY md5('42-' || row_id), row_id LIMIT 25600),
+rows0 AS MATERIALIZED (
+  SELECT tree, 0 AS node, v FROM (
+    SELECT tree, v, row_number() OVER (PARTITION BY tree ORDER BY md5('42-' || tree || '-' || row_id), row_id) AS place
+    FROM pool, range(100) AS r(tree)) WHERE place <= 256),
+walk0 AS MATERIALIZED (SELECT row_id, tree, 0 AS node, v FROM scaled, range(100) AS r(tree))"""]
+    for level in range(9):
+        grows = "n > 1 AND len(spread) > 0" if level < 8 else "false"
+        parts.append(f"""
+range{level} AS (
+  SELECT *, list_filter(range(1, {len(_TEN) + 1}), lambda i: highs[i] > lows[i]) AS spread FROM (
+    SELECT tree, node, count(*) AS n, [{lows}] AS lows, [{highs}] AS highs FROM rows{level} GROUP BY tree, node)),
+cut{level} AS MATERIALIZED (
+  SELECT *, lows[f] + {_draw('threshold')} * (highs[f] - lows[f]) AS threshold FROM (
+    SELECT *, CASE WHEN {grows} THEN spread[1 + CAST(floor({_draw('feature')} * len(spread)) AS BIGINT)] END AS f
+    FROM range{level})),
+ends{level} AS (
+  SELECT row_id, {level} + {path.format(n='n')} AS path FROM walk{level} JOIN cut{level} USING (tree, node) WHERE f IS NULL)""")
+        if level < 8:
+            child = "2 * node + 1 + CAST(v[f] > threshold AS INTEGER) AS node, v"
+            parts.append(f"""
+rows{level + 1} AS MATERIALIZED (SELECT tree, {child} FROM rows{level} JOIN cut{level} USING (tree, node) WHERE f IS NOT NULL),
+walk{level + 1} AS MATERIALIZED (
+  SELECT row_id, tree, {child} FROM walk{level} JOIN cut{level} USING (tree, node) WHERE f IS NOT NULL)""")
+    every = " UNION ALL ".join(f"SELECT * FROM ends{level}" for level in range(9))
+    parts.append(f"""
+forest AS (
+  SELECT row_id, round(-pow(2.0::DOUBLE, -sum(path) / (100 * ({path.format(n='256.0::DOUBLE')}))), 9) AS raw_score
+  FROM ({every}) GROUP BY row_id)""")
+    return ",".join(parts)
+
+
+def _factor() -> str:
+    """Local outlier factor of ``scaled`` among all of its rows, k = 20."""
+    squares = " + ".join(f"(p.{c}_scaled - r.{c}_scaled) * (p.{c}_scaled - r.{c}_scaled)" for c in _TEN)
+    return f"""
+near AS MATERIALIZED (
+  SELECT p, n.d AS d, n.r AS r FROM (
+    SELECT p.row_id AS p, unnest(min({{'d': round(sqrt({squares}), 9), 'r': r.row_id}}, 20)) AS n
+    FROM scaled p JOIN scaled r ON p.row_id <> r.row_id GROUP BY p.row_id)),
+kth AS (SELECT p AS r, max(d) AS kd FROM near GROUP BY p),
+density AS (SELECT p, 1.0 / (avg(greatest(d, kd)) + 1e-10) AS lrd FROM near JOIN kth USING (r) GROUP BY p),
+lof AS (
+  SELECT near.p AS row_id, round(-avg(nb.lrd) / any_value(own.lrd), 9) AS lof_score
+  FROM near JOIN density nb ON near.r = nb.p JOIN density own ON near.p = own.p GROUP BY near.p)"""
+
+
+_STANDARD = ", ".join(
+    f"round(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0.0 "
+    f"ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END, 6) AS {c}_scaled" for c in _TEN)
+_INPUTS = f""",
+scaled AS MATERIALIZED (
+  SELECT *, [{', '.join(f'{c}_scaled' for c in _TEN)}] AS v FROM (SELECT row_id, {_STANDARD} FROM features))"""
+
+_SCORED = _zscores() + _INPUTS + "," + _forest() + "," + _factor() + """,
+limits AS (
+  SELECT (SELECT quantile_cont(raw_score, 0.1) FROM forest) AS forest_limit,
+    (SELECT quantile_cont(lof_score, 0.1) FROM lof) AS lof_limit),
 flagged AS (
-  SELECT *,
-    isolation_forest_score < (SELECT quantile_cont(isolation_forest_score, 0.1) FROM models) AS isolation_forest_flag,
-    lof_score < (SELECT quantile_cont(lof_score, 0.1) FROM models) AS lof_flag
-  FROM models),
+  SELECT *, round(raw_score - forest_limit, 9) AS isolation_forest_score,
+    raw_score < forest_limit AS isolation_forest_flag, lof_score < lof_limit AS lof_flag
+  FROM zscored JOIN forest USING (row_id) JOIN lof USING (row_id), limits),
 points AS (
   SELECT *, CAST(35 * isolation_forest_flag::INT + 35 * lof_flag::INT + 20 * zscore_flag::INT
     + 5 * is_bot::INT + 5 * (suspicious_param_rate > 0.5)::INT AS INTEGER) AS threat_score
   FROM flagged),
-scored AS (
+scored AS MATERIALIZED (
   SELECT *, CASE WHEN threat_score >= 75 THEN 'CRITICAL' WHEN threat_score >= 50 THEN 'HIGH'
     WHEN threat_score >= 25 THEN 'MEDIUM' ELSE 'NORMAL' END AS severity
   FROM points),
@@ -175,7 +237,7 @@ stream_points AS (
   SELECT *, abs(resp_zscore) > 3.0 AS zscore_flag,
     CAST(25 * is_bot::INT + 25 * has_suspicious_params + 30 * (abs(resp_zscore) > 3.0)::INT AS INTEGER) AS threat_score
   FROM deviations),
-stream_scored AS (
+stream_scored AS MATERIALIZED (
   SELECT *, CASE WHEN threat_score >= 75 THEN 'CRITICAL' WHEN threat_score >= 50 THEN 'HIGH'
     WHEN threat_score >= 25 THEN 'MEDIUM' ELSE 'NORMAL' END AS severity
   FROM stream_points),
@@ -235,6 +297,16 @@ def _feature(name: str) -> str:
 _DETECTORS = [("Isolation Forest", "isolation_forest_flag"), ("Local Outlier Factor", "lof_flag"),
               ("Z-Score Baseline", "zscore_flag"), ("Composite (Combined)", "threat_score >= 25")]
 
+
+def _comparison() -> str:
+    return _BURST_SCORED + " UNION ALL ".join(
+        f" SELECT '{name}' AS detector, count(*) FILTER ({flag}) AS detections,"
+        f" count(*) FILTER (({flag}) AND attack_type = 'normal') AS false_positives,"
+        f" round(count(*) FILTER (({flag}) AND attack_type <> 'normal') * 100.0::DOUBLE"
+        " / count(*) FILTER (attack_type <> 'normal'), 6) AS detection_rate_pct FROM scored"
+        for name, flag in _DETECTORS)
+
+
 _QUALITY = [("total_rows", "true"), ("null_timestamp", "timestamp IS NULL"),
             ("null_ip_address", "ip_address IS NULL"), ("null_url", "url IS NULL"),
             ("null_status_code", "status_code IS NULL"), ("bad_timestamps", "event_time IS NULL"),
@@ -332,6 +404,12 @@ ORACLE: dict[str, str] = {
     "lof_reference": f"""{_BURST_FEATURES}, scaled AS (SELECT row_id, {_SCALED} FROM features),
         reference AS (SELECT * FROM scaled ORDER BY md5('42-' || row_id), row_id LIMIT 512)"""
         + _lof("scaled", [f"{c}_scaled" for c in _TEN], "reference") + " SELECT row_id, round(lof_score, 6) AS lof_score FROM lof",
+    "isolation_forest": f"""{_BURST_FEATURES}{_INPUTS},{_forest()} SELECT row_id, raw_score AS isolation_forest_score,
+        raw_score < (SELECT quantile_cont(raw_score, 0.1) FROM forest) AS isolation_forest_flag FROM forest""",
+    "lof_features": f"""{_BURST_FEATURES}{_INPUTS},{_factor()} SELECT row_id, lof_score,
+        lof_score < (SELECT quantile_cont(lof_score, 0.1) FROM lof) AS lof_flag FROM lof""",
+    "scored_logs": f"""{_BURST_SCORED} SELECT row_id, ip_address, attack_type, isolation_forest_score, lof_score,
+        isolation_forest_flag, lof_flag, {_six('max_zscore')}, zscore_flag, top_flag, threat_score, severity FROM scored""",
     "threat_score": f"""{_BURST_SCORED} SELECT row_id, isolation_forest_flag, lof_flag, zscore_flag, is_bot,
         threat_score, severity FROM scored""",
     "alerts": f"{_BURST_SCORED} SELECT {_ALERT_COLUMNS} FROM alerts",
@@ -362,17 +440,13 @@ ORACLE: dict[str, str] = {
         SELECT category, count(*) AS requests, count(*) FILTER (threat_score >= 25) AS flagged,
           round(count(*) FILTER (threat_score >= 25) * 100.0::DOUBLE / count(*), 6) AS rate_pct
         FROM lines GROUP BY category""",
-    "detector_comparison": _BURST_SCORED + " UNION ALL ".join(
-        f" SELECT '{name}' AS detector, count(*) FILTER ({flag}) AS detections,"
-        f" count(*) FILTER (({flag}) AND attack_type = 'normal') AS false_positives,"
-        f" round(count(*) FILTER (({flag}) AND attack_type <> 'normal') * 100.0::DOUBLE"
-        " / count(*) FILTER (attack_type <> 'normal'), 6) AS detection_rate_pct FROM scored"
-        for name, flag in _DETECTORS),
+    "detector_comparison": _comparison(),
+    "detector_comparison_full": _comparison(),
     "overview_kpis": f"""{_BURST_SCORED} SELECT count(*) AS total_logs, count(*) FILTER (threat_score >= 25) AS flagged,
         count(DISTINCT ip_address) AS unique_ips,
         count(DISTINCT CASE WHEN threat_score >= 25 AND attack_type <> 'normal' THEN attack_type END) AS attack_types_detected,
         round(count(*) FILTER (threat_score >= 25) * 100.0::DOUBLE / count(*), 6) AS anomaly_rate_pct FROM scored""",
-    "score_scatter_sample": f"""{_BURST_SCORED} SELECT row_id, {_six('isolation_forest_score', 'lof_score')}, attack_type
+    "score_scatter_sample": f"""{_BURST_SCORED} SELECT row_id, isolation_forest_score, lof_score, attack_type
         FROM scored ORDER BY md5('1-' || row_id), row_id LIMIT 6000""",
     "stream_parse": f"WITH{_log()}{_DIRTY} SELECT row_id, {_RAW} FROM dirty",
     "stream_rejects": f"""WITH{_log()} SELECT CASE WHEN row_id % 101 = 0 THEN 'not json' ELSE '{{"timest' END AS start,

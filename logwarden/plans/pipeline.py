@@ -11,7 +11,7 @@ from logwarden.operators.durable import durable
 from logwarden.operators.features import HOT_ROWS, log_features
 from logwarden.operators.ingest import clean_logs
 from logwarden.operators.isolation_forest import fit_forest, forest_anomaly
-from logwarden.operators.lof import REFERENCE_ROWS, exact_lof, lof_score
+from logwarden.operators.lof import exact_lof
 from logwarden.operators.quantile import exact_quantile
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
 
@@ -24,49 +24,48 @@ def with_threat_score(flagged: DataFrame) -> DataFrame:
             .withColumn("severity", severity(F.col("threat_score"))))
 
 
-def detect(
-    features: DataFrame,
-    reference_rows: int | None = REFERENCE_ROWS,
-    contamination: float = V.CONTAMINATION,
-) -> DataFrame:
-    """Runs the three detectors over feature rows and adds the composite score.
+def model_inputs(ready: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Row keys and the ten standard scores, written once and narrow; the models read them often.
 
-    ``reference_rows=None`` compares each row with all others for its outlier factor,
-    which is exact but no longer linear in the rows.
+    Six digits: rows that differ by the noise of a sum are copies of each other to the models.
+    """
+    names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
+    scaled = standard_scale(ready).select("row_id", *[F.round(c, V.MODEL_PLACES).alias(c) for c in names])
+    return durable(scaled, "scaled"), names
+
+
+def model_scores(ready: DataFrame) -> DataFrame:
+    """(row_id, isolation_forest_score, lof_score) of both models over all rows; lower is worse."""
+    scaled, names = model_inputs(ready)
+    nodes, psi = fit_forest(scaled, names)
+    forest = scaled.select("row_id", (-forest_anomaly(nodes, psi, names)).alias("isolation_forest_score"))
+    both = forest.join(exact_lof(scaled, names), "row_id")
+    return durable(both.select("row_id", *[F.round(c, V.SCORE_PLACES).alias(c) for c in FLAG_SCORES]), "scores")
 
-    Two tables are written on the way, because their rows are read several times: the
-    features (moments, forest sample, reference rows, scoring) and the model scores
-    (thresholds, result). Everything kept outside of them is bounded: one row of moments,
-    the forest and the reference set.
+
+def detect(features: DataFrame, contamination: float = V.CONTAMINATION) -> DataFrame:
+    """Runs the three detectors over all feature rows and adds the composite score.
+
+    Row keys must be unique. The outlier factor compares each row with all others, by a pruned
+    search. Written on the way are the features, the models' narrow inputs and their scores.
+    What the driver holds is bounded by settings: one row of moments, the forest, the pivots.
     """
     ready = durable(sanitize_features(features), "features")
-    total = ready.count()
-    scaled = standard_scale(ready)
-    names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
-    nodes, psi = fit_forest(scaled, names, total=total)
-    modelled = scaled.withColumn("anomaly", forest_anomaly(nodes, psi, names))
-    if reference_rows is None:
-        modelled = modelled.join(exact_lof(scaled, names), "row_id")
-    else:
-        modelled = modelled.withColumn(
-            "lof_score", lof_score(scaled, names, reference_rows=reference_rows, total=total))
-    modelled = modelled.withColumn("isolation_forest_score", -F.col("anomaly")).drop("anomaly", *names)
-    scores = durable(modelled, "scores")
+    scores = model_scores(ready)
     offset = exact_quantile(scores, "isolation_forest_score", contamination)
     lof_limit = exact_quantile(scores, "lof_score", contamination)
-    flagged = scores.withColumns({
-        "isolation_forest_score": F.col("isolation_forest_score") - F.lit(offset),
-        "isolation_forest_flag": F.col("isolation_forest_score") < F.lit(offset),
-        "lof_flag": F.col("lof_score") < F.lit(lof_limit),
-    })
-    return with_threat_score(zscore_baseline(flagged))
-
-
-def score_logs(
-    raw: DataFrame, reference_rows: int | None = REFERENCE_ROWS, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
-    """Raw access log (with ``row_id``) to scored log."""
-    return detect(log_features(clean_logs(raw), hot_rows), reference_rows)
+    flags = scores.select(
+        "row_id",
+        F.round(F.col("isolation_forest_score") - F.lit(offset), V.SCORE_PLACES).alias("isolation_forest_score"),
+        (F.col("isolation_forest_score") < F.lit(offset)).alias("isolation_forest_flag"),
+        "lof_score",
+        (F.col("lof_score") < F.lit(lof_limit)).alias("lof_flag"))
+    return with_threat_score(zscore_baseline(ready).join(flags, "row_id"))
+
+
+def score_logs(raw: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Raw access log (with a unique ``row_id``) to scored log."""
+    return detect(log_features(clean_logs(raw), hot_rows))
 
 
 def alerts(scored: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
 from logwarden.operators import reports
-from logwarden.operators.isolation_forest import expected_path, fit_forest, forest_anomaly
+from logwarden.operators.isolation_forest import draw, expected_path, fit_forest, forest_anomaly
 from logwarden.operators.lof import lof_score
 from logwarden.operators.quantile import contamination_flag, exact_quantile
 from logwarden.operators.sampling import hash_sample
@@ -15,16 +15,20 @@ from logwarden.operators.scaling import zscore_baseline
 from logwarden.plans.pipeline import alerts, detect, sorted_alerts
 
 
+PROBES = 12
+
+
 def planted() -> pd.DataFrame:
-    rng = np.random.default_rng(7)
-    normal = pd.DataFrame({c: rng.normal(1.0, 0.1, 80) for c in V.FEATURE_COLUMNS})
-    normal = normal.assign(
-        is_offhours=0.0, suspicious_param_rate=rng.uniform(0.0, 0.1, 80), is_bot=False, attack_type="normal")
-    outlier = pd.DataFrame({c: rng.normal(20.0, 1.0, 8) for c in V.FEATURE_COLUMNS})
-    outlier = outlier.assign(
-        is_offhours=1.0, suspicious_param_rate=rng.uniform(0.8, 1.0, 8), is_bot=True, attack_type="brute_force")
-    rows = pd.concat([normal, outlier], ignore_index=True)
-    return rows.assign(row_id=range(len(rows)), ip_address="10.0.0.1", event_time=pd.Timestamp("2026-01-01"))
+    """Three regimes of ordinary traffic on a ring of feature values, and a few rows far off it."""
+    rng = np.random.default_rng(20)
+    angle = rng.uniform(0.0, 6.3, (228, 1)) + np.arange(len(V.FEATURE_COLUMNS))
+    ordinary = 3.0 + np.cos(angle) + rng.exponential(0.05, angle.shape)
+    strange = rng.uniform(30.0, 60.0, (PROBES, ordinary.shape[1]))
+    rows = pd.DataFrame(np.vstack([strange, ordinary]), columns=V.FEATURE_COLUMNS)
+    attack = np.arange(len(rows)) < PROBES
+    return rows.assign(
+        is_bot=attack, attack_type=np.where(attack, "bot_scraper", "normal"),
+        row_id=rng.permutation(len(rows)), ip_address="10.0.0.1", event_time=pd.Timestamp("2026-01-01"))
 
 
 @pytest.fixture(scope="module")
@@ -32,31 +36,31 @@ def scored(spark):
     return detect(spark.createDataFrame(planted())).toPandas()
 
 
-def test_exact_factor_scores_the_same_rows(spark, scored):
-    exact = detect(spark.createDataFrame(planted()), reference_rows=None).toPandas().sort_values("row_id")
-    known = scored.sort_values("row_id")
-    assert exact.lof_score.to_numpy() == pytest.approx(known.lof_score.to_numpy())
-    assert exact.threat_score.tolist() == known.threat_score.tolist()
-
+def test_model_scores_follow_from_their_inputs(spark, scored):
+    """Factor and share flagged, computed again from the standard scores."""
+    features = scored[V.FEATURE_COLUMNS].to_numpy()
+    standard = np.round((features - features.mean(axis=0)) / features.std(axis=0), V.MODEL_PLACES)
+    order = np.argsort(scored.row_id.to_numpy())
+    factor = np.empty(len(scored))
+    factor[order] = brute_lof(standard[order], V.LOF_NEIGHBORS)
+    assert scored.lof_score.to_numpy() == pytest.approx(factor, abs=1e-6)
+    for flag, score in (("lof_flag", "lof_score"), ("isolation_forest_flag", "isolation_forest_score")):
+        assert (scored[flag] == (scored[score] < scored[score].quantile(V.CONTAMINATION))).all()
 
-def test_score_is_the_weighted_sum(scored):
-    expected = (35 * scored.isolation_forest_flag + 35 * scored.lof_flag + 20 * scored.zscore_flag
-                + 5 * scored.is_bot + 5 * (scored.suspicious_param_rate > 0.5))
-    assert (scored.threat_score == expected).all()
-    assert scored.threat_score.between(0, 100).all()
 
+def test_composite_recomputed_row_by_row(scored):
+    points = {"isolation_forest_flag": 35, "lof_flag": 35, "zscore_flag": 20, "is_bot": 5}
+    for row in scored.itertuples():
+        total = sum(p for name, p in points.items() if getattr(row, name)) + (5 if row.suspicious_param_rate > 0.5 else 0)
+        steps = [label for label, least in (("CRITICAL", 75), ("HIGH", 50), ("MEDIUM", 25)) if total >= least]
+        assert (row.threat_score, row.severity) == (total, (steps or ["NORMAL"])[0])
 
-def test_severity_follows_the_score(scored):
-    label = pd.cut(scored.threat_score, [-1, 24, 49, 74, 100], labels=["NORMAL", "MEDIUM", "HIGH", "CRITICAL"])
-    assert (scored.severity == label.astype(str)).all()
 
-
-def test_planted_outliers_are_found(scored):
-    outliers = scored.attack_type == "brute_force"
-    assert (scored[outliers].threat_score >= 25).all()
-    assert scored[outliers].isolation_forest_score.max() < scored[~outliers].isolation_forest_score.min()
-    assert (scored.isolation_forest_flag == (scored.isolation_forest_score < 0)).all()
-    assert scored.isolation_forest_flag.sum() == 9 == scored.lof_flag.sum()
+def test_rows_off_the_ring_lead_the_queue(spark, scored):
+    first = scored.sort_values("isolation_forest_score").head(PROBES)
+    assert set(first.attack_type) == {"bot_scraper"}
+    queue = [r.attack_type for r in sorted_alerts(spark.createDataFrame(scored)).head(PROBES)]
+    assert queue == ["bot_scraper"] * PROBES
 
 
 def test_models_do_not_depend_on_partitioning(spark):
@@ -72,7 +76,7 @@ def test_models_do_not_depend_on_partitioning(spark):
     assert results[0].anomaly.between(0, 1).all()
 
 
-def test_forest_draws_disjoint_samples_of_large_tables(spark):
+def test_forest_of_a_large_table(spark):
     rows = spark.range(20000).select(
         F.col("id").alias("row_id"), F.rand(3).alias("a"), F.when(F.col("id") % 100 == 5, 50.0).otherwise(F.rand(4)).alias("b"))
     nodes, psi = fit_forest(rows, ["a", "b"], trees=40, sample_rows=64)
@@ -84,6 +88,12 @@ def test_forest_draws_disjoint_samples_of_large_tables(spark):
     assert far > near + 0.1
 
 
+def test_draws_are_spread_and_repeatable():
+    drawn = [draw(42, tree, node, "feature") for tree in range(100) for node in range(20)]
+    assert drawn == [draw(42, tree, node, "feature") for tree in range(100) for node in range(20)]
+    assert 0.0 <= min(drawn) and max(drawn) < 1.0 and np.histogram(drawn, 4, (0, 1))[0].min() > 400
+
+
 def test_expected_path():
     assert expected_path(np.array([0, 1, 2])).tolist() == [0, 0, 1]
     assert float(expected_path(256)) == pytest.approx(10.24, abs=0.01)
@@ -148,9 +158,9 @@ def test_alerts_are_sorted_and_reported(spark, scored):
     assert listed == sorted(listed, reverse=True) and min(listed) >= 25
     assert reports.top_dangerous_ips(alerts(frame)).first().top_severity == "CRITICAL"
     counts = {r.severity: r.requests for r in reports.severity_distribution(frame).collect()}
-    assert set(counts) == {"CRITICAL", "HIGH", "MEDIUM", "NORMAL"} and sum(counts.values()) == 88
+    assert set(counts) == {"CRITICAL", "HIGH", "MEDIUM", "NORMAL"} and sum(counts.values()) == 228 + PROBES
     rates = {r.category: r for r in reports.detection_rates(frame).collect()}
-    assert rates["ATTACK (overall)"].rate_pct == 100.0 == rates["brute_force"].rate_pct
+    assert rates["ATTACK (overall)"].rate_pct == 100.0 == rates["bot_scraper"].rate_pct
     assert {r.detector for r in reports.detector_comparison(frame).collect()} == {
         "Isolation Forest", "Local Outlier Factor", "Z-Score Baseline", "Composite (Combined)"}
     assert reports.overview_kpis(frame.limit(0)).first().anomaly_rate_pct == 0.0

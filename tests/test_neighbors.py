@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 
 from logwarden.operators.lof import exact_lof
-from logwarden.operators.neighbors import first_copies, nearest_neighbors
+from logwarden.operators.neighbors import _located, cell_visits, first_copies, nearest_neighbors, pivot_count
+from logwarden.plans.catalog import _ready
+from logwarden.plans.pipeline import model_inputs
 from tests.test_detectors import brute_lof
 
 
@@ -45,3 +47,11 @@ def test_exact_factor_with_many_copies(spark):
     assert first_copies(frame, ["a", "b", "c"], 21).count() < len(rows)
     got = exact_lof(frame, ["a", "b", "c"]).toPandas().sort_values("row_id").lof_score.to_numpy()
     assert got == pytest.approx(brute_lof(rows.sort_values("row_id")[["a", "b", "c"]].to_numpy(), 20))
+
+
+def test_rows_visit_few_cells_on_the_ten_features(spark):
+    scaled, names = model_inputs(_ready(spark, "/root/testdata/sf0.01"))
+    total = scaled.count()
+    located, centers = _located(scaled, names, pivot_count(total), total)
+    visits = cell_visits(located, centers, names, 20).count()
+    assert total < visits < 0.4 * total * len(centers)
