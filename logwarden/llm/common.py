@@ -57,18 +57,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def label_sample(labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """At most about ``bound`` labelled ids that may be learnt from, chosen by a hash of the id.
+#: Ids that a join may broadcast, by a count made first; more are shuffled.
+BROADCAST_IDS = 2_000_000
+
 
-    One rule at every size: an id is taken if its hash lies in the lowest ``bound / rows`` of the
-    range. Rows without id or label and ids with two different labels are left out.
+def usable_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of all ids that may be learnt from.
+
+    Rows without id or label and ids with two different labels are left out.
     """
-    usable = (
+    return (
         labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .where("label = other").select("doc_id", "label")
     )
+
+
+def label_sample(labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """At most about ``bound`` of the usable labels, chosen by a hash of the id.
+
+    One rule at every size: an id is taken if its hash lies in the lowest ``bound / rows`` of the range.
+    """
+    usable = usable_labels(labels, label)
     rows = usable.count()
     share = min(1.0, bound / max(rows, 1))
     return usable.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
