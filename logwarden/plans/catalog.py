@@ -85,6 +85,16 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_access_log(spark, path, row_id=False)
 
 
+def csv_row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a CSV log in which every seventh line occurs twice."""
+    log = access_log(spark, sf_dir)
+    path = durable_path(spark, "log") + ".csv"
+    twice = log.unionByName(log.filter(F.col("row_id") % 7 == 0)).select(V.REQUIRED_COLUMNS)
+    files.write_csv(twice, path)
+    return files.read_access_log(spark, path).groupBy("attack_type").agg(
+        F.count(F.lit(1)).alias("requests"), F.countDistinct("row_id").alias("row_keys"))
+
+
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = durable_path(spark, "clean")
     files.write_parquet(_clean(spark, sf_dir), path, partition_by=("batch_id",))
@@ -404,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "minimum_slice_top10": minimum_slice,
     "scan_access_log": scan_access_log,
     "csv_roundtrip": csv_roundtrip,
+    "csv_row_keys": csv_row_keys,
     "parquet_roundtrip": parquet_roundtrip,
     "json_roundtrip": json_roundtrip,
     "external_alert_table": external_alert_table,

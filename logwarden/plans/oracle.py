@@ -336,6 +336,8 @@ ORACLE: dict[str, str] = {
         ORDER BY max_threat_score DESC, alert_count DESC, ip_address LIMIT 10""",
     "scan_access_log": f"WITH{_log()} SELECT row_id, {_RAW} FROM log",
     "csv_roundtrip": f"WITH{_log()} SELECT {_RAW} FROM log",
+    "csv_row_keys": f"""WITH{_log()}, twice AS (SELECT * FROM log UNION ALL SELECT * FROM log WHERE row_id % 7 = 0)
+        SELECT attack_type, count(*) AS requests, count(*) AS row_keys FROM twice GROUP BY attack_type""",
     "parquet_roundtrip": f"""{_EVENT_CLEAN} SELECT row_id, {_RAW}, event_time, is_bot, browser_type, base_url,
         has_suspicious_params FROM clean""",
     "json_roundtrip": f"WITH{_log()} SELECT {_RAW} FROM log",

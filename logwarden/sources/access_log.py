@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
 from logwarden.functions.text import parse_event_time
+from logwarden.operators.durable import durable
 
 ROW_ID = "row_id"
 
@@ -27,20 +28,21 @@ def read_access_log(
     """Read a log directory. CSV is read with the declared schema, never by inference.
 
     Without ``file_format``, names ending in ``.csv`` are CSV and all else is Parquet.
-    ``row_id`` adds a key that stays the same however often and wherever the read is
-    repeated: file and position for Parquet, a content hash for CSV.
+    ``row_id`` adds a unique key, repeated lines included: file and position. For Parquet it is
+    the same in every read. CSV lines have no position, so a CSV log is first written to the
+    shared folder as Parquet and keyed there; the key holds for that read.
     """
     if file_format is None:
         file_format = "csv" if path.rstrip("/").endswith(".csv") else "parquet"
     if file_format == "csv":
         log = spark.read.schema(V.LOG_SCHEMA).option("header", True).option("escape", '"').csv(path)
-        key = F.xxhash64(*V.REQUIRED_COLUMNS)
+        log = durable(log, "csv") if row_id else log
     else:
         log = spark.read.parquet(path)
-        position = F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")
-        key = F.concat_ws("-", F.hex(F.xxhash64("_metadata.file_path")), position)
     validate_columns(log.columns)
     if row_id and ROW_ID not in log.columns:
+        position = F.lpad(F.col("_metadata.row_index").cast("string"), 12, "0")
+        key = F.concat_ws("-", F.hex(F.xxhash64("_metadata.file_path")), position)
         log = log.select("*", key.alias(ROW_ID))
     return log
 

@@ -1,7 +1,9 @@
 """The running alert stream: scored micro-batches with a baseline that survives restarts.
 
-Everything a micro-batch writes lies under its own ``batch_id``, so a batch that is run
-again after a failure replaces its earlier output instead of adding to it.
+Everything a micro-batch writes lies under its run and its own ``batch_id``, so a batch that is
+run again after a failure replaces its earlier output instead of adding to it. A run is what one
+checkpoint belongs to: a query started with a new checkpoint on the same root, whose numbers
+begin again at 0, writes beside the earlier runs.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ STATE_SCHEMA = T.StructType(
 class AlertStream:
     """Where the stream keeps its alerts and its per-batch state (metrics and baseline)."""
 
-    def __init__(self, root: str) -> None:
-        self.root = root
+    def __init__(self, root: str, run: str | None = None) -> None:
+        """``run`` is only for batches passed in by hand; a query's run is its own id."""
+        self.root, self._run = root, run
         # The window the last batch left, to spare a read; after a restart it is read back.
         self._left: tuple[int, list[tuple]] = (-1, [])
 
@@ -40,16 +43,21 @@ class AlertStream:
     def state_path(self) -> str:
         return f"{self.root}/state"
 
+    def run_of(self, spark: SparkSession) -> str:
+        """The id of the running query, which its checkpoint keeps over restarts."""
+        return self._run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Score one micro-batch in a single pass: metrics are observed while alerts are written."""
         spark = batch.sparkSession
-        window = self._window_before(spark, batch_id)
+        place = f"run={self.run_of(spark)}"
+        window = self._window_before(spark, place, batch_id)
         mean, std = _baseline(window)
         scored = score_events(enrich_events(batch), F.lit(mean), F.lit(std))
         seen = Observation()
         (stream_alerts(scored.observe(seen, *batch_metrics(), *moments()))
          .select(*V.STREAM_ALERT_COLUMNS)
-         .write.mode("overwrite").parquet(f"{self.alerts_path}/batch_id={batch_id}"))
+         .write.mode("overwrite").parquet(f"{self.alerts_path}/{place}/batch_id={batch_id}"))
         found = seen.get
         if found["n"]:
             window = [*window, (found["n"], found["s"], found["sq"])][-V.BASELINE_BATCHES:]
@@ -57,21 +65,26 @@ class AlertStream:
         row = [F.lit(found[name]).cast("long").alias(name) for name in METRIC_NAMES]
         row.append(F.array(*entries).cast(STATE_SCHEMA["window"].dataType).alias("window"))
         (spark.range(1, numPartitions=1).select(*row)
-         .write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}"))
+         .write.mode("overwrite").parquet(f"{self.state_path}/{place}/batch_id={batch_id}"))
         self._left = (batch_id, window)
 
-    def _window_before(self, spark: SparkSession, batch_id: int) -> list[tuple]:
-        """Moments of up to ten earlier batches, from the row the previous batch left."""
+    def _window_before(self, spark: SparkSession, place: str, batch_id: int) -> list[tuple]:
+        """Moments of up to ten earlier batches, from the row the previous batch left.
+
+        Raises when a batch other than the first finds no such row, rather than score without a baseline.
+        """
+        if batch_id == 0:
+            return []
         if self._left[0] == batch_id - 1:
             return self._left[1]
-        path = f"{self.state_path}/batch_id={batch_id - 1}"
+        path = f"{self.state_path}/{place}/batch_id={batch_id - 1}"
         try:
             row = spark.read.schema(STATE_SCHEMA).parquet(path).select("window").first()
         except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return []
-        return [tuple(entry) for entry in row["window"]] if row else []
+            raise ValueError(f"No state of the batch before {batch_id}: {path}") from missing
+        if row is None:
+            raise ValueError(f"No state of the batch before {batch_id}: {path}")
+        return [tuple(entry) for entry in row["window"]]
 
     def start(
         self, events: DataFrame, checkpoint: str, available_now: bool = False,

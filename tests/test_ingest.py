@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
 from logwarden.operators.ingest import clean_logs, quality_report
+from logwarden.plans.pipeline import score_logs
 from logwarden.sources import access_log as files
 from logwarden.sources.driver_tables import access_log
 
@@ -71,3 +72,12 @@ def test_kafka_writer_needs_only_the_connector(spark):
     assert value.key == "10.0.0.1" and '"url":"/a?x=1"' in value.value
     with pytest.raises(Exception, match="(?i)kafka"):
         files.publish_to_kafka(log(spark, ROWS), "nowhere:9", "t")
+
+
+def test_repeated_csv_lines_get_their_own_keys_and_scores(spark, sf, tmp_path):
+    requests = access_log(spark, sf, "burst").limit(300).select(V.REQUIRED_COLUMNS)
+    path = str(tmp_path / "log.csv")
+    files.write_csv(requests.unionByName(requests.limit(20)), path)
+    scored = score_logs(files.read_access_log(spark, path))
+    timed = scored.count()
+    assert timed > 300 and scored.select("row_id").distinct().count() == timed

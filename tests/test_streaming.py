@@ -44,10 +44,27 @@ def test_baseline_survives_a_restart_and_replay_adds_nothing(spark, tmp_path):
     metrics = {r.batch_id: (r.events, r.alerts, r.medium) for r in second.metrics(spark).collect()}
     assert metrics == {0: (3, 0, 0), 1: (3, 2, 2)}
     again = spark.createDataFrame([event(5000), event(101), event(None, agent="curl/7")], V.LOG_SCHEMA)
-    AlertStream(str(root)).process_batch(again, 1)
+    runs = [r.run for r in second.alerts(spark).select("run").distinct().collect()]
+    assert len(runs) == 1 and runs != ["direct"]
+    AlertStream(str(root), runs[0]).process_batch(again, 1)
     assert second.alerts(spark).count() == 2 and second.metrics(spark).count() == 2
 
 
+def test_a_new_checkpoint_on_the_same_root_loses_nothing(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    write(source, "a.json", [event(100, agent="curl/7"), event(102, agent="curl/7")])
+    for checkpoint in ("one", "two"):
+        stream = AlertStream(str(root))
+        raw = files.read_event_stream(spark, "text", {"path": str(source)})
+        stream.start(parse_events(raw), f"{tmp_path}/{checkpoint}", available_now=True).awaitTermination()
+    assert stream.alerts(spark).groupBy("run").count().toPandas()["count"].tolist() == [2, 2]
+
+
+def test_missing_state_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="before 3"):
+        AlertStream(str(tmp_path)).process_batch(spark.createDataFrame([event(10)], V.LOG_SCHEMA), 3)
+
+
 def test_empty_batches_take_no_slot(spark, tmp_path):
     stream = AlertStream(str(tmp_path))
     empty = spark.createDataFrame([], V.LOG_SCHEMA)
