@@ -8,7 +8,7 @@ runs without a gap over an hour; runs begun minus runs ended is the number alive
 
 One hash exchange on the address serves all ten. Addresses with more than ``hot_rows``
 requests would still make one huge task, so they take ``hot_features`` instead, which
-splits an address by time.
+splits an address into blocks of rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from logwarden import fixed_values as V
 from logwarden.functions import text
 from logwarden.functions.scoring import guarded_ratio
 from logwarden.functions.timekeys import MICROS, epoch_micros, interval_seconds
-from logwarden.operators.hot_features import NULL_ADDRESS, find_hot_addresses, hot_features
+from logwarden.operators.hot_features import (
+    NULL_ADDRESS, TOTALS, find_hot_addresses, hot_features, trailing_total)
 
 HOT_ROWS = 1_000_000
 
@@ -37,11 +38,11 @@ def log_features(clean: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame
     ``hot_rows=None`` skips the look for hot addresses (one narrow pre-aggregated pass).
     """
     rows = _prepared(clean)
-    hot = find_hot_addresses(clean, rows, hot_rows) if hot_rows is not None else None
-    if hot is None:
+    names = find_hot_addresses(clean, hot_rows) if hot_rows is not None else None
+    if names is None:
         return _finished(_windowed(rows), clean)
-    cold = rows.join(F.broadcast(hot), KEY, "left_anti")
-    split = hot_features(rows, hot, run_flags)
+    cold = rows.join(names, KEY, "left_anti")
+    split = hot_features(rows, names, hot_rows, run_flags)
     return _finished(_windowed(cold), clean).unionByName(_finished(split, clean))
 
 
@@ -95,28 +96,12 @@ def run_flags(rows: DataFrame, *part: str, only_url: tuple[Column, ...] = (),
 
 def _windowed(rows: DataFrame) -> DataFrame:
     ordered = W.partitionBy(KEY).orderBy(AT)
-    so_far = ordered.rangeBetween(W.unboundedPreceding, W.currentRow)
-
-    def trailing(entering: str, seconds: int, leaving: str | None = None) -> Column:
-        expired = ordered.rangeBetween(W.unboundedPreceding, -seconds * MICROS - 1)
-        gone = F.coalesce(F.sum(leaving or entering).over(expired), F.lit(0))
-        return F.sum(entering).over(so_far) - gone
-
-    minute, five = V.MINUTE_SECONDS, V.FIVE_MINUTES_SECONDS
-    half, hour = V.HALF_HOUR_SECONDS, V.HOUR_SECONDS
     # Grouped by address once; the finer groups of the flags lie within it. Left to itself
     # the planner would shuffle anew for each of them.
     rows = run_flags(rows.repartition(KEY), KEY).withColumn("_one", F.lit(1))
     return rows.withColumns({
-        "_n60": trailing("_one", minute),
-        "_n300": trailing("_one", five),
-        "_n1800": trailing("_one", half),
-        "_post300": trailing(POST, five),
-        "_err300": trailing(ERR, five),
-        "_susp1800": trailing(SUSP, half),
-        "_size3600": trailing(SIZE, hour),
-        "_sized3600": trailing(SIZED, hour),
-        "_urls3600": trailing(OPENS, hour, CLOSES),
+        name: trailing_total(ordered, seconds, entering, leaving)
+        for name, (seconds, entering, leaving) in TOTALS.items()
     }).withColumn("_variance", F.var_samp(GAP).over(W.partitionBy(KEY)))
 
 

@@ -1,23 +1,23 @@
 """Behavioural features of addresses too busy for one task.
 
-A hot address is cut into time blocks of about ``hot_rows`` requests, and (address,
-block) takes the place of the address as the unit of work:
+A hot address is cut into blocks of ``hot_rows`` to twice as many requests, and (address, block)
+takes the place of the address as the unit of work. Cuts follow the rows, not the clock: hours
+that a cut falls into are counted by seconds, and seconds that alone exceed a block by instants.
 
-* comparisons with the previous or next request get *boundary rows*: the last (first)
-  row of each group is also sent to the next (previous) block in which the group occurs;
-* trailing totals become sums of changes. A request adds when it arrives and subtracts
-  just after each frame width has passed; the total at ``t`` is the sum of all changes
-  up to ``t``: those of earlier blocks (one small row per block, added up) plus the
-  running sum inside the block.
+* Comparisons with the previous or next request get *boundary rows*: the last (first) row of each
+  group is also sent to the next (previous) block in which the group occurs.
+* A trailing total is what has arrived less what has expired. A request that expires in its own
+  block needs nothing more; one that expires in a later block is sent there as a narrow copy,
+  summed up by instant. What arrived or expired in earlier blocks is one small row per block.
 
-The result is exact for any block width.
+The result is exact for any cuts. Requests of one instant share a block, however many they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,50 +25,104 @@ from logwarden import fixed_values as V
 from logwarden.functions.timekeys import MICROS
 from logwarden.operators.durable import durable
 
-# The hot list is collected and broadcast, so it is kept this short. Addresses beyond it
-# stay on the plain path, where each holds less than 1/MAX_HOT of all rows.
-MAX_HOT = 10_000
 # Stands for the missing address, whose requests form one group as in any window.
 NULL_ADDRESS = "\u0000"
 
-TOTALS = ["_n60", "_n300", "_n1800", "_post300", "_err300", "_susp1800",
-          "_size3600", "_sized3600", "_urls3600"]
-
-
-def find_hot_addresses(clean: DataFrame, rows: DataFrame, hot_rows: int) -> DataFrame | None:
-    """(address, first time, block width) of addresses with more than ``hot_rows`` rows.
-
-    The first pass reads the address column alone and usually finds nothing; only then
-    are the times of the few hot addresses looked at.
+# Trailing totals: frame width, what a request adds, what it takes along when it expires.
+TOTALS = {
+    "_n60": (V.MINUTE_SECONDS, "_one", "_one"),
+    "_n300": (V.FIVE_MINUTES_SECONDS, "_one", "_one"),
+    "_n1800": (V.HALF_HOUR_SECONDS, "_one", "_one"),
+    "_post300": (V.FIVE_MINUTES_SECONDS, "_post", "_post"),
+    "_err300": (V.FIVE_MINUTES_SECONDS, "_err", "_err"),
+    "_susp1800": (V.HALF_HOUR_SECONDS, "_susp", "_susp"),
+    "_size3600": (V.HOUR_SECONDS, "_size", "_size"),
+    "_sized3600": (V.HOUR_SECONDS, "_sized", "_sized"),
+    "_urls3600": (V.HOUR_SECONDS, "_opens", "_closes"),
+}
+WIDTHS = sorted({seconds for seconds, _, _ in TOTALS.values()})
+# Cuts are looked up by the hour; no frame reaches beyond the next one.
+SLOT = V.HOUR_SECONDS * MICROS
+
+
+def trailing_total(ordered: WindowSpec, seconds: int, entering: str, leaving: str) -> Column:
+    """Sum over the last ``seconds``, by two frames that only ever grow."""
+    so_far = ordered.rangeBetween(W.unboundedPreceding, W.currentRow)
+    expired = ordered.rangeBetween(W.unboundedPreceding, -seconds * MICROS - 1)
+    return F.sum(entering).over(so_far) - F.coalesce(F.sum(leaving).over(expired), F.lit(0))
+
+
+def find_hot_addresses(clean: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Addresses (``_key``) with more than ``hot_rows`` rows.
+
+    The pass reads the address column alone and usually finds nothing. There are at most
+    rows / hot_rows of them; they are written, so that joins with them go by their true size.
     """
     key = F.coalesce(F.col("ip_address"), F.lit(NULL_ADDRESS)).alias("_key")
-    busiest = (clean.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-               .orderBy(F.desc("n"), "_key").limit(MAX_HOT).collect())
-    if not busiest:
-        return None
-    names = clean.sparkSession.createDataFrame([(r["_key"],) for r in busiest], "_key string")
-    spans = rows.join(F.broadcast(names), "_key").groupBy("_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"), F.max("_at").alias("last")).collect()
-    if not spans:
-        return None
-    listed = []
-    for r in spans:
-        blocks = -(-r.n // max(hot_rows, 1))
-        listed.append((r["_key"], r["first"], max((r["last"] - r["first"]) // blocks, 1)))
-    return clean.sparkSession.createDataFrame(listed, "_key string, _first long, _width long")
-
-
-def hot_features(rows: DataFrame, hot: DataFrame, run_flags: Callable[..., DataFrame]) -> DataFrame:
+    counts = clean.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    names = durable(counts.filter(F.col("n") > hot_rows).select("_key"), "hot-names")
+    return None if names.isEmpty() else names
+
+
+def hot_features(
+    rows: DataFrame, names: DataFrame, hot_rows: int, run_flags: Callable[..., DataFrame]
+) -> DataFrame:
     """Rows of the hot addresses with flags, trailing totals and gap variance."""
-    blocked = rows.join(F.broadcast(hot), "_key").withColumn("_block", _block(F.col("_at")))
-    flagged = durable(_flagged(blocked, run_flags), "hot")
-    # Partial aggregation first; the result has one row per hot address.
-    variance = flagged.groupBy("_key").agg(F.var_samp("_gap").alias("_variance"))
-    return _trailing_totals(flagged).join(F.broadcast(variance), "_key")
+    hot = rows.join(names, "_key")
+    cuts = durable(block_cuts(hot.select("_key", "_at"), hot_rows), "hot-cuts")
+    flagged = durable(_flagged(in_blocks(hot, cuts), run_flags), "hot")
+    return _trailing_totals(flagged)
 
 
-def _block(at: Column) -> Column:
-    return F.floor((at - F.col("_first")) / F.col("_width"))
+def block_cuts(times: DataFrame, hot_rows: int) -> DataFrame:
+    """(_key, _slot, _cuts) per hour with rows: the blocks (start, block) of it and of the next hour.
+
+    A block starts at the row whose rank among the address's rows is a multiple of ``hot_rows``, or
+    at the first row of its second (of its instant, in seconds that exceed a block on their own).
+    """
+    def block(rank: Column) -> Column:
+        return F.floor(rank / hot_rows)
+
+    def ranked(counts: DataFrame, by: str, *part: str) -> DataFrame:
+        before = W.partitionBy(*part).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return counts.withColumn("_rank", F.col("_rank") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+    one, slot, second = F.count(F.lit(1)).alias("n"), F.floor(F.col("_at") / SLOT), F.floor(F.col("_at") / MICROS)
+    timed = times.withColumns({"_slot": slot, "_second": second})
+    hours = timed.groupBy("_key", "_slot").agg(one)
+    following = hours.select("_key", (F.col("_slot") + 1).alias("_slot"), F.lit(0).alias("n"))
+    slots = hours.unionByName(following).groupBy("_key", "_slot").agg(F.sum("n").alias("n"))
+    slots = durable(ranked(slots.withColumn("_rank", F.lit(0)), "_slot", "_key"), "hot-slots")
+    # The hours, then the seconds, within which a block ends.
+    cut = slots.filter(block(F.col("_rank") + F.col("n") - 1) > block(F.col("_rank"))).drop("n")
+    seconds = timed.join(cut, ["_key", "_slot"]).groupBy("_key", "_slot", "_second", "_rank").agg(one)
+    seconds = durable(ranked(seconds, "_second", "_key", "_slot"), "hot-seconds")
+    full = seconds.filter(F.col("n") > hot_rows).drop("n", "_slot")
+    instants = timed.join(full, ["_key", "_second"]).groupBy("_key", "_slot", "_second", "_at", "_rank").agg(one)
+    starts = seconds.select("_key", "_slot", (F.col("_second") * MICROS).alias("start"), block(F.col("_rank")).alias("block"))
+    starts = starts.unionByName(ranked(instants, "_at", "_key", "_second").select(
+        "_key", "_slot", F.col("_at").alias("start"), block(F.col("_rank")).alias("block")))
+    starts = starts.groupBy("_key", "_slot", "block").agg(F.min("start").alias("start"))
+    listed = starts.groupBy("_key", "_slot").agg(F.collect_list(F.struct("start", "block")).alias("_later"))
+    first = F.array(F.struct((F.col("_slot") * SLOT).alias("start"), block(F.col("_rank")).alias("block")))
+    own = slots.join(listed, ["_key", "_slot"], "left").withColumn(
+        "_own", F.concat(first, F.coalesce("_later", F.array().cast("array<struct<start:bigint,block:bigint>>"))))
+    after = F.lead("_own").over(W.partitionBy("_key").orderBy("_slot"))
+    return own.select("_key", "_slot", "n", F.when(F.col("n") > 0, F.concat("_own", after)).alias("_cuts")).filter(
+        "n > 0").drop("n")
+
+
+def block_at(time: Column) -> Column:
+    """The block of a time that lies in the row's hour or in the next one."""
+    started = F.filter("_cuts", lambda c: c["start"] <= time)
+    return F.array_max(F.transform(started, lambda c: c["block"]))
+
+
+def in_blocks(hot: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with their own block and those in which they leave the frames."""
+    placed = hot.withColumn("_slot", F.floor(F.col("_at") / SLOT)).join(cuts, ["_key", "_slot"])
+    leaves = {f"_leaves{s}": block_at(F.col("_at") + s * MICROS) for s in WIDTHS}
+    return placed.withColumns({"_block": block_at(F.col("_at")), **leaves}).drop("_slot", "_cuts")
 
 
 def _flagged(blocked: DataFrame, run_flags: Callable[..., DataFrame]) -> DataFrame:
@@ -100,52 +154,41 @@ def _boundary_rows(rows: DataFrame, group: list[str], step: int) -> DataFrame:
             .select(*group, "_block", "_edge.*"))
 
 
-def _changes(flagged: DataFrame) -> DataFrame:
-    """Arrivals with their row, and one narrow departure per frame width."""
-    one = F.lit(1)
-    added = {
-        "_n60": one, "_n300": one, "_n1800": one,
-        "_post300": F.col("_post"), "_err300": F.col("_err"), "_susp1800": F.col("_susp"),
-        "_size3600": F.col("_size"), "_sized3600": F.col("_sized"), "_urls3600": F.col("_opens"),
-    }
-    frames = [
-        (V.MINUTE_SECONDS, {"_n60": one}),
-        (V.FIVE_MINUTES_SECONDS,
-         {"_n300": one, "_post300": F.col("_post"), "_err300": F.col("_err")}),
-        (V.HALF_HOUR_SECONDS, {"_n1800": one, "_susp1800": F.col("_susp")}),
-        (V.HOUR_SECONDS,
-         {"_size3600": F.col("_size"), "_sized3600": F.col("_sized"), "_urls3600": F.col("_closes")}),
-    ]
-    arrivals = flagged.withColumns({name: _amount(name, c) for name, c in added.items()})
-    departures = F.array(*[
-        F.struct(
-            (F.col("_at") + seconds * MICROS).alias("_at"),
-            *[_amount(name, -left[name] if name in left else F.lit(0)).alias(name) for name in TOTALS],
-        )
-        for seconds, left in frames
-    ])
-    leaving = (flagged.select("_key", "_first", "_width", F.explode(departures).alias("d"))
-               .select("_key", "_first", "_width", "d.*")
-               .withColumn("_block", _block(F.col("_at"))).drop("_first", "_width"))
-    # At equal times arrivals come first: a request exactly one width old still counts.
-    return (arrivals.withColumn("_leaves", F.lit(0))
-            .unionByName(leaving.withColumn("_leaves", F.lit(1)), allowMissingColumns=True))
+def _amount(name: str, value: Column) -> Column:
+    return F.coalesce(value, F.lit(0)).cast("decimal(38,0)" if name == "_size3600" else "long")
 
 
-def _amount(name: str, value: Column) -> Column:
-    return value.cast("decimal(20,0)" if name == "_size3600" else "long")
+def _leaving(block: Column) -> dict[str, Column]:
+    """What a row takes along in ``block``."""
+    return {
+        f"{name}_out": _amount(name, F.when(F.col(f"_leaves{seconds}") == block, F.col(leaving)))
+        for name, (seconds, _, leaving) in TOTALS.items()}
 
 
 def _trailing_totals(flagged: DataFrame) -> DataFrame:
-    changes = _changes(flagged).repartition("_key", "_block")
+    flagged = flagged.withColumn("_one", F.lit(1))
+    own = flagged.withColumns({
+        **{f"{name}_in": _amount(name, F.col(entering)) for name, (_, entering, _) in TOTALS.items()},
+        **_leaving(F.col("_block"))})
+    outs, ins = [f"{name}_out" for name in TOTALS], [f"{name}_in" for name in TOTALS]
+    elsewhere = F.array_distinct(F.filter(
+        F.array(*[f"_leaves{s}" for s in WIDTHS]), lambda b: b != F.col("_block")))
+    sent = (flagged.withColumn("_target", F.explode(elsewhere)).withColumns(_leaving(F.col("_target")))
+            .groupBy("_key", F.col("_target").alias("_block"), "_at").agg(*[F.sum(c).alias(c) for c in outs])
+            .withColumns({c: _amount(c.removesuffix("_out"), F.col(c)) for c in outs}))
+    # What earlier blocks leave behind, and the variance, on one small row per block.
     earlier = W.partitionBy("_key").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        _changes(flagged).groupBy("_key", "_block").agg(*[F.sum(c).alias(c) for c in TOTALS])
-        .select("_key", "_block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in TOTALS])
-    )
-    inside = (W.partitionBy("_key", "_block").orderBy("_at", "_leaves")
-              .rangeBetween(W.unboundedPreceding, W.currentRow))
-    running = changes.withColumns({c: F.sum(c).over(inside) for c in TOTALS})
-    return (running.filter(F.col("_leaves") == 0)
-            .join(carried, ["_key", "_block"])
-            .withColumns({c: F.col(c) + F.col(f"{c}_before") for c in TOTALS}))
+    per_block = (own.select("_key", "_block", *ins, *outs)
+                 .unionByName(sent.drop("_at"), allowMissingColumns=True)
+                 .groupBy("_key", "_block").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*ins, *outs]]))
+    variance = flagged.groupBy("_key").agg(F.var_samp("_gap").alias("_variance"))
+    carried = per_block.select("_key", "_block", *[
+        F.coalesce(F.sum(F.col(f"{t}_in") - F.col(f"{t}_out")).over(earlier), F.lit(0)).alias(f"{t}_before") for t in TOTALS
+    ]).join(variance, "_key")
+    united = own.withColumn("_sent", F.lit(False)).unionByName(
+        sent.withColumn("_sent", F.lit(True)), allowMissingColumns=True).repartition("_key", "_block")
+    ordered = W.partitionBy("_key", "_block").orderBy("_at")
+    inside = united.withColumns({
+        name: trailing_total(ordered, seconds, f"{name}_in", f"{name}_out") for name, (seconds, _, _) in TOTALS.items()})
+    return (inside.filter(~F.col("_sent")).join(carried, ["_key", "_block"])
+            .withColumns({name: F.col(name) + F.col(f"{name}_before") for name in TOTALS}))

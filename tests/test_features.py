@@ -5,9 +5,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from logwarden.fixed_values import FEATURE_COLUMNS
 from logwarden.operators.features import log_features
+from logwarden.operators.hot_features import block_cuts, in_blocks
 
 BASE = dt.datetime(2026, 1, 1, 10)
 SCHEMA = ("row_id long, ip_address string, event_time timestamp_ntz, base_url string, method string, "
@@ -150,6 +152,29 @@ def test_split_addresses_equal_the_plain_path(spark, sf):
         assert list(split[row_id]) == pytest.approx(list(row), rel=1e-9, abs=1e-9)
 
 
+def test_blocks_of_a_burst_hold_at_most_twice_their_rows(spark):
+    """Nearly all rows of an address within a minute, a third of them in one second."""
+    hot_rows = 100
+    times = spark.range(20000).select(
+        F.lit("a").alias("_key"),
+        F.when(F.col("id") < 20, F.col("id") * 86_400_000_000)
+        .when(F.col("id") % 3 == 0, 5_000_000_000_000 + F.col("id"))
+        .otherwise(5_000_000_000_000 + F.col("id") * 2_900).alias("_at"))
+    blocks = in_blocks(times, block_cuts(times, hot_rows)).groupBy("_block").count().collect()
+    assert sum(b["count"] for b in blocks) == 20000
+    assert max(b["count"] for b in blocks) <= 2 * hot_rows and len(blocks) >= 20000 / (2 * hot_rows)
+
+
+def test_burst_split_equals_the_plain_path(spark):
+    rng = random.Random(8)
+    requests = [
+        request(i, 100 + i % 3 if i % 4 else rng.randrange(7200), rng.choice(["/login", "/a/1", "/a/2"]), rng.choice(["GET", "POST"]),
+                rng.choice([200, 404]), rng.randrange(500), rng.randrange(2), rng.choice("AB"), "hot") for i in range(400)]
+    plain, split = features(spark, requests, hot_rows=None), features(spark, requests, hot_rows=30)
+    for row_id, row in plain.items():
+        assert [split[row_id][c] for c in FEATURE_COLUMNS] == pytest.approx([row[c] for c in FEATURE_COLUMNS]), row_id
+
+
 def test_plan_has_one_exchange_and_three_sorts(spark):
     frame = log_features(spark.createDataFrame(GOLDEN, SCHEMA), hot_rows=None)
     plan = frame._jdf.queryExecution().executedPlan().toString()
