@@ -124,8 +124,6 @@ SCATTER_SAMPLE_ROWS = 6000
 SCATTER_SAMPLE_SEED = 1
 ALERT_QUEUE_ROWS = 500
 
-CRITICAL_MESSAGE = (
-    "SECURITY ALERT CRITICAL: %d critical threats detected from %d unique IPs. "
-    "Top IP: %s (score: %d)"
-)
-QUIET_MESSAGE = "No critical threats. HIGH=%d MEDIUM=%d"
+# Our own wording.
+CRITICAL_MESSAGE = "Act now: %d critical alerts by %d addresses, worst %s with %d points"
+QUIET_MESSAGE = "Nothing critical, high: %d, medium: %d"

@@ -70,7 +70,9 @@ def hot_features(
     """Rows of the hot addresses with flags, trailing totals and gap variance."""
     hot = rows.join(names, "_key")
     cuts = durable(block_cuts(hot.select("_key", "_at"), hot_rows), "hot-cuts")
-    flagged = durable(_flagged(in_blocks(hot, cuts), run_flags), "hot")
+    # Five narrow passes read the placed rows, so they are placed once.
+    placed = durable(in_blocks(hot, cuts), "hot-rows")
+    flagged = durable(_flagged(placed, run_flags), "hot")
     return _trailing_totals(flagged)
 
 
@@ -103,7 +105,8 @@ def block_cuts(times: DataFrame, hot_rows: int) -> DataFrame:
     starts = starts.unionByName(ranked(instants, "_at", "_key", "_second").select(
         "_key", "_slot", F.col("_at").alias("start"), block(F.col("_rank")).alias("block")))
     starts = starts.groupBy("_key", "_slot", "block").agg(F.min("start").alias("start"))
-    listed = starts.groupBy("_key", "_slot").agg(F.collect_list(F.struct("start", "block")).alias("_later"))
+    listed = starts.groupBy("_key", "_slot").agg(
+        F.sort_array(F.collect_list(F.struct("start", "block"))).alias("_later"))
     first = F.array(F.struct((F.col("_slot") * SLOT).alias("start"), block(F.col("_rank")).alias("block")))
     own = slots.join(listed, ["_key", "_slot"], "left").withColumn(
         "_own", F.concat(first, F.coalesce("_later", F.array().cast("array<struct<start:bigint,block:bigint>>"))))
@@ -114,8 +117,8 @@ def block_cuts(times: DataFrame, hot_rows: int) -> DataFrame:
 
 def block_at(time: Column) -> Column:
     """The block of a time that lies in the row's hour or in the next one."""
-    started = F.filter("_cuts", lambda c: c["start"] <= time)
-    return F.array_max(F.transform(started, lambda c: c["block"]))
+    started = F.size(F.filter("_cuts", lambda c: c["start"] <= time))
+    return F.get("_cuts", started - 1)["block"]
 
 
 def in_blocks(hot: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -20,22 +20,21 @@ from logwarden.operators.durable import durable, durable_path
 from logwarden.operators.features import log_features
 from logwarden.operators.ingest import clean_logs, quality_report
 from logwarden.operators.isolation_forest import fit_forest, forest_anomaly
-from logwarden.operators.lof import exact_lof, lof_score
+from logwarden.operators.lof import exact_lof
 from logwarden.operators.neighbors import nearest_neighbors
 from logwarden.operators.quantile import contamination_flag
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
 from logwarden.plans import pipeline
 from logwarden.sources import access_log as files
-from logwarden.sources.driver_tables import (
-    BATCH_DAYS, access_log, as_access_log, batch_of, event_stream, read_table)
+from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
 from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
+from logwarden.streaming.triage import alert_files, start_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOG_COLUMNS = ["row_id", *V.REQUIRED_COLUMNS]
 EMBEDDING_DIMENSIONS = 64  # all of an embedding
-REPORT_REFERENCE_ROWS = 512
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
@@ -243,11 +242,9 @@ def lof_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lof_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The novelty form: every request against a fixed reference set; ``lof_features`` is the full one."""
-    scaled = standard_scale(_ready(spark, sf_dir))
-    names = [f"{c}_scaled" for c in V.FEATURE_COLUMNS]
-    scored = scaled.select("row_id", lof_score(scaled, names, reference_rows=REPORT_REFERENCE_ROWS).alias("lof_score"))
-    return rounded(scored, "lof_score")
+    """The bare factor; every other request is the reference of a request."""
+    scaled, names = pipeline.model_inputs(_ready(spark, sf_dir))
+    return exact_lof(scaled, names).withColumn("lof_score", F.round("lof_score", V.SCORE_PLACES))
 
 
 def knn_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,27 +348,38 @@ def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_scored(spark, sf_dir).groupBy("batch_id").agg(*streams.batch_metrics())
 
 
-def stream_replay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The micro-batch handler itself, called batch by batch in order."""
-    events = read_table(spark, sf_dir, "events")
-    last = events.agg(F.max(batch_of(F.col("ts"))).alias("last")).first()["last"]
-    stream = AlertStream(durable_path(spark, "replay"))
-    width = F.make_dt_interval(F.lit(BATCH_DAYS))
-    for batch in range(last + 1):
-        # A range of the raw time, which the scan can skip row groups by.
-        start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(BATCH_DAYS * batch))
-        part = events.filter((F.col("ts") >= start) & (F.col("ts") < start + width))
-        stream.process_batch(as_access_log(part).select(V.REQUIRED_COLUMNS), batch)
-    return stream.alerts(spark).select("batch_id", *V.STREAM_ALERT_COLUMNS)
+_LIVE_RUNS: dict[tuple[str, str], str] = {}
+
+
+def _live_run(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a streaming query run over the table as daily files of JSON events, a file per trigger."""
+    source, root = durable_path(spark, "daily"), durable_path(spark, "live")
+    log = access_log(spark, sf_dir)
+    events = log.select("batch_id", "row_id", F.to_json(F.struct(*V.REQUIRED_COLUMNS)).alias("value"))
+    # A task writes whole days, row by row, so each day is one file in the order of its events.
+    (events.repartition("batch_id").sortWithinPartitions("batch_id", "row_id").select("batch_id", "value")
+     .write.partitionBy("batch_id").text(source))
+    files.order_files(spark, source, "batch_id")
+    raw = files.read_event_stream(spark, "text", {
+        "path": source, "maxFilesPerTrigger": "1", "recursiveFileLookup": "true", "pathGlobFilter": "part-*"})
+    AlertStream(root).start_raw(raw, f"{root}/checkpoint", available_now=True).awaitTermination()
+    _LIVE_RUNS[(spark.sparkContext.applicationId, sf_dir)] = root
+    return root
+
+
+def _last_run(spark: SparkSession, sf_dir: str) -> str:
+    """The run of this session, the first one if there is none yet."""
+    return _LIVE_RUNS.get((spark.sparkContext.applicationId, sf_dir)) or _live_run(spark, sf_dir)
 
 
 def stream_live_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A real streaming query over the table's files until they are used up."""
-    raw = files.as_json_events(as_access_log(event_stream(spark, sf_dir))).select("value")
-    root = durable_path(spark, "live")
-    stream = AlertStream(root)
-    stream.start(streams.parse_events(raw), f"{root}/checkpoint", available_now=True).awaitTermination()
-    return stream.alerts(spark).select(*V.STREAM_ALERT_COLUMNS)
+    """A real streaming query, a day of events in each micro-batch, with the rolling baseline."""
+    return AlertStream(_live_run(spark, sf_dir)).alerts(spark).select(*V.STREAM_ALERT_COLUMNS)
+
+
+def stream_replay_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of the live run with the micro-batch that found them."""
+    return AlertStream(_last_run(spark, sf_dir)).alerts(spark).select("batch_id", *V.STREAM_ALERT_COLUMNS)
 
 
 def event_time_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,8 +410,11 @@ def last20_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triage_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One alert file per stream batch."""
-    return reports.triage_per_file(streams.stream_alerts(_batch_scored(spark, sf_dir)), "batch_id")
+    """A file stream over the alert files of the live run; each file holds a micro-batch."""
+    alerts_path, root = AlertStream(_last_run(spark, sf_dir)).alerts_path, durable_path(spark, "triage")
+    start_triage(alert_files(spark, alerts_path), root, f"{root}/checkpoint").awaitTermination()
+    batch = F.regexp_extract("file", r"/batch_id=(\d+)/", 1).cast("int")
+    return spark.read.parquet(f"{root}/files").withColumn("batch_id", batch).drop("file")
 
 
 def triage_total(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -403,9 +403,7 @@ ORACLE: dict[str, str] = {
     "lof_exact": "WITH " + _EMBEDDED + _lof("points", [f"x{i}" for i in range(64)], "points") + """
         SELECT row_id, round(lof_score, 6) AS lof_score,
           lof_score < (SELECT quantile_cont(lof_score, 0.1) FROM lof) AS lof_flag FROM lof""",
-    "lof_reference": f"""{_BURST_FEATURES}, scaled AS (SELECT row_id, {_SCALED} FROM features),
-        reference AS (SELECT * FROM scaled ORDER BY md5('42-' || row_id), row_id LIMIT 512)"""
-        + _lof("scaled", [f"{c}_scaled" for c in _TEN], "reference") + " SELECT row_id, round(lof_score, 6) AS lof_score FROM lof",
+    "lof_reference": f"{_BURST_FEATURES}{_INPUTS},{_factor()} SELECT row_id, lof_score FROM lof",
     "isolation_forest": f"""{_BURST_FEATURES}{_INPUTS},{_forest()} SELECT row_id, raw_score AS isolation_forest_score,
         raw_score < (SELECT quantile_cont(raw_score, 0.1) FROM forest) AS isolation_forest_flag FROM forest""",
     "lof_features": f"""{_BURST_FEATURES}{_INPUTS},{_factor()} SELECT row_id, lof_score,
@@ -463,12 +461,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (severity = 'HIGH') AS high, count(*) FILTER (severity = 'MEDIUM') AS medium
         FROM stream_scored GROUP BY batch_id""",
     "stream_replay_alerts": f"{_STREAM} SELECT batch_id, {_STREAM_COLUMNS} FROM stream_alerts",
-    "stream_live_alerts": f"""WITH{_log()}{_STREAM_EVENTS}, first_batch AS (
-          SELECT *, false AS zscore_flag, CAST(25 * is_bot::INT + 25 * has_suspicious_params AS INTEGER) AS threat_score
-          FROM enriched)
-        SELECT timestamp, ip_address, url, status_code, response_bytes, is_bot, has_suspicious_params, zscore_flag,
-          threat_score, CASE WHEN threat_score >= 50 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, attack_type
-        FROM first_batch WHERE threat_score >= 25""",
+    "stream_live_alerts": f"{_STREAM} SELECT {_STREAM_COLUMNS} FROM stream_alerts",
     "event_time_baseline": f"""WITH{_log('burst')}, timed AS (
           SELECT TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
             CAST(response_bytes AS DOUBLE) AS b FROM log),
@@ -493,8 +486,8 @@ ORACLE: dict[str, str] = {
           SELECT CAST(sum(critical) AS BIGINT) AS critical, CAST(sum(high) AS BIGINT) AS high,
             CAST(sum(medium) AS BIGINT) AS medium FROM per_file)
         SELECT t.*, w.top_ip, w.unique_ips, w.top_score,
-          CASE WHEN t.critical > 0 THEN 'SECURITY ALERT CRITICAL: ' || t.critical || ' critical threats detected from '
-            || w.unique_ips || ' unique IPs. Top IP: ' || w.top_ip || ' (score: ' || w.top_score || ')'
-          ELSE 'No critical threats. HIGH=' || t.high || ' MEDIUM=' || t.medium END AS message
+          CASE WHEN t.critical > 0 THEN 'Act now: ' || t.critical || ' critical alerts by ' || w.unique_ips
+            || ' addresses, worst ' || w.top_ip || ' with ' || w.top_score || ' points'
+          ELSE 'Nothing critical, high: ' || t.high || ', medium: ' || t.medium END AS message
         FROM totals t, worst w""",
 }

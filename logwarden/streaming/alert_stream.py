@@ -8,6 +8,8 @@ begin again at 0, writes beside the earlier runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logwarden import fixed_values as V
 from logwarden.streaming.scoring import (
-    batch_metrics, enrich_events, moments, score_events, stream_alerts)
+    batch_metrics, enrich_events, moments, rejected_events, score_events, stream_alerts,
+    watch_rejects)
 
 _MOMENTS = T.StructType([
     T.StructField("n", T.LongType()), T.StructField("s", T.DoubleType()), T.StructField("sq", T.DoubleType())])
@@ -43,6 +46,10 @@ class AlertStream:
     def state_path(self) -> str:
         return f"{self.root}/state"
 
+    @property
+    def rejects_path(self) -> str:
+        return f"{self.root}/rejects"
+
     def run_of(self, spark: SparkSession) -> str:
         """The id of the running query, which its checkpoint keeps over restarts."""
         return self._run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
@@ -86,18 +93,46 @@ class AlertStream:
             raise ValueError(f"No state of the batch before {batch_id}: {path}")
         return [tuple(entry) for entry in row["window"]]
 
+    def process_raw(self, raw: DataFrame, batch_id: int) -> None:
+        """One micro-batch of JSON text: what cannot be read goes to ``rejects``, the rest is scored.
+
+        Rejects are counted while the rest is scored; only a batch that has some is read again.
+        """
+        seen = Observation()
+        self.process_batch(watch_rejects(raw, seen), batch_id)
+        if seen.get["rejects"]:
+            place = f"run={self.run_of(raw.sparkSession)}"
+            rejected_events(raw).write.mode("overwrite").parquet(f"{self.rejects_path}/{place}/batch_id={batch_id}")
+
+    def start_raw(
+        self, raw: DataFrame, checkpoint: str, available_now: bool = False,
+        interval: str = V.TRIGGER_INTERVAL,
+    ) -> StreamingQuery:
+        """As ``start``, over a stream of JSON text (column ``value``), keeping the rejects."""
+        return self._run_with(self.process_raw, raw, checkpoint, available_now, interval)
+
     def start(
         self, events: DataFrame, checkpoint: str, available_now: bool = False,
         interval: str = V.TRIGGER_INTERVAL,
     ) -> StreamingQuery:
         """Run over a parsed event stream; ``available_now`` stops when the input is used up."""
-        writer = events.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
+        return self._run_with(self.process_batch, events, checkpoint, available_now, interval)
+
+    @staticmethod
+    def _run_with(
+        handler: Callable[[DataFrame, int], None], rows: DataFrame, checkpoint: str, available_now: bool, interval: str,
+    ) -> StreamingQuery:
+        writer = rows.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
         return writer.trigger(**trigger).start()
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.alerts_path)
 
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        """Raw text of unreadable events; raises if no batch had any, as nothing was written."""
+        return spark.read.parquet(self.rejects_path)
+
     def metrics(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.state_path).select("batch_id", *METRIC_NAMES)
 

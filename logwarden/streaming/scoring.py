@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,6 +30,12 @@ def _decoded(raw: DataFrame, value: str) -> DataFrame:
             .select(*others, "_raw", "d.*"))
 
 
+def watch_rejects(raw: DataFrame, seen: Observation, value: str = "value") -> DataFrame:
+    """As ``parse_events``; ``seen`` gets the number of ``rejects`` when the rows are used."""
+    decoded = _decoded(raw, value).observe(seen, F.count_if(F.col("ip_address").isNull()).alias("rejects"))
+    return decoded.filter(F.col("ip_address").isNotNull()).drop("_raw")
+
+
 def enrich_events(events: DataFrame) -> DataFrame:
     return events.withColumns({
         "is_bot": text.is_bot(F.col("user_agent")),

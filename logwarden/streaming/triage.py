@@ -23,9 +23,14 @@ def alert_files(spark: SparkSession, path: str) -> DataFrame:
         "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_id"))
 
 
-def start_triage(alert_rows: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Writes a row per file and a total per micro-batch below ``root``, then stops at the end
-    of the files present."""
+def start_triage(
+    alert_rows: DataFrame, root: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Writes a row per file and a total per micro-batch below ``root``.
+
+    With an ``interval`` it keeps running and looks for new files that often; without, it stops
+    at the end of the files present.
+    """
 
     def triage(batch: DataFrame, batch_id: int) -> None:
         files_path = f"{root}/files/batch_id={batch_id}"
@@ -34,4 +39,5 @@ def start_triage(alert_rows: DataFrame, root: str, checkpoint: str) -> Streaming
             f"{root}/totals/batch_id={batch_id}")
 
     return (alert_rows.writeStream.foreachBatch(triage)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+            .option("checkpointLocation", checkpoint)
+            .trigger(**({"processingTime": interval} if interval else {"availableNow": True})).start())

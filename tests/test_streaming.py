@@ -113,6 +113,16 @@ def test_rejects(spark):
     assert rejected_events(raw).count() == 3
 
 
+def test_rejects_of_a_running_stream_are_kept(spark, tmp_path):
+    source, root = tmp_path / "in", tmp_path / "out"
+    write(source, "a.json", [event(100, agent="curl/7"), "no event", {"url": "/a"}])
+    stream = AlertStream(str(root))
+    raw = files.read_event_stream(spark, "text", {"path": str(source)})
+    stream.start_raw(raw, f"{root}/checkpoint", available_now=True).awaitTermination()
+    assert stream.alerts(spark).count() == 1
+    assert sorted(r.value for r in stream.rejects(spark).collect()) == ['"no event"', '{"url": "/a"}']
+
+
 def test_triage_of_new_files(spark, tmp_path):
     schema = "ip_address string, threat_score int, severity string"
     alerts = [("a", 60, "HIGH"), ("b", 90, "CRITICAL"), ("c", 90, "CRITICAL"), ("d", None, None)]
@@ -125,7 +135,7 @@ def test_triage_of_new_files(spark, tmp_path):
 
     row = total()[0]
     assert (row.critical, row.high, row.medium, row.top_ip, row.top_score, row.unique_ips) == (2, 1, 0, "b", 90, 4)
-    assert row.message.startswith("SECURITY ALERT CRITICAL: 2 critical threats detected from 4 unique IPs. Top IP: b")
+    assert row.message.startswith("Act now: 2 critical alerts by 4 addresses, worst b with 90")
     spark.createDataFrame([("e", 30, "MEDIUM")], schema).coalesce(1).write.parquet(f"{tmp_path}/alerts/batch_id=1")
-    assert total()[1].message == "No critical threats. HIGH=0 MEDIUM=1"
+    assert total()[1].message == "Nothing critical, high: 0, medium: 1"
     assert spark.read.parquet(f"{root}/files").count() == 2
