@@ -47,6 +47,17 @@ APART_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising b
     replies respond discussion disqus notice notices cookie cookies consent gdpr popup modal overlay newsletter
     subscribe subscription signup login share sharing social related recommended recommendations widget widgets search
     toolbar pagination pager copyright skip teaser outbrain taboola alert""".split())
+#: Words that may stand beside an APART name in one class or id: such a name is still that of a part set apart.
+BESIDE = frozenset("""area bar block box button buttons container group inner item items left link links list main outer
+    panel posts primary right secondary section site top bottom wrap wrapper""".split())
+#: Words before an APART name that say what it belongs to; with a header it is the title of the article itself.
+BELONGS = frozenset("article content entry page post".split())
+TITLES = frozenset("header banner masthead".split())
+#: Names of parts that hold texts of others, articles included.
+FOREIGN = frozenset("""ad ads adv advert adverts advertisement advertising comment comments consent cookie cookies discussion
+    disqus gdpr outbrain promo promotion recommended related replies reply respond sponsor sponsored taboola teaser""".split())
+#: Elements that may be all of a page, so that they are read if nothing else is left.
+MAY_HOLD_ALL = frozenset("form fieldset aside header dialog label".split())
 APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MAIN_NAMES = frozenset("content article post entry main story text body".split())
 
@@ -60,31 +71,93 @@ WHITE = re.compile(r"[\s​﻿]+")
 
 
 class Block:
-    """One block of text and the elements around it, as (element number, tag, names, apart)."""
+    """One block of text, the elements around it, as (element number, tag, names, apart, hidden), and whether it is apart.
 
-    __slots__ = ("text", "around")
+    An element is apart by what it is (1) or only by its name (2).
+    """
+
+    __slots__ = ("text", "around", "apart")
 
     def __init__(self, text: str, around: tuple):
         self.text, self.around = text, around
+        self.apart = any(e[3] for e in around)
 
     def path(self) -> str:
-        return "/".join(f"{tag}.{'.'.join(sorted(names))}" if names else tag for _, tag, names, _ in self.around)
+        return "/".join(f"{tag}.{'.'.join(sorted(names))}" if names else tag for _, tag, names, *_ in self.around)
+
 
+def _apart_name(token: str) -> bool:
+    """Whether a whole class or id names a part set apart: sidebar or site-header, not has-sidebar or article-header."""
+    words = NAME.findall(token)
+    apart = [w for w in words if w in APART_NAMES]
+    others = {w for w in words if w not in APART_NAMES} - BESIDE
+    return bool(apart) and (not others or others <= BELONGS and not TITLES & set(apart))
 
-def _attributes(text: str) -> tuple[frozenset, bool]:
-    """Words of class and id, and whether role or hidden sets the element apart."""
-    names, apart = set(), False
+
+def _attributes(text: str) -> tuple[frozenset, bool, bool]:
+    """Words of class and id, whether role or hidden sets the element apart, and whether its name does."""
+    names, apart, named = set(), False, False
     for key, value in ATTRIBUTE.findall(text):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
             names.update(NAME.findall(value))
+            named = named or any(_apart_name(token) for token in value.split())
         elif key == "role":
             apart |= value in APART_ROLES
             if value == "main":
                 names.add("main")
         elif key == "hidden" or key == "aria-hidden" and value == "true":
             apart = True
-    return frozenset(names), apart
+    return frozenset(names), apart, named
+
+
+def _free(blocks: list[Block]) -> None:
+    """Takes back names that would set apart the page's article or most of its text, or else leave nothing.
+
+    An article in a part that holds texts of others (FOREIGN) must be longer than all that is open.
+    If no text is left, the largest region set apart is read, what only frames a page included.
+    """
+    if not any(b.apart for b in blocks):
+        return
+    total = opened = 0
+    below: Counter = Counter()
+    articles: Counter = Counter()
+    above: dict[int, tuple] = {}
+    foreign: set[int] = set()
+    for b in blocks:
+        if any(e[3] == 1 for e in b.around):
+            continue
+        size = len(b.text)
+        total += size
+        opened += size * (not b.apart)
+        for k, e in enumerate(b.around):
+            if e[3]:
+                below[e[0]] += size
+                if e[2] & FOREIGN:
+                    foreign.add(e[0])
+            elif e[1] in ("article", "main"):
+                articles[e[0]] += size
+                above.setdefault(e[0], tuple(x[0] for x in b.around[:k] if x[3]))
+    freed = {k for k, size in below.items() if 2 * size > total and k not in foreign}
+    if articles:
+        most = max(articles, key=lambda k: (articles[k], -k))
+        if not foreign & set(above[most]) or articles[most] > opened:
+            freed.update(above[most])
+    for b in blocks:
+        if b.apart and not any(e[3] and e[0] not in freed for e in b.around):
+            b.apart = False
+    if all(b.apart for b in blocks):
+        regions: Counter = Counter()
+        for b in blocks:
+            held = next(e for e in b.around if e[3])
+            if all(e[3] != 1 or e[1] in MAY_HOLD_ALL and not e[4] for e in b.around):
+                regions[held[3], held[0]] += len(b.text)
+        if regions:
+            best = max(regions, key=lambda k: (k[0], regions[k], -k[1]))[1]
+            inside = [b for b in blocks if any(e[0] == best for e in b.around)
+                      and all(e[3] != 1 or e[1] in MAY_HOLD_ALL and not e[4] for e in b.around)]
+            for b in inside:
+                b.apart = False
 
 
 def parse(page: str) -> tuple[list[Block], list[str]]:
@@ -139,7 +212,7 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 if tag in BLOCK:
                     flush()
                 continue
-            names, apart = _attributes(rest)
+            names, hidden, named = _attributes(rest)
             if tag in BLOCK:
                 flush()
             if tag in CLOSES_P:
@@ -159,15 +232,16 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
                 held.append(" ")
             if tag not in VOID:
                 count += 1
-                apart = (apart or tag in APART or tag == "header" and not articles
-                         or tag not in ("html", "body", "article", "main") and bool(names & APART_NAMES)
-                         or tag == "article" and bool(names & {"comment", "comments", "reply", "teaser", "related"}))
-                stack.append((count, tag, names, apart))
+                apart = 1 if hidden or tag in APART or tag == "header" and not articles else 2 if (
+                    tag not in ("html", "body", "article", "main") and named
+                    or tag == "article" and names & {"comment", "comments", "reply", "teaser", "related"}) else 0
+                stack.append((count, tag, names, apart, hidden))
                 articles += tag in ("article", "main")
                 if tag in BLOCK:
                     tokens.append(".".join([tag, *sorted(names)]))
     close(0)
     flush()
+    _free(blocks)
     return blocks, tokens
 
 
@@ -325,14 +399,14 @@ def learn_templates(pages: DataFrame) -> DataFrame:
 
 
 def _apart(block: Block) -> bool:
-    return any(e[3] for e in block.around)
+    return block.apart
 
 
 def _container(block: Block) -> str:
     """Path of the element that a block's own element lies in."""
     around = [e for e in block.around if e[1] in BLOCK]
     inner = around[:-1] if around and around[-1][1] not in HOLDS else around
-    return "/".join(".".join([tag, *sorted(names)]) for _, tag, names, _ in inner)
+    return "/".join(".".join([tag, *sorted(names)]) for _, tag, names, *_ in inner)
 
 
 def _marked(blocks: list[Block]) -> int | None:

@@ -262,3 +262,20 @@ def test_alignment_makes_groups_and_options():
 
 def test_every_query_is_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+
+
+def test_names_set_apart_no_article_and_not_most_of_a_page():
+    def text(page):
+        return html_extract.main_text(html_extract.parse(page)[0])
+
+    body = "<article><div class='article-header'><h1>Title</h1></div><p>Text of the page.</p></article>"
+    for name in ("layout has-sidebar", "no-sidebar", "search-result", "page-with-header", "sidebar", "search"):
+        assert text(f"<div class='{name}'>{body}</div><p>other</p>") == "Title\n\nText of the page.", name
+    assert text("<div class=sidebar>links</div><div class='site-header'>top</div><p>Text</p>") == "Text"
+    assert text("<div class='post-comments'>so long a comment that it is most</div><p>Text</p>") == "Text"
+    assert text("<div class=content><p>A text without any article</p></div><div class=related><article>Next</article></div>"
+                ) == "A text without any article"
+    assert text("<div class=widget><p>All there is of this page</p></div><p>x</p>") == "All there is of this page\n\nx"
+    assert text("<div class=ad>ad</div><div class=comments><p>first comment</p></div>") == "first comment"
+    assert text("<form id=aspnet><p>All in a form</p><nav>no</nav></form>") == "All in a form"
+    assert text("<nav>only links</nav>") == "" and text("<div hidden>no</div>") == ""
