@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from logwarden.llm import (
-    decontaminate, exact_dedup, html_extract, lm_score, near_dedup, quality, secret_scan,
+    bpe_codec, decontaminate, exact_dedup, html_extract, lm_score, near_dedup, quality, secret_scan,
     sentencepiece_codec, sharding, toxicity)
 from logwarden.llm.common import table
 
@@ -55,6 +55,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digest_columns(bpe_codec.encode_documents(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -66,5 +70,6 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op13_bpe": op13_bpe,
     "pipeline": corpus_pipeline.run,
 }
