@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from logwarden.llm import (
-    bpe_codec, decontaminate, exact_dedup, html_extract, lm_score, near_dedup, quality, secret_scan,
-    sentencepiece_codec, sharding, toxicity)
+    bpe_codec, decontaminate, exact_dedup, html_extract, lm_score, merkle, near_dedup, quality,
+    secret_scan, sentencepiece_codec, sharding, toxicity, whitening)
 from logwarden.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digest_columns(bpe_codec.encode_documents(table(spark, sf_dir, "documents")))
 
@@ -70,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_html_extraction": op10_html_extraction,
+    "op11_merkle": op11_merkle,
+    "op12_whitening": op12_whitening,
     "op13_bpe": op13_bpe,
     "pipeline": corpus_pipeline.run,
 }
