@@ -29,6 +29,7 @@ from logwarden.sources import access_log as files
 from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
 from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
+from logwarden.streaming.feature_stream import STREAM_FEATURES, start_features
 from logwarden.streaming.triage import alert_files, start_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -396,6 +397,27 @@ def event_time_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(closed, "mean_bytes", "std_bytes")
 
 
+def _fed_log(spark: SparkSession, sf_dir: str, chunks: int = 6, clock: str = "burst") -> DataFrame:
+    """The log as a stream of Parquet files, written one span of days after another as a feed would write them."""
+    log, source = access_log(spark, sf_dir, clock), durable_path(spark, "feed")
+    days = -(-30 // chunks)
+    for chunk in range(chunks):
+        within = F.col("batch_id").between(chunk * days, (chunk + 1) * days - 1)
+        log.where(within).write.parquet(f"{source}/chunk={chunk}")
+    schema = log.withColumn("chunk", F.lit(0)).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", "2").parquet(source).drop("chunk")
+
+
+def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing features of each address on a stream; a chunk spans half an hour, so files may come in any order
+    within the 45 minutes that requests may be late."""
+    root = durable_path(spark, "stream-features")
+    clean = clean_logs(_fed_log(spark, sf_dir))
+    start_features(clean, f"{root}/rows", f"{root}/checkpoint", "45 minutes").awaitTermination()
+    found = spark.read.parquet(f"{root}/rows")
+    return rounded(found.select("row_id", "ip_address", *STREAM_FEATURES), *STREAM_FEATURES)
+
+
 def _stream_alerts_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.with_event_time(streams.stream_alerts(_batch_scored(spark, sf_dir)))
 
@@ -492,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "stream_replay_alerts": stream_replay_alerts,
     "stream_live_alerts": stream_live_alerts,
     "event_time_baseline": event_time_baseline,
+    "stream_features": stream_features,
     "stream_kpis": stream_kpis,
     "last20_stream_alerts": last20_stream_alerts,
     "triage_per_file": triage_per_file,

@@ -14,6 +14,8 @@ _TEN = ["requests_per_minute", "post_login_rate", "error_rate_5min", "unique_url
         "sequential_url_score", "suspicious_param_rate", "new_session_flag"]
 _FIVE = ["requests_per_minute", "post_login_rate", "error_rate_5min",
          "avg_response_bytes_ratio", "suspicious_param_rate"]
+_STREAMED = ["requests_per_minute", "post_login_rate", "error_rate_5min", "unique_urls_per_hour",
+             "avg_response_bytes_ratio", "suspicious_param_rate"]
 _BOTS = ["python-requests", "curl", "wget", "scrapy", "bot", "crawler"]
 _PROBES = ["1=1", "or 1=1", "union select", "drop table", "information_schema", "xp_cmdshell",
            "sleep(", "--", "';", "' or '", "/*", "*/", "@@version", "benchmark(", "load_file(", "0x"]
@@ -462,6 +464,10 @@ ORACLE: dict[str, str] = {
         FROM stream_scored GROUP BY batch_id""",
     "stream_replay_alerts": f"{_STREAM} SELECT batch_id, {_STREAM_COLUMNS} FROM stream_alerts",
     "stream_live_alerts": f"{_STREAM} SELECT {_STREAM_COLUMNS} FROM stream_alerts",
+    "stream_features": f"""{_BURST_FEATURES}
+        SELECT row_id, ip_address, {_six(*_STREAMED)} FROM features
+        WHERE (epoch_us(event_time) // 60000000 + 1) * 60000
+              <= (SELECT epoch_us(max(event_time)) // 1000 - 45 * 60000 FROM features)""",
     "event_time_baseline": f"""WITH{_log('burst')}, timed AS (
           SELECT TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
             CAST(response_bytes AS DOUBLE) AS b FROM log),
