@@ -38,28 +38,55 @@ ROLE = {"access": "identifier", "ident": "identifier", "assign": "secret", "hex"
 SPAN = "array<struct<start:int,rank:int,stop:int>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _fold(lengths: Column, kind: str, least: int) -> Column:
+    """Spans of some matches, counted from the first piece, and how far they reach."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def step(seen: Column, x: Column) -> Column:
+        begin = seen["at"] + x["gap"]
+        end = begin + x["long"]
+        one = F.array(F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("stop")))
+        return F.struct(end.alias("at"), F.when(x["counted"] >= least, F.concat(seen["out"], one))
+                        .otherwise(seen["out"]).alias("out"))
+
+    return F.aggregate(lengths, start, step)
+
+
+def _moved(parts: Column, by: Column) -> Column:
+    return F.transform(parts, lambda s: F.struct(
+        (s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["stop"] + by).alias("stop")))
+
+
 def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Matches of a pattern, leftmost and not overlapping, as (start, rank of the kind, end) in code points.
 
     The pieces between the matches give the positions: each match starts after all earlier pieces
     and matches. Matches whose counted group is too short are dropped, after they took their place.
+    A fold copies what it has found at every step, so n matches are folded in stretches of about
+    the square root of n, which are then moved to their places.
     """
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     lengths = F.arrays_zip(
         F.transform(F.slice(pieces, 1, F.size(found)), F.length).alias("gap"),
         F.transform(found, F.length).alias("long"), F.transform(counted, F.length).alias("counted"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(seen: Column, x: Column) -> Column:
-        begin = seen["at"] + x["gap"]
-        end = begin + x["long"]
-        one = F.array(F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("stop")))
-        return F.struct(end.alias("at"), F.when(x["counted"] >= least, F.concat(seen["out"], one))
-                        .otherwise(seen["out"]).alias("out"))
+    def stretched(x: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(x))).cast("int")
+        first = F.sequence(F.lit(1), F.size(x), width)
+        folded = F.transform(first, lambda at: _fold(F.slice(x, at, width), kind, least))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        placed = F.aggregate(folded, start, lambda seen, part: F.struct(
+            (seen["at"] + part["at"]).alias("at"),
+            F.concat(seen["out"], F.array(_moved(part["out"], seen["at"]))).alias("out")))
+        return F.flatten(placed["out"])
 
-    return F.when(text.rlike(pattern), F.aggregate(lengths, start, step, lambda s: s["out"])).otherwise(
-        F.array().cast(SPAN))
+    return F.when(text.rlike(pattern), _bound(lengths, stretched)).otherwise(F.array().cast(SPAN))
 
 
 def _joined(parts: Column) -> Column:
@@ -71,14 +98,16 @@ def _joined(parts: Column) -> Column:
 def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """Weak parts (key, start, rank, stop) whose complementary parts lie within reach: doc_key and found.
 
-    An interval join on bins as wide as the reach. A part need only know the last end and the first
-    start of each role in its own bin and the two beside it, so bins are summed up before the join:
-    three rows a weak part at most, however many parts a document has.
+    An interval join on bins wider than the reach by one, so that a part at the reach itself lies one
+    bin away at most. A part need only know the last end and the first start of each role in its own
+    bin and the two beside it, so bins are summed up before the join: three rows a weak part at
+    most, however many parts a document has.
     """
+    wide = reach + 1
     roles = F.create_map(*[F.lit(x) for k in KINDS for x in (KINDS.index(k), ROLE[k])])
-    parts = parts.withColumn("role", roles[F.col("rank")]).withColumn("bin", F.floor(F.col("start") / reach))
+    parts = parts.withColumn("role", roles[F.col("rank")]).withColumn("bin", F.floor(F.col("start") / wide))
     # A part is in every bin that it touches, so that its end is seen from the bin after its last one.
-    last = F.greatest(F.col("bin"), F.floor((F.col("stop") - 1) / reach))
+    last = F.greatest(F.col("bin"), F.floor((F.col("stop") - 1) / wide))
     bins = parts.withColumn("bin", F.explode(F.sequence("bin", last))).groupBy("doc_key", "bin").agg(*[
         f(F.when(F.col("role") == role, F.col(c))).alias(f"{role}_{c}")
         for role in ("identifier", "secret") for f, c in ((F.min, "start"), (F.max, "stop"))])

@@ -3,14 +3,16 @@
 import itertools
 import random
 import re
+import time
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from logwarden.llm import (
-    components, decontaminate, exact_dedup, html_extract, near_dedup, quality, queries, secret_scan,
+    components, decontaminate, exact_dedup, html_extract, near_dedup, oracle, quality, queries, secret_scan,
     sentencepiece_codec, sharding, toxicity)
 
 
@@ -68,6 +70,30 @@ def test_weak_parts_need_their_complement(spark):
     assert rows[4].n_linked == 2 and rows[5].n_assign == 0
 
 
+@pytest.mark.parametrize("gap", [198, 199, 200, 201, 202])
+def test_links_at_the_reach_are_those_of_the_twin(spark, gap):
+    """Parts of a credential at every distance around the reach, at and beside multiples of it."""
+    hexed, login = "0123456789abcdef01234567", "login: alice99"
+    texts = [f"{' ' * at}{first}{' ' * gap}{then}" for at in (0, 1, 150, 175, 176, 177, 199, 200, 201, 352, 377)
+             for first, then in ((hexed, login), (login, hexed))]
+    docs = frame(spark, texts)
+    rows = secret_scan.digest_columns(secret_scan.scan_secrets(docs)).collect()
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    twin = db.sql(oracle.ORACLE["op5_secret_scan"]).select("doc_id", "spans", "n_linked").fetchall()
+    assert sorted((r.doc_id, r.spans, r.n_linked) for r in rows) == sorted(twin)
+    assert all(bool(r.n_linked) == (gap <= 200) for r in rows)
+
+
+def test_very_many_matches(spark):
+    text = "key " + "token=abcdef1 login: bob77\n" * 16_000
+    started = time.monotonic()
+    row = secret_scan.scan_secrets(frame(spark, [text])).first()
+    assert time.monotonic() - started < 30
+    want = [m.span() for m in re.finditer(r"token=abcdef1", text)]
+    assert [(p.start, p.stop) for p in row.base] == want and len(row.linked) == 16_000
+
+
 def test_base_spans_against_python(spark):
     rng = random.Random(3)
     parts = ["password", "TOKEN", "api_key", "apikey", ":", "=", " ", "'", '"', "abc", "abcdef12", "AKIA", "A" * 17,
