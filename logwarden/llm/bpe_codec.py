@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
@@ -24,11 +25,11 @@ from logwarden.llm.common import pieces, strings
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
-#: Words of more bytes are not remembered, and jump from match to match one by one.
+#: Words of more bytes are not remembered, and are worked on one by one.
 LONG_WORD = 64
 
-#: Words whose tokens a worker remembers.
-CACHE_WORDS = 400_000
+#: Words whose tokens a worker remembers, and words that are merged together.
+CACHE_WORDS, TOGETHER = 400_000, 4096
 
 #: Fixed value: how a text is cut into words before the merges.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -58,6 +59,7 @@ class Vocabulary:
     pair_keys: np.ndarray  # sorted
     pair_rank: np.ndarray
     pairs: dict[tuple[int, int], tuple[int, int]]  # to rank and made token
+    made: np.ndarray  # by rank
     probes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # length, sorted hashes, ids, quick test
     sound: np.ndarray  # by id: the merges make this token of its bytes
     added: dict[str, int]
@@ -94,7 +96,7 @@ def load_vocabulary(path: str = TOKENIZER) -> Vocabulary:
     order = np.argsort(keys)
     table = Vocabulary(
         spelled, byte_ids, rank, left, right, keys[order], np.array([r for r, _ in pairs.values()])[order], pairs,
-        [], np.zeros(size, bool), added)
+        np.array([m for _, m in pairs.values()]), [], np.zeros(size, bool), added)
     by_length: dict[int, list[int]] = {}
     for i in model["vocab"].values():
         by_length.setdefault(len(spelled[i]), []).append(i)
@@ -105,8 +107,9 @@ def load_vocabulary(path: str = TOKENIZER) -> Vocabulary:
         present = np.zeros(1 << 16, bool)
         present[hashes >> np.uint64(48)] = True
         table.probes.append((length, hashes[order], ids[order], present))
-    for i in model["vocab"].values():
-        table.sound[i] = exact_merge(table, spelled[i]) == [i]
+    names = sorted(model["vocab"].values())
+    for i, ids in zip(names, exact_merges(table, [spelled[i] for i in names])):
+        table.sound[i] = ids == [i]
     return table
 
 
@@ -126,23 +129,22 @@ def _hashes(raw: np.ndarray, at: np.ndarray, length: int, running=None) -> np.nd
         return (h ^ (h >> np.uint64(29))) * _BASE
 
 
-def longest_matches(table: Vocabulary, raw: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte the longest token that begins there and fits the ``room``: its id and length."""
-    token = table.byte_ids[raw]
-    length = np.ones(len(raw), np.int64)
-    running, open_ = _running(raw), np.arange(len(raw))
-    most = int(room.max(initial=0))
+def longest_matches(table: Vocabulary, raw: np.ndarray, running, at: np.ndarray, room: np.ndarray):
+    """For every place the longest token that begins there and fits the ``room``: its id and length."""
+    token, length = table.byte_ids[raw[at]], np.ones(len(at), np.int64)
+    open_, most = np.arange(len(at)), int(room.max(initial=0))
     for size, hashes, ids, present in table.probes:
         if size == 1 or size > most:
             continue
-        at = open_[room[open_] >= size]
-        h = _hashes(raw, at, size, running)
+        some = open_[room[open_] >= size]
+        h = _hashes(raw, at[some], size, running)
         likely = present[h >> np.uint64(48)]
-        at, h = at[likely], h[likely]
+        some, h = some[likely], h[likely]
         found = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
         hit = hashes[found] == h
-        token[at[hit]], length[at[hit]] = ids[found[hit]], size
-        open_ = open_[length[open_] == 1]
+        if hit.any():
+            token[some[hit]], length[some[hit]] = ids[found[hit]], size
+            open_ = open_[length[open_] == 1]
     return token, length
 
 
@@ -190,45 +192,113 @@ def exact_merge(table: Vocabulary, word: bytes) -> list[int]:
     return [i for i in ids if i is not None]
 
 
-def speculate(table: Vocabulary, words: list[bytes]) -> list[list[int]]:
-    """Each word cut greedily into longest matches."""
+def exact_merges(table: Vocabulary, words: list[bytes]) -> list[list[int]]:
+    """The merges of many words, one merge of each word at a time, words of like length together."""
+    out: list[list[int]] = [[]] * len(words)
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    while order and len(words[order[-1]]) > LONG_WORD:
+        i = order.pop()
+        out[i] = exact_merge(table, words[i])
+    for k in range(0, len(order), TOGETHER):
+        some = order[k:k + TOGETHER]
+        for i, ids in zip(some, _merge_together(table, [words[i] for i in some])):
+            out[i] = ids
+    return out
+
+
+def _merge_together(table: Vocabulary, words: list[bytes]) -> list[list[int]]:
+    """A row a word, a column a byte. A merge leaves its token in the left column and empties the right one."""
+    width = max(map(len, words)) + 1  # one empty column at the end
+    ids = np.full((len(words), width), -1, np.int64)
+    inside = np.arange(width) < np.array([len(w) for w in words])[:, None]
+    ids[inside] = table.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    after = np.minimum(np.tile(np.arange(1, width + 1), (len(words), 1)), width - 1)
+    before = np.tile(np.arange(-1, width - 1), (len(words), 1))
+
+    def ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b  # never a known pair if either is -1
+        at = np.minimum(np.searchsorted(table.pair_keys, key), len(table.pair_keys) - 1)
+        return np.where((table.pair_keys[at] == key) & (b >= 0), table.pair_rank[at], _NEVER)
+
+    rank = np.full(ids.shape, _NEVER)
+    rank[:, :-1] = ranks(ids[:, :-1], ids[:, 1:])
+    rows = np.arange(len(words))
+    while len(rows):
+        at = rank[rows].argmin(1)  # of equal ranks the leftmost
+        on = rank[rows, at] < _NEVER
+        rows, at = rows[on], at[on]
+        gone = after[rows, at]
+        ids[rows, at] = table.made[rank[rows, at]]
+        ids[rows, gone], rank[rows, gone] = -1, _NEVER
+        next_ = after[rows, gone]
+        after[rows, at], before[rows, next_] = next_, at
+        rank[rows, at] = ranks(ids[rows, at], ids[rows, next_])
+        left = before[rows, at]
+        some = left >= 0
+        r, l_ = rows[some], left[some]
+        rank[r, l_] = ranks(ids[r, l_], ids[r, at[some]])
+    kept = ids >= 0
+    flat, ends = ids[kept].tolist(), np.cumsum(kept.sum(1)).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def speculate(table: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All words cut greedily into longest matches: token ids, and the number of tokens of each word.
+
+    Words advance together, a match at a time; of long words the matches at all places are found at
+    once and followed one by one.
+    """
     raw = np.frombuffer(b"".join(words), np.uint8)
+    running = _running(raw)
     ends = np.cumsum([len(w) for w in words])
     starts = np.concatenate(([0], ends[:-1]))
-    token, length = longest_matches(table, raw, np.repeat(ends, ends - starts) - np.arange(len(raw)))
-    out: list[list[int]] = [[] for _ in words]
-    short = np.flatnonzero(ends - starts <= LONG_WORD)
-    at, steps = starts[short].copy(), []
-    while (on := at < ends[short]).any():
-        here = np.minimum(at, len(raw) - 1)
-        steps.append(np.where(on, token[here], -1))
-        at = np.where(on, at + length[here], at)
-    if steps:
-        for i, row in zip(short.tolist(), np.array(steps).T.tolist()):
-            out[i] = row[:row.index(-1)] if -1 in row else row
-    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
-        tokens, jump = (x[starts[i]:ends[i]].tolist() for x in (token, length))
-        place = 0
-        while place < len(tokens):
-            out[i].append(tokens[place])
-            place += jump[place]
-    return out
+    long_ = ends - starts > LONG_WORD
+    owners, tokens, steps = [], [], []
+    open_ = np.flatnonzero(~long_ & (ends > starts))
+    at = starts[open_]
+    while len(open_):
+        token, length = longest_matches(table, raw, running, at, ends[open_] - at)
+        owners.append(open_)
+        tokens.append(token)
+        steps.append(np.full(len(open_), len(steps)))
+        at = at + length
+        on = at < ends[open_]
+        open_, at = open_[on], at[on]
+    for i in np.flatnonzero(long_).tolist():
+        places = np.arange(starts[i], ends[i])
+        token, length = (x.tolist() for x in longest_matches(table, raw, running, places, ends[i] - places))
+        place, found = 0, []
+        while place < len(token):
+            found.append(token[place])
+            place += length[place]
+        owners.append(np.full(len(found), i))
+        tokens.append(np.array(found))
+        steps.append(np.arange(len(found)))
+    if not owners:
+        return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+    owner = np.concatenate(owners)
+    order = np.lexsort((np.concatenate(steps), owner))
+    return np.concatenate(tokens)[order], np.bincount(owner, minlength=len(words))
 
 
 def encode_words(table: Vocabulary, words: list[bytes]) -> list[list[int]]:
     """Token ids of each word: proposed by longest match, kept if every pair of neighbours fits, else merged."""
     if not words:
         return []
-    proposed = speculate(table, words)
-    flat = np.fromiter(chain.from_iterable(proposed), np.int64)
-    owner = np.repeat(np.arange(len(words)), [len(p) for p in proposed])
+    flat, counts = speculate(table, words)
+    owner = np.repeat(np.arange(len(words)), counts)
     beside = np.flatnonzero(owner[1:] == owner[:-1])
     failed = np.zeros(len(words), bool)
     failed[owner[beside[~compatible(table, flat[beside], flat[beside + 1])]]] = True
     failed[owner[~table.sound[flat]]] = True
-    spelled = table.spelled.__getitem__
-    return [exact_merge(table, w) if fail or b"".join(map(spelled, p)) != w else p  # the bytes rule out equal hashes
-            for w, p, fail in zip(words, proposed, failed.tolist())]
+    spelled, tokens, ends = table.spelled.__getitem__, flat.tolist(), np.cumsum(counts).tolist()
+    out = [tokens[a:b] for a, b in zip([0, *ends], ends)]
+    # the bytes rule out different strings of one hash
+    wrong = [i for i, (w, p, fail) in enumerate(zip(words, out, failed.tolist()))
+             if fail or b"".join(map(spelled, p)) != w]
+    for i, ids in zip(wrong, exact_merges(table, [words[i] for i in wrong])):
+        out[i] = ids
+    return out
 
 
 class Codec:
@@ -271,10 +341,10 @@ class Codec:
                 cut.append(self.words_of(text))
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        self.known.update((name, np.array([i], np.int32).tobytes()) for name, i in self.table.added.items())
+        self.known.update((name, array("i", [i]).tobytes()) for name, i in self.table.added.items())
         new = [w for w in set(chain.from_iterable(cut)) if w not in self.known]
         ids = encode_words(self.table, [w.encode() for w in new])
-        self.known.update((w, np.array(i, np.int32).tobytes()) for w, i in zip(new, ids))
+        self.known.update((w, array("i", i).tobytes()) for w, i in zip(new, ids))
         look = self.known.__getitem__
         found = [np.frombuffer(b"".join(map(look, w)), np.int32) for w in cut]
         for w in new:

@@ -53,12 +53,18 @@ def test_pairs_that_fit_are_those_that_merging_leaves_alone(codec):
     assert 0 < sum(merged) < len(pairs)
 
 
+def test_merging_together_is_merging_one_by_one(codec):
+    words = [w for t in texts(300) for w in map(str.encode, codec.words_of(t))][:4000] + [b"", b"a", b"aaaaaaa", b"zzz" * 60]
+    assert bpe_codec.exact_merges(codec.table, words) == [bpe_codec.exact_merge(codec.table, w) for w in words]
+
+
 def test_matches_are_the_longest(codec):
     table, words = codec.table, [b" unbelievable", b"xyzzyq", "née".encode(), b"aaaa" * 40]
     known = set(table.spelled[:50_256])
-    for word, found in zip(words, bpe_codec.speculate(table, words)):
+    flat, counts = bpe_codec.speculate(table, words)
+    for word, found in zip(words, np.split(flat, np.cumsum(counts)[:-1])):
         place = 0
-        for i in found:
+        for i in found.tolist():
             longest = max(n for n in range(1, len(word) - place + 1) if word[place:place + n] in known)
             assert table.spelled[i] == word[place:place + longest]
             place += longest
