@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from logwarden.llm.common import mix, pieces, strings
@@ -13,17 +17,18 @@ from logwarden.llm.common import mix, pieces, strings
 #: Length of the q-grams (a power of two), edits allowed per character of a segment.
 Q, EDIT_SHARE = 8, 0.08
 
-#: Benchmark items are cut into segments of this many normalised characters, one every STRIDE.
-SEGMENT, STRIDE = 100, 50
+#: Benchmark items are cut into segments of this many normalised characters, one every STRIDE. So a
+#: verbatim excerpt of SEGMENT + STRIDE - 1 characters holds a whole segment wherever it begins.
+SEGMENT, STRIDE = 40, 10
 
-#: An item shorter than this many normalised characters is too short to tell and matches nothing.
+#: An item shorter than this many normalised characters must lie in the text as it is, between word edges.
 SHORTEST = 24
 
-#: Pairs of equal q-grams that are counted at once.
-PAIRS = 1_000_000
+#: Pairs of equal q-grams, and windows of a text, that are looked at at once.
+PAIRS, WINDOWS = 1_000_000, 200_000
 
 #: Benchmark characters that one pass over the documents holds; a larger benchmark takes several passes.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 
 SCHEMA = "doc_id long, item_id long, start int, stop int, n_segments int, distance int"
 
@@ -81,15 +86,19 @@ class Index:
     segment: np.ndarray    # postings
     place: np.ndarray
     present: np.ndarray    # quick test by the top bits of a hash
+    brief: dict[int, dict[bytes, list[int]]]  # by length: short items by their characters
 
 
-def build_index(items: list[tuple[int, str]]) -> Index | None:
+def build_index(items: list[tuple[int, str]]) -> Index:
     owner, codes = [], []
+    brief: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
     for item, text in items:
         plain, _ = normalized(text or "")
         plain = plain[1:] if len(plain) and plain[0] == 32 else plain
         plain = plain[:-1] if len(plain) and plain[-1] == 32 else plain
         if len(plain) < SHORTEST:
+            if len(plain):
+                brief[len(plain)][plain.tobytes()].append(item)
             continue
         starts = list(range(0, max(1, len(plain) - SEGMENT + 1), STRIDE))
         if starts[-1] + SEGMENT < len(plain):
@@ -97,24 +106,22 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
         for s in starts:
             owner.append(item)
             codes.append(plain[s:s + SEGMENT])
-    if not codes:
-        return None
-    lengths = np.array([len(c) for c in codes])
+    lengths = np.array([len(c) for c in codes], np.int64)
     budget = (lengths * EDIT_SHARE).astype(np.int64)
     needed = lengths - Q + 1 - budget * Q
     while (short := needed < 1).any():  # a budget that the lemma cannot bound is lowered until it can
         budget[short] -= 1
         needed = lengths - Q + 1 - budget * Q
     grams = [qgrams(c) for c in codes]
-    hashes = np.concatenate(grams)
+    hashes = np.concatenate([np.zeros(0, np.uint64), *grams])
     segment = np.repeat(np.arange(len(codes)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams])
+    place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])
     order = np.argsort(hashes, kind="stable")
     unique, first, count = np.unique(hashes[order], return_index=True, return_counts=True)
     present = np.zeros(1 << 22, bool)
     present[unique >> np.uint64(42)] = True
     return Index(np.array(owner), codes, budget, needed, unique, first, first + count,
-                 segment[order], place[order], present)
+                 segment[order], place[order], present, {n: dict(found) for n, found in brief.items()})
 
 
 def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +133,8 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """
     h = qgrams(codes)
     at = np.flatnonzero(index.present[h >> np.uint64(42)]) if len(h) else np.zeros(0, np.int64)
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     found = np.minimum(np.searchsorted(index.hashes, h[at]), len(index.hashes) - 1)
     same = index.hashes[found] == h[at]
     at, found = at[same], found[same]
@@ -192,31 +201,74 @@ def aligned(segment: np.ndarray, codes: np.ndarray, diagonal: int, budget: int)
     return int(cost[j]), begin, end
 
 
+def short_matches(index: Index, codes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(item, begin, end) of short items that lie between word edges of the normalised text."""
+    if not index.brief:
+        return []
+    edge = np.concatenate(([True], codes == 32, [True]))  # what stands before each place, and after the last
+    begins, out = np.flatnonzero(edge[:-1][:len(codes)] & (codes != 32)), []
+    for length, items in index.brief.items():
+        some = begins[begins + length <= len(codes)]
+        some = some[edge[some + length + 1]]
+        for k in range(0, len(some), WINDOWS):
+            at = some[k:k + WINDOWS]
+            windows = codes[at[:, None] + np.arange(length)]
+            # a window is read as one value, so that the few that equal an item are found together
+            whole = np.ascontiguousarray(windows).view(np.dtype((np.void, windows.itemsize * length))).ravel()
+            hit = np.isin(whole, np.array([np.frombuffer(i, np.dtype((np.void, len(i))))[0] for i in items]))
+            for begin, value in zip(at[hit].tolist(), whole[hit]):
+                out += [(item, begin, begin + length) for item in items[value.tobytes()]]
+    return out
+
+
 def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
     """(item, start, stop, segments, least distance) for every item that has a segment in the text."""
     codes, at = normalized(text)
     found: dict[int, tuple[int, int, set, int]] = {}
-    for s, d in zip(*candidates(index, codes)):
-        got = aligned(index.codes[s], codes, int(d), int(index.budget[s]))
-        if got is None or got[2] <= got[1]:
-            continue
-        distance, begin, end = got
+
+    def add(item: int, segment: int, distance: int, begin: int, end: int):
         start, stop = int(at[begin]), int(at[end - 1]) + 1
-        item = int(index.items[s])
         old = found.get(item, (start, stop, set(), distance))
-        found[item] = (min(old[0], start), max(old[1], stop), old[2] | {int(s)}, min(old[3], distance))
+        found[item] = (min(old[0], start), max(old[1], stop), old[2] | {segment}, min(old[3], distance))
+
+    for s, d in zip(*candidates(index, codes)):
+        got = aligned(index.codes[s], codes, int(d), int(index.budget[s]))
+        if got is not None and got[2] > got[1]:
+            add(int(index.items[s]), int(s), *got)
+    for item, begin, end in short_matches(index, codes):
+        add(item, -1, 0, begin, end)
     return sorted((i, b, e, len(n), d) for i, (b, e, n, d) in found.items())
 
 
-def _blocks(benchmark: DataFrame) -> list[Index]:
-    """The benchmark in blocks of bounded size. An item is text; null texts and ids are left out."""
+class Block:
+    """Items of a part of the benchmark, sent to the executors once; a worker makes its index when it first needs it."""
+
+    held: dict[str, Index] = {}
+
+    def __init__(self, items: Broadcast):
+        self.items, self.name = items, uuid.uuid4().hex
+
+    def index(self) -> Index:
+        if self.name not in Block.held:
+            Block.held.clear()  # a worker holds one index at a time
+            Block.held[self.name] = build_index(self.items.value)
+        return Block.held[self.name]
+
+
+def _blocks(benchmark: DataFrame) -> list[Block]:
+    """The benchmark in blocks of bounded size, of which the driver holds one at a time.
+
+    An item is text; null texts and ids are left out.
+    """
+    context = benchmark.sparkSession.sparkContext
     blocks, held, size = [], [], 0
     for row in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
         held.append((row["item_id"], row["text"]))
         size += len(row["text"])
         if size > BLOCK_CHARS:
-            blocks, held, size = [*blocks, build_index(held)], [], 0
-    return [b for b in [*blocks, build_index(held)] if b]
+            blocks.append(Block(context.broadcast(held)))
+            held, size = [], 0
+    return [*blocks, Block(context.broadcast(held))] if held else blocks
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -224,14 +276,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Found means: a segment of SEGMENT characters of the item (the whole item if it is shorter)
     lies in the document with at most EDIT_SHARE edits a character, after lower-casing and with
-    anything but letters and digits as one space. start and stop span the found segments in code
+    anything but letters and digits as one space. An item shorter than SHORTEST characters must
+    stand there as it is, between word edges. start and stop span the found segments in code
     points of the document's own text. Clean documents have no row. Null and empty texts, items
-    shorter than SHORTEST characters and empty tables give no rows; repeated rows give repeated
+    without a letter or digit and empty tables give no rows; repeated rows give repeated
     rows; other columns are ignored. The documents are read once for every BLOCK_CHARS characters
     of benchmark; nothing is shuffled.
     """
-    def scan(index: Index):
+    def scan(block: Block) -> Callable:
         def rows(batches):
+            index = block.index()
             for batch in batches:
                 for part in pieces(batch):
                     out = [(doc, *match) for doc, text in zip(part.column("doc_id").to_pylist(), strings(part.column("text")))
@@ -245,7 +299,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return rows
 
     read = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    found = [read.mapInArrow(scan(index), SCHEMA) for index in _blocks(benchmark)]
+    found = [read.mapInArrow(scan(block), SCHEMA) for block in _blocks(benchmark)]
     if not found:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     out = found[0]
@@ -255,14 +309,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, with their own columns; one narrow pass for each block."""
-    def keep(index: Index):
+    """The documents that hold no benchmark item, with their own columns; one narrow pass for each block.
+
+    Documents with a null or empty text stay, as do repeated rows; an empty benchmark drops nothing.
+    """
+    def keep(block: Block) -> Callable:
         def rows(batches):
+            index = block.index()
             for batch in batches:
                 for part in pieces(batch):
                     yield part.filter(pa.array([not matches(index, t) for t in strings(part.column("text"))], pa.bool_()))
         return rows
 
-    for index in _blocks(benchmark):
-        docs = docs.mapInArrow(keep(index), docs.schema)
+    for block in _blocks(benchmark):
+        docs = docs.mapInArrow(keep(block), docs.schema)
     return docs

@@ -23,9 +23,6 @@ LABEL_BOUND = 20_000
 #: share is surely (at the lower end of its interval) above one half.
 LEAST_ROWS, LEAST_SHARE, SURE_SHARE = 4, 0.9, 0.5
 
-#: The lexicon's bound: the surest terms are kept.
-LEXICON_BOUND = 5_000
-
 #: Lengths of word beginnings that may stand for a family of inflected words.
 STEMS = range(3, 9)
 
@@ -76,33 +73,54 @@ class Automaton:
         return any(row >> self.size & 1 for row in state)
 
 
+#: Keys of a trie node that no character can be: the term ends here, a family begins here.
+ENDS, BEGINS = "", "begins"
+
+
 @dataclass
 class Lexicon:
-    """Terms with their row counts in toxic and clean texts; a term ending in * is a word beginning."""
+    """Terms with their row counts in toxic and clean texts; a term ending in * is a word beginning.
+
+    ``members`` are words of a family, with the beginning that stands for them: they have no count
+    of their own, but a misspelling of one counts as its family.
+    """
 
     counts: dict[str, tuple[int, int]]
     toxic: int
     clean: int
     known: frozenset[str] = frozenset()  # ordinary words that lie near a term
+    members: dict[str, str] = field(default_factory=dict)
     trie: dict = field(default_factory=dict)
     halves: list = field(default_factory=list)
+    swapped: dict[str, str] = field(default_factory=dict)  # words with two neighbouring letters swapped
 
     def __post_init__(self):
         heads, tails, middles = set(), set(), set()
-        for term in self.counts:
-            node = self.trie
-            for c in term.rstrip("*"):
-                node = node.setdefault(c, {})
-            node["*" if term.endswith("*") else ""] = term
-            if not term.endswith("*") and len(term) >= ONE_EDIT:
-                parts = 3 if len(term) >= TWO_EDITS else 2
-                heads.add(term[:len(term) // parts])
-                tails.add(term[-(len(term) // parts):])
+        targets = {t: t for t in self.counts if not t.endswith("*")}
+        for word, term in {**self.members, **targets}.items():
+            node = self._node(word)
+            node[ENDS] = term
+            if len(word) >= ONE_EDIT:
+                for i in range(len(word) - 1):
+                    wrong = word[:i] + word[i + 1] + word[i] + word[i + 2:]
+                    self.swapped[wrong] = min(self.swapped.get(wrong, term), term)
+                parts = 3 if len(word) >= TWO_EDITS else 2
+                heads.add(word[:len(word) // parts])
+                tails.add(word[-(len(word) // parts):])
                 if parts == 3:
-                    middles.add(term[len(term) // 3:len(term) - len(term) // 3])
+                    middles.add(word[len(word) // 3:len(word) - len(word) // 3])
+        for term in self.counts:
+            if term.endswith("*"):
+                self._node(term[:-1])[BEGINS] = term
         lengths = lambda x: sorted({len(y) for y in x})
         self.halves = [heads, lengths(heads), tails, lengths(tails), middles]
 
+    def _node(self, word: str) -> dict:
+        node = self.trie
+        for c in word:
+            node = node.setdefault(c, {})
+        return node
+
     def weight(self, term: str, label: float | None = None) -> float:
         """Log odds of the term; for a row of the sample, as if the row were not in it."""
         a, b = self.counts[term]
@@ -115,37 +133,40 @@ class Lexicon:
         """The term that the word is or, else, begins with."""
         node, stem = self.trie, None
         for c in word:
-            stem = stem or node.get("*")
+            stem = stem or node.get(BEGINS)
             node = node.get(c)
             if node is None:
                 return stem
-        return node.get("") or stem or node.get("*")
+        return node.get(ENDS) or stem or node.get(BEGINS)
 
     def near(self, word: str) -> str | None:
         """The term that the word misspells: the automaton of the word walks the trie.
 
         An edit leaves one half of a term whole (two edits one of three parts), so only words with
-        the beginning, end or middle of a term are walked at all.
+        the beginning, end or middle of a term are walked at all. A swap of two neighbours, which
+        the automaton counts as two edits, is one slip like any other and is looked up.
         """
+        if word in self.swapped:
+            return self.swapped[word]
         heads, head_sizes, tails, tail_sizes, middles = self.halves
         if not (any(word[:n] in heads for n in head_sizes) or any(word[-n:] in tails for n in tail_sizes)
                 or any(m in word for m in middles)):
             return None
         automaton = Automaton(word, 2 if len(word) >= TWO_EDITS - 1 else 1)
         best: tuple[int, str] | None = None
-        stack = [(self.trie, automaton.start())]
+        stack = [(self.trie, automaton.start(), 0)]
         while stack:
-            node, state = stack.pop()
-            term = node.get("")
+            node, state, size = stack.pop()
+            term = node.get(ENDS)
             if term and automaton.accepts(state):
                 edits = next(e for e, row in enumerate(state) if row >> automaton.size & 1)
-                if edits <= (2 if len(term) >= TWO_EDITS else 1 if len(term) >= ONE_EDIT else 0):
+                if edits <= (2 if size >= TWO_EDITS else 1 if size >= ONE_EDIT else 0):
                     best = min(best or (edits, term), (edits, term))
             for c, child in node.items():
-                if len(c) == 1 and c != "*":
+                if len(c) == 1:
                     then = automaton.step(state, c)
                     if any(then):
-                        stack.append((child, then))
+                        stack.append((child, then, size + 1))
         return best and best[1]
 
     def match(self, word: str) -> tuple[str, bool] | None:
@@ -291,9 +312,11 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     rows = terms.where((F.col("a") >= LEAST_ROWS) & (F.col("a") >= LEAST_SHARE * (F.col("a") + F.col("b")))).collect()
     sure = {r["term"]: (r["a"], r["b"]) for r in rows if _surely(r["a"], r["b"]) >= SURE_SHARE}
     families = {t: c for t, c in sure.items() if not t.endswith("*") or _family(t, c, sure)}
-    kept = {t: c for t, c in families.items() if not _covered(t, c, families)}
-    kept = dict(sorted(kept.items(), key=lambda x: (-_surely(*x[1]), x[0]))[:LEXICON_BOUND])
-    lexicon = Lexicon(kept, sizes.get(1, 0), sizes.get(0, 0))
+    covers = {t: _covers(t, c, families) for t, c in families.items()}
+    kept = {t: c for t, c in families.items() if not covers[t]}
+    # words that a beginning stands for stay targets of misspellings, with the weight of the family
+    members = {t: _last(t, covers) for t, c in covers.items() if c and not t.endswith("*")}
+    lexicon = Lexicon(kept, sizes.get(1, 0), sizes.get(0, 0), members=members)
 
     def ordinary(batches):  # clean words that a misspelling could be taken for
         for batch in batches:
@@ -301,7 +324,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], ["term"])
 
     near = terms.where("b >= 2 and term not like '%*'").select("term").mapInArrow(ordinary, "term string")
-    lexicon.known = frozenset(r["term"] for r in near.collect())
+    lexicon.known = frozenset(r["term"] for r in near.collect())  # bounded as the sample is
     return lexicon
 
 
@@ -310,11 +333,18 @@ def _family(stem: str, count: tuple[int, int], sure: dict[str, tuple[int, int]])
     return not any(c[0] >= 0.8 * count[0] for t, c in sure.items() if not t.endswith("*") and t.startswith(stem[:-1]))
 
 
-def _covered(term: str, count: tuple[int, int], sure: dict[str, tuple[int, int]]) -> bool:
-    """Whether a shorter beginning is as sure."""
-    word = term.rstrip("*")
+def _last(term: str, covers: dict[str, list[str]]) -> str:
+    """The beginning that stands for the term and that no shorter one stands for."""
+    while covers[term]:
+        term = min(covers[term], key=len)
+    return term
+
+
+def _covers(term: str, count: tuple[int, int], sure: dict[str, tuple[int, int]]) -> list[str]:
+    """Shorter beginnings that are as sure."""
+    word = term[:-1] if term.endswith("*") else term
     shorter = [f"{word[:n]}*" for n in STEMS if n < len(word)]
-    return any(s in sure and _surely(*sure[s]) >= 0.97 * _surely(*count) for s in shorter)
+    return [s for s in shorter if s in sure and _surely(*sure[s]) >= 0.97 * _surely(*count)]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = LABEL_BOUND) -> Model:

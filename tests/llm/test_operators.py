@@ -250,6 +250,27 @@ def test_automaton_against_edit_distance():
         assert machine.accepts(state) == (distance(a, b) <= 2)
 
 
+def test_misspelled_words_of_a_family():
+    counts = {"idio*": (60, 0), "f*ck": (20, 0), "fool": (20, 0)}
+    lexicon = toxicity.Lexicon(counts, 100, 1000, members={"idiot": "idio*", "idiotic": "idio*", "idiots": "idio*"})
+    for word in ("idoit", "idito", "iidot", "idiiot", "idot", "idi0t", "1d1ot", "idoitic", "1diotic"):
+        assert lexicon.match(word) == ("idio*", True), word
+    assert lexicon.match("idiotisch") == ("idio*", False) and lexicon.match("f*ck") == ("f*ck", False)
+    assert lexicon.match("idio*x") == ("idio*", False)
+    assert lexicon.match("audio") is None and lexicon.match("radiot") is None and lexicon.match("idea") is None
+    scorer = toxicity.Scorer(lexicon)
+    assert scorer.features("what an idoit once")[0] == scorer.features("what an idiot once")[0] > 0
+
+
+def test_lexicon_keeps_words_of_a_family_as_targets(spark):
+    rng = random.Random(2)
+    filler = ["river", "stone", "window", "garden", "yellow", "market", "letter"]
+    rows = [(" ".join(rng.choices(filler, k=12) + [rng.choice(["idiot", "idiots", "idiotic"])] * (i % 2)), i % 2) for i in range(300)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert lexicon.counts and all(t.startswith("idi") for t in lexicon.counts)
+    assert lexicon.match("idoit")[1] and lexicon.match("iidots")[1]
+
+
 def test_misspelled_terms_and_quotation():
     lexicon = toxicity.Lexicon({"idiot": (50, 0), "stupid": (40, 0), "lowe*": (20, 0)}, 100, 1000, frozenset({"stupin"}))
     assert lexicon.match("1diot") == ("idiot", True) and lexicon.match("stupiid") == ("stupid", True)
@@ -259,6 +280,45 @@ def test_misspelled_terms_and_quotation():
     assert scorer.features('He said "idiot" once')[1] < scorer.features("what an idiot once")[1]
 
 
+# decontamination as a whole
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+
+def test_excerpts_of_fifty_characters_are_found(spark):
+    """Verbatim excerpts from anywhere in an item, against a search for any of its 50-character pieces."""
+    rng = random.Random(21)
+    items = [(i, words(rng, 60)) for i in range(40)]
+    docs, holds = [], set()
+    for d in range(400):
+        text, item = words(rng, 80), rng.randrange(40)
+        if d % 2:
+            source, length = items[item][1], rng.choice([50, 50, 55, 60, 80, 120])
+            at = rng.randrange(len(source) - length)
+            text, holds = f"{text[:200]} {source[at:at + length]} {text[200:]}", holds | {(d, item)}
+        docs.append((d, text))
+    plain = lambda t: "".join(map(chr, decontaminate.normalized(t)[0])).strip()
+    brute = {(d, i) for d, t in docs for i, s in items for n in [plain(t)] for b in [plain(s)]
+             if any(b[k:k + 50] in n for k in range(len(b) - 49))}
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert brute <= holds and len(brute & found) >= 0.95 * len(brute) and len(found & holds) >= 0.95 * len(holds)
+    assert found <= holds
+
+
+def test_short_items_stand_between_word_edges(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 20)  # several blocks
+    items = [(1, "Forty two"), (2, "yes!"), (3, "??"), (4, "Forty  two"), (5, "é")]
+    texts = ["The answer: forty-two.", "forty twos", "Yes, forty\ntwo", "eyes", "YES", "", None, "caf é", "café"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.start, r.stop) for r in decontaminate.find_contamination(docs, bench).collect()}
+    assert found == {(0, 1, 12, 21), (0, 4, 12, 21), (2, 1, 5, 14), (2, 4, 5, 14), (2, 2, 0, 3), (4, 2, 0, 3), (7, 5, 4, 5)}
+    kept = {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
+    assert kept == {1, 3, 5, 6, 8}
+
+
 # pages
 
 def test_parts_that_are_not_the_article():
