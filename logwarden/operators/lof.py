@@ -1,96 +1,20 @@
-"""Local Outlier Factor (Breunig, Kriegel, Ng, Sander 2000).
+"""Local Outlier Factor (Breunig, Kriegel, Ng, Sander 2000) over all rows.
 
-``exact_lof`` finds every row's neighbours among all rows with a distributed join.
-``lof_score`` compares every row with ``reference_rows`` rows chosen by key hash instead:
-its work grows linearly with the table and its model keeps its size whatever the table
-holds. With at least as many reference rows as rows, both give the same.
-
-Distances are Euclidean, rounded to nine places; equal ones are taken in key order, so
-each row has exactly ``neighbors`` neighbours and the result does not depend on
-partitioning. A row is never its own neighbour.
+Every row's neighbours are found among all rows with a distributed join. Distances are Euclidean,
+rounded to nine places; equal ones are taken in key order, so each row has exactly ``neighbors``
+neighbours and the result does not depend on partitioning. A row is never its own neighbour.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import fixed_values as V
 from logwarden.operators.durable import durable
-from logwarden.operators.neighbors import blocks, first_copies, nearest, nearest_neighbors
-from logwarden.operators.sampling import hash_sample
-
-REFERENCE_ROWS = 4096
-LOF_SEED = 42
-
-
-def _density(distance: np.ndarray, kth_of_neighbor: np.ndarray) -> np.ndarray:
-    reach = np.maximum(distance, kth_of_neighbor)
-    return 1.0 / (reach.mean(axis=1) + V.LOF_DENSITY_FLOOR)
-
-
-class _References:
-    """The reference rows, broadcast, and a column that finds a row's neighbours among them."""
-
-    def __init__(self, df: DataFrame, columns: Sequence[str], neighbors: int, rows: int, seed: int, total: int | None):
-        self.columns = columns = list(columns)
-        sample = hash_sample(df.select("row_id", *columns), rows, seed, total)
-        picked = sample.toPandas().sort_values("row_id", ignore_index=True)
-        self.frame = picked
-        self.k = k = min(neighbors, len(picked) - 1)
-        self.points = points = df.sparkSession.sparkContext.broadcast(
-            (pd.Index(picked["row_id"]), picked[columns].to_numpy(dtype=float)))
-
-        def neighborhood(batch: pd.DataFrame) -> pd.DataFrame:
-            keys, reference = points.value
-            own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
-            found = [nearest(rows[b], own[b], reference, k) for b in blocks(len(rows), len(reference))]
-            position, distance = (list(np.vstack(part)) for part in zip(*found))
-            return pd.DataFrame({"position": position, "distance": distance})
-
-        self.neighborhood = F.pandas_udf(neighborhood, "position array<long>, distance array<double>")
-
-    def of(self, df: DataFrame) -> DataFrame:
-        return df.select("row_id", self.neighborhood(F.struct("row_id", *self.columns)).alias("n")).select("row_id", "n.*")
-
-
-def lof_score(
-    df: DataFrame,
-    columns: Sequence[str] = V.FEATURE_COLUMNS,
-    neighbors: int = V.LOF_NEIGHBORS,
-    reference_rows: int = REFERENCE_ROWS,
-    seed: int = LOF_SEED,
-    total: int | None = None,
-) -> Column:
-    """Negative factor of a row of ``df``: about -1 for inliers, lower for outliers."""
-    columns, spark = list(columns), df.sparkSession
-    references = _References(df, columns, neighbors, reference_rows, seed, total)
-    k, points = references.k, references.points
-    if k < 1:
-        return F.lit(-1.0)
-    # The reference rows' own neighbourhoods are found by tasks too.
-    slots = max(min(spark.sparkContext.defaultParallelism, len(references.frame)), 1)
-    around = (references.of(spark.createDataFrame(references.frame).repartition(slots, "row_id"))
-              .toPandas().sort_values("row_id"))
-    position, distance = np.vstack(around["position"]), np.vstack(around["distance"])
-    kth = distance.max(axis=1)
-    model = spark.sparkContext.broadcast((kth, _density(distance, kth[position])))
-
-    def factor(batch: pd.DataFrame) -> pd.Series:
-        keys, reference = points.value
-        kth, density = model.value
-        own, rows = keys.get_indexer(batch["row_id"]), batch[columns].to_numpy(dtype=float)
-        result = np.empty(len(rows))
-        for block in blocks(len(rows), len(reference)):
-            position, distance = nearest(rows[block], own[block], reference, k)
-            result[block] = -density[position].mean(axis=1) / _density(distance, kth[position])
-        return pd.Series(result)
-
-    return F.pandas_udf(factor, "double")(F.struct("row_id", *columns))
+from logwarden.operators.neighbors import first_copies, nearest_neighbors
 
 
 def exact_lof(

@@ -1,11 +1,10 @@
 """Exact k nearest neighbours of every row, without a broadcast that grows or a cross join.
 
-Rows are assigned to the nearest of a bounded number of pivots (Lu, Shen, Chen, Ooi 2012).
-The search has two phases. First a row meets the rows of its own cell only; its k-th distance
-there bounds how far its true neighbours can be. Then it visits just those cells that reach
-into that distance, by their pivot and radius and by their range in every column. Cells are matched in pieces of bounded
-size, whatever share of the rows they hold, and each piece returns at most k rows per query,
-none beyond the query's own bound.
+Rows are dealt to the cells of a range tree. The search has two phases. First a row meets the rows
+of its own cell and of the nearest cells with the same parent; its k-th distance there bounds how
+far its true neighbours can be. Then it goes down the tree and visits just those cells that reach
+into that distance. Cells are matched in pieces of bounded size, whatever share of the rows they
+hold, and each piece returns at most k rows per query, none beyond the query's own bound.
 
 Of many copies of one point only the first k + 1 by key can be anybody's neighbour, so
 the others are not matched at all; see ``first_copies``.
@@ -22,26 +21,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logwarden.operators.durable import durable
-from logwarden.operators.sampling import hash_sample
+from logwarden.operators.range_tree import (
+    FAN, LEAF_ROWS, TOP_CELLS, RangeTree, blocks, build_tree, part_of, parts_of, visited_cells)
 
-MAX_PIVOTS = 4096
 QUERY_ROWS = 4096
 CANDIDATE_ROWS = 16384
-PIVOT_SEED = 42
-# Cells of one distance block; bounds a task's memory whatever the batch size is.
-_BLOCK_CELLS = 2_000_000
+#: Cells beside its own that a row looks into for its first bound.
+PROBED = 6
 # Covers the rounding of distances.
 _SLACK = 1e-6
 
 
-def distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Euclidean distances, rounded to nine places so that equal ones compare equal."""
-    squared = np.zeros((len(points), len(others)))
-    for column in range(others.shape[1]):
-        squared += (points[:, column, None] - others[None, :, column]) ** 2
-    return np.round(np.sqrt(squared), 9)
-
-
 def nearest(points: np.ndarray, own: np.ndarray, reference: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and distances of the k nearest reference rows, earlier ones first among equals.
 
@@ -69,11 +59,6 @@ def nearest(points: np.ndarray, own: np.ndarray, reference: np.ndarray, k: int)
     return position[chosen].reshape(shape), distance[chosen].reshape(shape)
 
 
-def blocks(rows: int, width: int) -> list[slice]:
-    step = max(_BLOCK_CELLS // max(width, 1), 1)
-    return [slice(start, start + step) for start in range(0, rows, step)]
-
-
 def first_copies(df: DataFrame, columns: Sequence[str], copies: int) -> DataFrame:
     """The first ``copies`` rows, by key, of each distinct point.
 
@@ -89,26 +74,28 @@ def nearest_neighbors(
     df: DataFrame,
     columns: Sequence[str],
     k: int,
-    pivots: int | None = None,
+    leaf_rows: int = LEAF_ROWS,
+    fan: int = FAN,
+    top_cells: int = TOP_CELLS,
     query_rows: int = QUERY_ROWS,
     candidate_rows: int = CANDIDATE_ROWS,
 ) -> DataFrame:
     """(row_id, neighbor_id, distance, rank): k other rows each, by (distance, key)."""
     columns, spark = list(columns), df.sparkSession
-    total = df.count()
-    k = min(k, total - 1)
+    k = min(k, df.count() - 1)
     key = df.schema["row_id"].dataType.simpleString()
     pair_schema = f"row_id {key}, neighbor_id {key}, distance double"
     if k < 1:
         return spark.createDataFrame([], pair_schema + ", rank int")
 
-    located, centers = _located(df.select("row_id", *columns), columns, pivots or pivot_count(total), total)
-    visits = durable(cell_visits(located, centers, columns, k, candidate_rows), "visits")
-    pieces = _pieces(visits, located, query_rows, candidate_rows)
+    tree = build_tree(df, columns, leaf_rows, fan, candidate_rows)
+    bounded = own_bounds(tree, k, candidate_rows)
+    visits = durable(visited_cells(tree, bounded, top_cells, query_rows), "visits")
+    pieces = _pieces(visits, tree.points, query_rows, candidate_rows)
 
     def spread(rows: DataFrame, own: str, other: str) -> DataFrame:
         """A row goes to one part of its own kind, and to every part of the other kind."""
-        placed = rows.join(F.broadcast(pieces), "cell")
+        placed = rows.join(pieces, "cell")
         part = F.pmod(F.xxhash64("row_id"), F.col(f"{own}_parts"))
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1))
         return placed.select(*rows.columns, part.alias(f"{own}_part"), every.alias(f"{other}_part"))
@@ -131,97 +118,88 @@ def nearest_neighbors(
     group = ["cell", "query_part", "candidate_part"]
     partial = (
         spread(visits, "query", "candidate").groupBy(*group)
-        .cogroup(spread(located.drop("gap"), "candidate", "query").groupBy(*group))
+        .cogroup(spread(tree.points, "candidate", "query").groupBy(*group))
         .applyInPandas(match, pair_schema)
     )
     best = W.partitionBy("row_id").orderBy("distance", "neighbor_id")
     return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def pivot_count(total: int) -> int:
-    return int(min(MAX_PIVOTS, max(total**0.5, 1)))
-
-
-def _located(df: DataFrame, columns: list[str], pivots: int, total: int) -> tuple[DataFrame, np.ndarray]:
-    """The rows with their cell and their distance from its pivot, and the pivots."""
-    centers = hash_sample(df, pivots, PIVOT_SEED, total).toPandas()[columns].to_numpy(dtype=float)
-    shared = df.sparkSession.sparkContext.broadcast(centers)
+def first_bounds(points: np.ndarray, cell: np.ndarray, k: int) -> np.ndarray:
+    """For each point a distance within which k others of these points lie; infinite if there are too few.
 
-    def closest(rows: pd.DataFrame) -> pd.DataFrame:
-        points, parts = rows.to_numpy(dtype=float), []
-        for block in blocks(len(points), len(shared.value)):
-            gap = distances(points[block], shared.value)
-            parts.append(np.column_stack([gap.argmin(axis=1), gap.min(axis=1)]))
-        found = np.vstack(parts) if parts else np.empty((0, 2))
-        return pd.DataFrame({"cell": found[:, 0].astype(np.int32), "gap": found[:, 1]})
-
-    assign = F.pandas_udf(closest, "cell int, gap double")
-    return durable(
-        df.select("row_id", *columns, assign(F.struct(*columns)).alias("p")).select("row_id", *columns, "p.*"),
-        "cells"), centers
-
-
-def cell_visits(
-    located: DataFrame, centers: np.ndarray, columns: list[str], k: int, candidate_rows: int = CANDIDATE_ROWS
-) -> DataFrame:
-    """(row_id, columns, bound, cell): every cell that can hold one of the row's k neighbours."""
-    spark = located.sparkSession
-    radius, low, high, within = _extents(located, centers, columns, k)
-    shared = spark.sparkContext.broadcast((centers, radius, low, high, within))
-    parts = located.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).alias("parts"))
-    split = located.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("row_id"), F.col("parts")))
+    Every point looks into its own cell, into the PROBED cells nearest to it and, as long as these
+    hold no more than k points, into further ones.
+    """
+    order = np.argsort(cell, kind="stable")
+    points = points[order]
+    first = np.flatnonzero(np.diff(cell[order], prepend=cell[order][0] - 1 if len(order) else 0))
+    size = np.diff(np.append(first, len(order)))
+    low, high = (f.reduceat(points, first, axis=0) for f in (np.minimum, np.maximum))
+    kth = np.full((len(points), k), np.inf)
+    for block in blocks(len(points), len(first) * 8):
+        rows = points[block]
+        outside = np.zeros((len(rows), len(first)))
+        for column in range(points.shape[1]):
+            values = rows[:, column, None]
+            outside += np.maximum(np.maximum(low[:, column] - values, values - high[:, column]), 0.0) ** 2
+        own = np.repeat(np.arange(len(first)), size)[block]
+        outside[np.arange(len(rows)), own] = -1.0
+        nearest_first = np.argsort(outside, axis=1, kind="stable")
+        held = np.cumsum(size[nearest_first], axis=1) - size[nearest_first]
+        rank, which = (x.ravel() for x in np.broadcast_arrays(np.arange(len(first)), np.arange(len(rows))[:, None]))
+        looked = (rank <= PROBED) | (held.ravel() <= k)
+        # a cell farther than the bound so far is skipped, so cells are looked at from near to far
+        which, target, rank = which[looked], nearest_first.ravel()[looked], rank[looked]
+        for step in range(rank.max(initial=-1) + 1):
+            now = rank == step
+            asking, asked = which[now], target[now]
+            far = np.sqrt(np.maximum(outside[asking, asked], 0.0)) > kth[block.start + asking, -1]
+            asking, asked = asking[~far], asked[~far]
+            by_cell = np.argsort(asked, kind="stable")
+            for group in np.split(by_cell, np.flatnonzero(np.diff(asked[by_cell])) + 1):
+                if len(group):
+                    c, at = asked[group[0]], block.start + asking[group]
+                    inside = points[first[c]:first[c] + size[c]]
+                    kth[at] = _with_nearer(kth[at], points[at], at - first[c], inside, k)
+    bound = np.empty(len(points))
+    bound[order] = kth[:, -1]
+    return bound
+
+
+def _with_nearer(kth: np.ndarray, points: np.ndarray, own: np.ndarray, inside: np.ndarray, k: int) -> np.ndarray:
+    """The k least of the distances known and those to the points of a cell, in order."""
+    inside_own = np.where((own >= 0) & (own < len(inside)), own, -1)
+    out = np.empty_like(kth)
+    for block in blocks(len(points), len(inside)):
+        _, distance = nearest(points[block], inside_own[block], inside, min(k, len(inside)))
+        out[block] = np.sort(np.concatenate([kth[block], distance], axis=1), axis=1)[:, :k]
+    return out
+
+
+def own_bounds(tree: RangeTree, k: int, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
+    """The points with a distance within which k other points surely lie.
+
+    Leaves of one parent are looked at together, at most ``fan`` of bounded size; a leaf that is
+    large by itself is looked at in parts. Where a parent holds too few points in leaves of its own,
+    the bound is infinite, and the search visits every cell.
+    """
+    columns = tree.columns
+    group = F.when(F.col("alone"), F.col("cell")).otherwise(F.col("parent"))
+    points = tree.points.withColumn("group", group)
+    sizes = points.where("alone").groupBy("group").agg(parts_of(F.count(F.lit(1)), candidate_rows).alias("parts"))
+    split = points.join(sizes, "group", "left").withColumn("part", F.coalesce(part_of(F.col("parts")), F.lit(0)))
 
     def bounded(rows: pd.DataFrame) -> pd.DataFrame:
-        points = rows[columns].to_numpy(dtype=float)
-        bound = rows["gap"].to_numpy() + shared.value[4][rows["cell"].iloc[0]]
-        if len(rows) > k:
-            own = np.arange(len(points))
-            for block in blocks(len(points), len(points)):
-                kth = nearest(points[block], own[block], points, k)[1][:, -1]
-                bound[block] = np.minimum(bound[block], kth)
+        bound = first_bounds(rows[columns].to_numpy(dtype=float), rows["cell"].to_numpy(), k)
         return rows[["row_id", *columns]].assign(bound=bound + _SLACK)
 
-    def reached(rows: pd.DataFrame) -> pd.Series:
-        centers, radius, low, high, _ = shared.value
-        points, bound, found = rows[columns].to_numpy(dtype=float), rows["bound"].to_numpy(), []
-        for block in blocks(len(points), len(centers)):
-            limit, outside = bound[block][:, None], np.zeros((len(points[block]), len(centers)))
-            for column, values in enumerate(points[block].T[:, :, None]):
-                outside += np.maximum(np.maximum(low[:, column] - values, values - high[:, column]), 0.0) ** 2
-            near = (distances(points[block], centers) - radius <= limit) & (np.sqrt(outside) <= limit)
-            found += [np.flatnonzero(row).astype(np.int32) for row in near]
-        return pd.Series(found, dtype=object)
-
-    names = [c for c in located.columns if c not in ("cell", "gap")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in located.schema if f.name in names)
-    limited = split.groupBy("cell", "part").applyInPandas(bounded, schema + ", bound double")
-    cells = F.pandas_udf(reached, "array<int>")(F.struct(*columns, "bound"))
-    return limited.select("*", F.explode(cells).alias("cell"))
-
-
-def _extents(located: DataFrame, centers: np.ndarray, columns: list[str], k: int) -> tuple[np.ndarray, ...]:
-    """Per cell its radius (none for an empty one), its range in every column, and how far from
-    its pivot k + 1 rows surely lie."""
-    smallest = W.partitionBy("cell").orderBy("gap")
-    inner = (located.select("cell", "gap").withColumn("_nth", F.row_number().over(smallest))
-             .filter(F.col("_nth") <= k + 1).select("cell", "gap").toPandas())
-    outer = located.groupBy("cell").agg(
-        F.max("gap").alias("radius"), F.array(*map(F.min, columns)).alias("low"),
-        F.array(*map(F.max, columns)).alias("high")).toPandas()
-    radius, low, high = np.full(len(centers), -np.inf), np.zeros(centers.shape), np.zeros(centers.shape)
-    radius[outer["cell"]] = outer["radius"]
-    low[outer["cell"]], high[outer["cell"]] = np.vstack(outer["low"]), np.vstack(outer["high"])
-    cell, gap = inner["cell"].to_numpy(), inner["gap"].to_numpy()
-    within = np.empty(len(centers))
-    for c in range(len(centers)):
-        # The way to a row leads through the pivot of the row's own cell.
-        path = distances(centers[c : c + 1], centers)[0][cell] + gap
-        within[c] = np.partition(path, k)[k]
-    return radius, low, high, within
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tree.points.select("row_id", *columns).schema)
+    return split.groupBy("group", "alone", "part").applyInPandas(bounded, schema + ", bound double")
 
 
 def _pieces(queries: DataFrame, candidates: DataFrame, query_rows: int, candidate_rows: int) -> DataFrame:
-    """Per cell, into how many parts its queries and its candidates are split: one row per pivot."""
+    """Per cell, into how many parts its queries and its candidates are split; written, so that its size is known."""
     asked = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("query_parts"))
     held = candidates.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).alias("candidate_parts"))
-    return asked.join(held, "cell")
+    return durable(asked.join(held, "cell"), "pieces")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logwarden import fixed_values as V
 from logwarden.operators import reports
 from logwarden.operators.isolation_forest import draw, expected_path, fit_forest, forest_anomaly
-from logwarden.operators.lof import lof_score
+from logwarden.operators.lof import exact_lof
 from logwarden.operators.quantile import contamination_flag, exact_quantile
 from logwarden.operators.sampling import hash_sample
 from logwarden.operators.scaling import zscore_baseline
@@ -69,8 +69,7 @@ def test_models_do_not_depend_on_partitioning(spark):
     for parts in (1, 17):
         frame = rows.repartition(parts)
         nodes, psi = fit_forest(frame)
-        both = frame.select(
-            "row_id", forest_anomaly(nodes, psi).alias("anomaly"), lof_score(frame).alias("lof"))
+        both = frame.select("row_id", forest_anomaly(nodes, psi).alias("anomaly")).join(exact_lof(frame), "row_id")
         results.append(both.toPandas().sort_values("row_id", ignore_index=True))
     pd.testing.assert_frame_equal(*results)
     assert results[0].anomaly.between(0, 1).all()
@@ -110,18 +109,18 @@ def brute_lof(points: np.ndarray, k: int) -> np.ndarray:
 
 
 @pytest.mark.parametrize("copies", [1, 30])
-def test_lof_with_all_rows_as_reference_is_exact(spark, copies):
+def test_lof_against_all_pairs(spark, copies):
     rng = np.random.default_rng(3)
     points = np.vstack([rng.normal(size=(120, 3)), np.zeros((copies, 3))])
     rows = pd.DataFrame(points, columns=["a", "b", "c"]).assign(row_id=range(len(points)))
     frame = spark.createDataFrame(rows)
-    got = frame.select("row_id", lof_score(frame, ["a", "b", "c"]).alias("lof")).toPandas().sort_values("row_id")
-    assert got.lof.to_numpy() == pytest.approx(brute_lof(points, 20))
+    got = exact_lof(frame, ["a", "b", "c"]).toPandas().sort_values("row_id")
+    assert got.lof_score.to_numpy() == pytest.approx(brute_lof(points, 20))
 
 
 def test_lof_of_a_single_row(spark):
     frame = spark.createDataFrame([(1, 2.0)], "row_id long, a double")
-    assert frame.select(lof_score(frame, ["a"]).alias("lof")).first().lof == -1.0
+    assert exact_lof(frame, ["a"]).first().lof_score == -1.0
 
 
 def test_zscore_of_constant_columns_is_zero(spark):

@@ -4,8 +4,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from logwarden.operators.durable import durable
 from logwarden.operators.lof import exact_lof
-from logwarden.operators.neighbors import _located, cell_visits, first_copies, nearest_neighbors, pivot_count
+from logwarden.operators.neighbors import first_bounds, first_copies, nearest_neighbors, own_bounds
+from logwarden.operators.range_tree import build_tree, visited_cells
 from logwarden.plans.catalog import _ready
 from logwarden.plans.pipeline import model_inputs
 from tests.test_detectors import brute_lof
@@ -19,7 +21,9 @@ def clustered(seed: int, copies: int) -> pd.DataFrame:
     return pd.DataFrame(points, columns=["a", "b", "c"]).assign(row_id=rng.permutation(len(points)))
 
 
-@pytest.mark.parametrize("options", [{}, {"pivots": 1}, {"pivots": 40, "query_rows": 5, "candidate_rows": 9}])
+@pytest.mark.parametrize("options", [
+    {}, {"leaf_rows": 33, "fan": 8}, {"leaf_rows": 8, "fan": 2, "top_cells": 1},
+    {"leaf_rows": 5, "fan": 4, "top_cells": 6, "query_rows": 5, "candidate_rows": 9}])
 def test_neighbors_are_exact(spark, options):
     rows, k = clustered(1, 10), 7
     frame = spark.createDataFrame(rows)
@@ -49,9 +53,49 @@ def test_exact_factor_with_many_copies(spark):
     assert got == pytest.approx(brute_lof(rows.sort_values("row_id")[["a", "b", "c"]].to_numpy(), 20))
 
 
-def test_rows_visit_few_cells_on_the_ten_features(spark):
-    scaled, names = model_inputs(_ready(spark, "/root/testdata/sf0.01"))
-    total = scaled.count()
-    located, centers = _located(scaled, names, pivot_count(total), total)
-    visits = cell_visits(located, centers, names, 20).count()
-    assert total < visits < 0.4 * total * len(centers)
+def visits_per_row(spark, sf):
+    scaled, names = model_inputs(_ready(spark, f"/root/testdata/{sf}"))
+    points = durable(first_copies(scaled, names, 21), "points")
+    tree = build_tree(points, names)
+    return visited_cells(tree, own_bounds(tree, 20)).count() / points.count(), sum(l.where("leaf").count() for l in tree.levels)
+
+
+def test_visits_stay_the_same_as_rows_grow(spark):
+    (few, cells), (many, more_cells) = (visits_per_row(spark, sf) for sf in ("sf0.01", "sf0.1"))
+    assert more_cells > 4 * cells  # cells keep their size and grow in number
+    assert 1 <= few and many < 1.35 * few and many < 0.1 * more_cells
+
+
+def test_cells_cover_their_points(spark):
+    rows = clustered(3, 60)
+    tree = build_tree(spark.createDataFrame(rows), ["a", "b", "c"], leaf_rows=10, fan=4)
+    cells = pd.concat([l.toPandas() for l in tree.levels]).set_index("cell")
+    points = tree.points.toPandas()
+    assert sorted(points.row_id) == sorted(rows.row_id) and len(tree.levels) >= 2
+    for cell, own in points.groupby("cell"):
+        values, leaf = own[["a", "b", "c"]].to_numpy(), cells.loc[cell]
+        assert leaf.leaf and len(own) == leaf["rows"]
+        assert len(own) <= 30 or (leaf.alone and (values == values[0]).all())
+        while cell:  # every cell above holds the points too
+            assert (values >= cells.loc[cell].low).all() and (values <= cells.loc[cell].high).all()
+            cell = cells.loc[cell].parent
+
+
+def test_one_point_apart_from_many_copies(spark):
+    rows = pd.DataFrame({"row_id": range(3000), "a": 1.0, "b": 2.0})
+    rows.loc[1234, "a"] = 5.0
+    found = nearest_neighbors(spark.createDataFrame(rows), ["a", "b"], 3, leaf_rows=16, candidate_rows=500).toPandas()
+    far = found[found.row_id == 1234].sort_values("rank")
+    assert far.neighbor_id.tolist() == [0, 1, 2] and (far.distance == 4.0).all()
+    assert len(found) == 9000 and (found[found.row_id != 1234].distance == 0).all()
+
+
+def test_first_bounds_hold_k_points():
+    rng = np.random.default_rng(4)
+    points, cell = rng.normal(size=(300, 4)).round(1), rng.integers(0, 12, 300)
+    cell[:3] = 50  # a cell with fewer than k points
+    bound = first_bounds(points, cell, 7)
+    distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(distance, np.inf)
+    assert (bound >= np.sort(distance, axis=1)[:, 6] - 1e-8).all() and np.isfinite(bound).all()
+    assert np.isinf(first_bounds(points[:5], cell[:5], 7)).all()
