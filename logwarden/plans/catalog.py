@@ -29,6 +29,7 @@ from logwarden.sources import access_log as files
 from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
 from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
+from logwarden.streaming.baseline_join import score_by_event_time
 from logwarden.streaming.feature_stream import STREAM_FEATURES, start_features
 from logwarden.streaming.triage import alert_files, start_triage
 
@@ -418,6 +419,17 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.select("row_id", "ip_address", *STREAM_FEATURES), *STREAM_FEATURES)
 
 
+def stream_event_time_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events joined on the stream with the five-minute window that closed last before them."""
+    root = durable_path(spark, "event-time-scores")
+    scored = score_by_event_time(clean_logs(_fed_log(spark, sf_dir)).drop("is_bot", "has_suspicious_params"), "45 minutes")
+    (scored.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+     .option("path", f"{root}/rows").trigger(availableNow=True).start().awaitTermination())
+    found = spark.read.parquet(f"{root}/rows").select(
+        "row_id", "baseline_rows", "resp_zscore", "zscore_flag", "threat_score", "severity")
+    return rounded(found, "resp_zscore")
+
+
 def _stream_alerts_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.with_event_time(streams.stream_alerts(_batch_scored(spark, sf_dir)))
 
@@ -436,7 +448,7 @@ def triage_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts_path, root = AlertStream(_last_run(spark, sf_dir)).alerts_path, durable_path(spark, "triage")
     start_triage(alert_files(spark, alerts_path), root, f"{root}/checkpoint").awaitTermination()
     batch = F.regexp_extract("file", r"/batch_id=(\d+)/", 1).cast("int")
-    return spark.read.parquet(f"{root}/files").withColumn("batch_id", batch).drop("file")
+    return spark.read.parquet(f"{root}/files").withColumn("batch_id", batch).drop("file", "run")
 
 
 def triage_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -515,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "stream_live_alerts": stream_live_alerts,
     "event_time_baseline": event_time_baseline,
     "stream_features": stream_features,
+    "stream_event_time_scores": stream_event_time_scores,
     "stream_kpis": stream_kpis,
     "last20_stream_alerts": last20_stream_alerts,
     "triage_per_file": triage_per_file,

@@ -464,6 +464,26 @@ ORACLE: dict[str, str] = {
         FROM stream_scored GROUP BY batch_id""",
     "stream_replay_alerts": f"{_STREAM} SELECT batch_id, {_STREAM_COLUMNS} FROM stream_alerts",
     "stream_live_alerts": f"{_STREAM} SELECT {_STREAM_COLUMNS} FROM stream_alerts",
+    "stream_event_time_scores": f"""WITH{_log('burst')}{_STREAM_EVENTS}, timed AS (
+          SELECT *, TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
+            CAST(response_bytes AS DOUBLE) AS b FROM enriched),
+        slots AS (
+          SELECT time_bucket(INTERVAL 30 SECONDS, t) - to_seconds(30 * i) + INTERVAL 5 MINUTES AS closes, b
+          FROM timed, range(10) AS r(i) WHERE t IS NOT NULL),
+        base AS (
+          SELECT closes, count(b) AS n, sum(b) AS s, sum(b * b) AS sq FROM slots GROUP BY closes
+          HAVING closes <= (SELECT date_trunc('millisecond', max(t)) - INTERVAL 45 MINUTES FROM timed)),
+        deviations AS (
+          SELECT e.*, n AS baseline_rows,
+            CASE WHEN n >= 2 AND sqrt(greatest(sq / n - (s / n) * (s / n), 0.0)) > 0
+                 THEN coalesce((b - s / n) / sqrt(greatest(sq / n - (s / n) * (s / n), 0.0)), 0.0) ELSE 0.0 END AS resp_zscore
+          FROM timed e JOIN base ON time_bucket(INTERVAL 30 SECONDS, t) = closes),
+        points AS (
+          SELECT *, abs(resp_zscore) > 3.0 AS zscore_flag, CAST(25 * is_bot::INT + 25 * has_suspicious_params
+            + 30 * (abs(resp_zscore) > 3.0)::INT AS INTEGER) AS threat_score FROM deviations)
+        SELECT row_id, baseline_rows, round(resp_zscore, 6) AS resp_zscore, zscore_flag, threat_score,
+          CASE WHEN threat_score >= 75 THEN 'CRITICAL' WHEN threat_score >= 50 THEN 'HIGH'
+            WHEN threat_score >= 25 THEN 'MEDIUM' ELSE 'NORMAL' END AS severity FROM points""",
     "stream_features": f"""{_BURST_FEATURES}
         SELECT row_id, ip_address, {_six(*_STREAMED)} FROM features
         WHERE (epoch_us(event_time) // 60000000 + 1) * 60000

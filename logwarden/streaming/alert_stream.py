@@ -35,8 +35,8 @@ class AlertStream:
     def __init__(self, root: str, run: str | None = None) -> None:
         """``run`` is only for batches passed in by hand; a query's run is its own id."""
         self.root, self._run = root, run
-        # The window the last batch left, to spare a read; after a restart it is read back.
-        self._left: tuple[int, list[tuple]] = (-1, [])
+        # The window the last batch of each run left, to spare a read; after a restart it is read back.
+        self._left: dict[str, tuple[int, list[tuple]]] = {}
 
     @property
     def alerts_path(self) -> str:
@@ -73,7 +73,7 @@ class AlertStream:
         row.append(F.array(*entries).cast(STATE_SCHEMA["window"].dataType).alias("window"))
         (spark.range(1, numPartitions=1).select(*row)
          .write.mode("overwrite").parquet(f"{self.state_path}/{place}/batch_id={batch_id}"))
-        self._left = (batch_id, window)
+        self._left[place] = (batch_id, window)
 
     def _window_before(self, spark: SparkSession, place: str, batch_id: int) -> list[tuple]:
         """Moments of up to ten earlier batches, from the row the previous batch left.
@@ -82,8 +82,9 @@ class AlertStream:
         """
         if batch_id == 0:
             return []
-        if self._left[0] == batch_id - 1:
-            return self._left[1]
+        left = self._left.get(place)
+        if left and left[0] == batch_id - 1:
+            return left[1]
         path = f"{self.state_path}/{place}/batch_id={batch_id - 1}"
         try:
             row = spark.read.schema(STATE_SCHEMA).parquet(path).select("window").first()

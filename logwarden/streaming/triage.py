@@ -26,17 +26,20 @@ def alert_files(spark: SparkSession, path: str) -> DataFrame:
 def start_triage(
     alert_rows: DataFrame, root: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Writes a row per file and a total per micro-batch below ``root``.
+    """Writes a row per file and a total per micro-batch below ``root``, under the run they belong to.
 
-    With an ``interval`` it keeps running and looks for new files that often; without, it stops
+    A run is what one checkpoint belongs to: a query with a new checkpoint writes beside earlier
+    ones, a batch that is run again replaces its own output. With an ``interval`` it keeps running and looks for new files that often; without, it stops
     at the end of the files present.
     """
 
     def triage(batch: DataFrame, batch_id: int) -> None:
-        files_path = f"{root}/files/batch_id={batch_id}"
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"run={run}/batch_id={batch_id}"
+        files_path = f"{root}/files/{place}"
         triage_per_file(batch).write.mode("overwrite").parquet(files_path)
         triage_total(batch.sparkSession.read.parquet(files_path)).write.mode("overwrite").parquet(
-            f"{root}/totals/batch_id={batch_id}")
+            f"{root}/totals/{place}")
 
     return (alert_rows.writeStream.foreachBatch(triage)
             .option("checkpointLocation", checkpoint)

@@ -139,3 +139,23 @@ def test_triage_of_new_files(spark, tmp_path):
     spark.createDataFrame([("e", 30, "MEDIUM")], schema).coalesce(1).write.parquet(f"{tmp_path}/alerts/batch_id=1")
     assert total()[1].message == "Nothing critical, high: 0, medium: 1"
     assert spark.read.parquet(f"{root}/files").count() == 2
+
+
+def test_triage_with_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    schema, root = "ip_address string, threat_score int, severity string", str(tmp_path / "triage")
+    spark.createDataFrame([("a", 60, "HIGH")], schema).coalesce(1).write.parquet(f"{tmp_path}/alerts/batch_id=0")
+    for checkpoint in ("one", "two"):
+        start_triage(alert_files(spark, f"{tmp_path}/alerts"), root, f"{tmp_path}/{checkpoint}").awaitTermination()
+    assert spark.read.parquet(f"{root}/files").select("run").distinct().count() == 2
+    assert spark.read.parquet(f"{root}/totals").count() == 2
+
+
+def test_runs_of_one_stream_object_keep_their_own_baseline(spark, tmp_path):
+    stream, sizes = AlertStream(str(tmp_path)), {"one": [10, 12], "two": [1000, 1200]}
+    for run, values in sizes.items():
+        stream._run = run
+        stream.process_batch(spark.createDataFrame([event(v) for v in values], V.LOG_SCHEMA), 0)
+    for run, size in (("one", 1100), ("two", 1100)):
+        stream._run = run
+        stream.process_batch(spark.createDataFrame([event(size)], V.LOG_SCHEMA), 1)
+    assert {(r.run, r.threat_score) for r in stream.alerts(spark).collect()} == {("one", 30)}
