@@ -1,7 +1,13 @@
-"""Main text of web pages, with wrappers inferred per host as union-free regular expressions."""
+"""Main text of web pages, with wrappers inferred per host as union-free regular expressions.
+
+The wrapper of a host tells whether a page fits it (``fits``). The text itself is chosen by marks
+(article, main), by names that set parts apart, and, on pages without a mark, by which texts are
+constant on the host's different pages and in which region the others lie; see the README.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -18,9 +24,15 @@ from logwarden.operators.durable import durable
 #: Wrappers of one host that one task aligns with each other in a round.
 ALIGNED = 64
 
-#: A text is part of a host's template if at least so many pages and so large a share of them hold it.
+#: A text is part of a host's template if at least so many different pages and so large a share of them hold it.
 LEAST_PAGES, TEMPLATE_SHARE = 3, 0.5
 
+#: The host's region of content is left for a part of it only if the rest holds less than this share of its texts.
+STRAY_SHARE = 0.05
+
+#: Articles beside the longest one, of the same kind, are part of the text if they hold this share of its length.
+SIBLING_SHARE = 0.25
+
 #: Wrappers are broadcast only up to this many characters; beyond it pages and wrappers are joined by host.
 BROADCAST_CHARS = 48_000_000
 
@@ -59,12 +71,11 @@ FOREIGN = frozenset("""ad ads adv advert adverts advertisement advertising comme
 #: Elements that may be all of a page, so that they are read if nothing else is left.
 MAY_HOLD_ALL = frozenset("form fieldset aside header dialog label".split())
 APART_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-MAIN_NAMES = frozenset("content article post entry main story text body".split())
 
-#: Possessive, so that a tag that never ends costs no more than its length.
+#: Possessive, so that a tag that never ends costs no more than its length. A quote counts only after =.
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
                  r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)"
-                 r"|<([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+                 r"|<([a-zA-Z][^\s/<>]*+)((?:=\s*+\"[^\"]*\"|=\s*+'[^']*'|[^<>])*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 NAME = re.compile(r"[a-z]+")
 WHITE = re.compile(r"[\s​﻿]+")
@@ -360,12 +371,14 @@ def learn_templates(pages: DataFrame) -> DataFrame:
                     blocks, tokens = parse(page)
                     counts[host, "page", "", 0] += 1
                     counts[host, "shape", json.dumps(fold(tokens)), 0] += 1
-                    if _marked(blocks) is None:
-                        for key in {_text_key(b.text) for b in blocks if not _apart(b)}:
-                            counts[host, "text", "", key] += 1
-                        for b in blocks:
-                            if not _apart(b):
-                                counts[host, "path", _container(b), 0] += len(b.text)
+                    if not _marked(blocks):
+                        plain = [b for b in blocks if not _apart(b)]
+                        digest = hashlib.sha256("\n".join(b.text for b in plain).encode("utf-8", "surrogatepass")).hexdigest()
+                        counts[host, "different", digest, 0] = 1  # copies of a page are one page
+                        for key in {_text_key(b.text) for b in plain}:
+                            counts[host, "text", digest, key] = 1
+                        for b in plain:
+                            counts[host, "path", _container(b), _text_key(b.text)] = 1
                 keys = list(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))]
@@ -375,10 +388,16 @@ def learn_templates(pages: DataFrame) -> DataFrame:
         seen, "host string, kind string, value string, key long, n long").groupBy("host", "kind", "value", "key").agg(
         F.sum("n").alias("n")), "html-facts")
     hosts = facts.where("kind = 'page'").select("host", F.col("n").alias("pages"))
-    template = facts.where("kind = 'text'").join(hosts, "host").where(
-        (F.col("n") >= LEAST_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages"))).groupBy("host").agg(
-        F.sort_array(F.collect_list("key")).alias("template"))
-    place = facts.where("kind = 'path'").groupBy("host").agg(F.max_by("value", F.struct("n", "value")).alias("main_path"))
+    different = facts.where("kind = 'different'").groupBy("host").agg(F.count(F.lit(1)).alias("different"))
+    held = facts.where("kind = 'text'").groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
+    common = held.join(different, "host").where(
+        (F.col("n") >= LEAST_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("different"))).select("host", "key")
+    template = common.groupBy("host").agg(F.sort_array(F.collect_list("key")).alias("template"))
+    # each different text of a place counts once, texts of the template not at all; a host has few places
+    places = facts.where("kind = 'path'").join(common, ["host", "key"], "left_anti").groupBy("host", "value").agg(
+        F.count(F.lit(1)).alias("size"))
+    place = places.groupBy("host").agg(F.collect_list(F.struct("value", "size")).alias("places")).select(
+        "host", F.udf(region, "string", useArrow=False)("places").alias("main_path"))
 
     def aligned(group: pa.Table) -> pa.Table:
         return pa.table({"host": group.column("host").slice(0, 1),
@@ -398,6 +417,23 @@ def learn_templates(pages: DataFrame) -> DataFrame:
         F.coalesce("main_path", F.lit("")).alias("main_path"))
 
 
+def region(places: list[tuple[str, int]]) -> str:
+    """Path of the smallest part that holds a host's content: from the top down, a part is entered only
+    if hardly any text (STRAY_SHARE) lies beside it."""
+    total, path = sum(size for _, size in places), ""
+    while True:
+        inside: Counter = Counter()
+        for value, size in places:
+            if not path or value == path or value.startswith(path + "/"):
+                rest = value[len(path) + 1:] if path else value
+                if rest:
+                    inside[rest.split("/")[0]] += size
+        best = max(inside, key=lambda k: (inside[k], k), default=None)
+        if best is None or inside[best] < (1 - STRAY_SHARE) * total:
+            return path
+        path = f"{path}/{best}" if path else best
+
+
 def _apart(block: Block) -> bool:
     return block.apart
 
@@ -409,31 +445,39 @@ def _container(block: Block) -> str:
     return "/".join(".".join([tag, *sorted(names)]) for _, tag, names, *_ in inner)
 
 
-def _marked(blocks: list[Block]) -> int | None:
-    """Number of the article (or else main) element with the most text that is not apart; None without one."""
+def _marked(blocks: list[Block]) -> frozenset[int]:
+    """Numbers of the article (or else main) elements that are the text; none without a mark.
+
+    That is the one with the most text that is not apart, and those beside it in the same element
+    with the same names that hold at least SIBLING_SHARE of its length.
+    """
     for wanted in (lambda e: e[1] == "article", lambda e: e[1] == "main" or "main" in e[2] and e[1] not in ("html", "body")):
         sizes: Counter = Counter()
+        kinds: dict[int, tuple] = {}
         for b in blocks:
             if not _apart(b):
-                root = next((e for e in b.around if wanted(e)), None)
-                if root:
+                k = next((k for k, e in enumerate(b.around) if wanted(e)), None)
+                if k is not None:
+                    root = b.around[k]
                     sizes[root[0]] += len(b.text)
+                    kinds[root[0]] = (b.around[k - 1][0] if k else 0, root[1], root[2])
         if sizes:
-            return max(sizes, key=lambda k: (sizes[k], -k))
-    return None
+            best = max(sizes, key=lambda k: (sizes[k], -k))
+            return frozenset(k for k in sizes if kinds[k] == kinds[best] and sizes[k] >= SIBLING_SHARE * sizes[best])
+    return frozenset()
 
 
 def main_text(blocks: list[Block], template: frozenset = frozenset(), main_path: str = "") -> str:
     """Blocks of the page's main text, joined by an empty line.
 
-    A marked article is taken whole but for the parts set apart. Elsewhere the wrapper tells:
-    texts that are the same on most pages of the host are template, the text slots are content,
-    those in the host's main container if the page has it.
+    Marked articles are taken whole but for the parts set apart. Elsewhere texts that are the same
+    on most different pages of the host are template, and all others that lie in the host's region
+    of content are the text.
     """
-    root = _marked(blocks)
+    roots = _marked(blocks)
     plain = [b for b in blocks if not _apart(b)]
-    if root is not None:
-        return "\n\n".join(b.text for b in plain if any(e[0] == root for e in b.around))
+    if roots:
+        return "\n\n".join(b.text for b in plain if any(e[0] in roots for e in b.around))
     slots = [b for b in plain if _text_key(b.text) not in template] or plain
     inside = [b for b in slots if main_path and (_container(b) + "/").startswith(main_path + "/")]
     return "\n\n".join(b.text for b in (inside or slots))
