@@ -27,6 +27,7 @@ from logwarden.operators.scaling import sanitize_features, standard_scale, zscor
 from logwarden.plans import pipeline
 from logwarden.sources import access_log as files
 from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
+from logwarden.streaming import alert_log as live
 from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
 from logwarden.streaming.baseline_join import score_by_event_time
@@ -430,6 +431,26 @@ def stream_event_time_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "resp_zscore")
 
 
+def _alert_log(spark: SparkSession, sf_dir: str) -> live.AlertLog:
+    """The stream's alerts in ten batches of three days, compacted on the way."""
+    log = live.AlertLog(spark, durable_path(spark, "alert-log"), every=4)
+    found = durable(streams.stream_alerts(_batch_scored(spark, sf_dir)).select("batch_id", *V.STREAM_ALERT_COLUMNS), "alerts")
+    for batch in range(10):
+        log.append(found.where(F.floor(F.col("batch_id") / 3) == batch), "feed", batch)
+        log.compact()
+    return log
+
+
+def alert_log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts read by the manifest, after appending and compacting."""
+    return _alert_log(spark, sf_dir).alerts()
+
+
+def live_dangerous_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The worst addresses from folded counts alone."""
+    return live.top_dangerous_ips(_alert_log(spark, sf_dir).counts())
+
+
 def _stream_alerts_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.with_event_time(streams.stream_alerts(_batch_scored(spark, sf_dir)))
 
@@ -528,6 +549,8 @@ QUERIES: dict[str, Query] = {
     "event_time_baseline": event_time_baseline,
     "stream_features": stream_features,
     "stream_event_time_scores": stream_event_time_scores,
+    "alert_log_read": alert_log_read,
+    "live_dangerous_ips": live_dangerous_ips,
     "stream_kpis": stream_kpis,
     "last20_stream_alerts": last20_stream_alerts,
     "triage_per_file": triage_per_file,

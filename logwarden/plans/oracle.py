@@ -464,6 +464,10 @@ ORACLE: dict[str, str] = {
         FROM stream_scored GROUP BY batch_id""",
     "stream_replay_alerts": f"{_STREAM} SELECT batch_id, {_STREAM_COLUMNS} FROM stream_alerts",
     "stream_live_alerts": f"{_STREAM} SELECT {_STREAM_COLUMNS} FROM stream_alerts",
+    "alert_log_read": f"{_STREAM} SELECT {_STREAM_COLUMNS} FROM stream_alerts",
+    "live_dangerous_ips": f"""{_STREAM} SELECT ip_address, max(threat_score) AS max_threat_score,
+        count(*) AS alert_count, arg_max(severity, threat_score) AS top_severity FROM stream_alerts
+        GROUP BY ip_address ORDER BY max_threat_score DESC, alert_count DESC, ip_address LIMIT 10""",
     "stream_event_time_scores": f"""WITH{_log('burst')}{_STREAM_EVENTS}, timed AS (
           SELECT *, TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
             CAST(response_bytes AS DOUBLE) AS b FROM enriched),

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logwarden import fixed_values as V
+from logwarden.streaming.alert_log import AlertLog
 from logwarden.streaming.scoring import (
     batch_metrics, enrich_events, moments, rejected_events, score_events, stream_alerts,
     watch_rejects)
@@ -32,9 +33,12 @@ STATE_SCHEMA = T.StructType(
 class AlertStream:
     """Where the stream keeps its alerts and its per-batch state (metrics and baseline)."""
 
-    def __init__(self, root: str, run: str | None = None) -> None:
-        """``run`` is only for batches passed in by hand; a query's run is its own id."""
-        self.root, self._run = root, run
+    def __init__(self, root: str, run: str | None = None, log: AlertLog | None = None) -> None:
+        """``run`` is only for batches passed in by hand; a query's run is its own id.
+
+        With a ``log`` alerts go there, and are compacted, instead of to a folder for each batch.
+        """
+        self.root, self._run, self.log = root, run, log
         # The window the last batch of each run left, to spare a read; after a restart it is read back.
         self._left: dict[str, tuple[int, list[tuple]]] = {}
 
@@ -58,13 +62,17 @@ class AlertStream:
         """Score one micro-batch in a single pass: metrics are observed while alerts are written."""
         spark = batch.sparkSession
         place = f"run={self.run_of(spark)}"
+        if self.log and self.log.holds_compacted(self.run_of(spark), batch_id):
+            return  # it was finished before it was compacted
         window = self._window_before(spark, place, batch_id)
         mean, std = _baseline(window)
         scored = score_events(enrich_events(batch), F.lit(mean), F.lit(std))
         seen = Observation()
-        (stream_alerts(scored.observe(seen, *batch_metrics(), *moments()))
-         .select(*V.STREAM_ALERT_COLUMNS)
-         .write.mode("overwrite").parquet(f"{self.alerts_path}/{place}/batch_id={batch_id}"))
+        found_alerts = stream_alerts(scored.observe(seen, *batch_metrics(), *moments())).select(*V.STREAM_ALERT_COLUMNS)
+        if self.log:
+            self.log.append(found_alerts, self.run_of(spark), batch_id)
+        else:
+            found_alerts.write.mode("overwrite").parquet(f"{self.alerts_path}/{place}/batch_id={batch_id}")
         found = seen.get
         if found["n"]:
             window = [*window, (found["n"], found["s"], found["sq"])][-V.BASELINE_BATCHES:]
@@ -74,6 +82,8 @@ class AlertStream:
         (spark.range(1, numPartitions=1).select(*row)
          .write.mode("overwrite").parquet(f"{self.state_path}/{place}/batch_id={batch_id}"))
         self._left[place] = (batch_id, window)
+        if self.log:
+            self.log.compact()
 
     def _window_before(self, spark: SparkSession, place: str, batch_id: int) -> list[tuple]:
         """Moments of up to ten earlier batches, from the row the previous batch left.
@@ -128,7 +138,7 @@ class AlertStream:
         return writer.trigger(**trigger).start()
 
     def alerts(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.alerts_path)
+        return self.log.alerts() if self.log else spark.read.parquet(self.alerts_path)
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         """Raw text of unreadable events; raises if no batch had any, as nothing was written."""
