@@ -24,7 +24,7 @@ from logwarden.operators.lof import exact_lof
 from logwarden.operators.neighbors import nearest_neighbors
 from logwarden.operators.quantile import contamination_flag
 from logwarden.operators.scaling import sanitize_features, standard_scale, zscore_baseline
-from logwarden.plans import pipeline
+from logwarden.plans import model_store, pipeline
 from logwarden.sources import access_log as files
 from logwarden.sources.driver_tables import access_log, as_access_log, event_stream, read_table
 from logwarden.streaming import alert_log as live
@@ -431,6 +431,20 @@ def stream_event_time_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "resp_zscore")
 
 
+def stored_model_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest fitted, saved, loaded and applied to the features on a stream."""
+    root = durable_path(spark, "stored-model")
+    files.write_parquet(sanitize_features(_features(spark, sf_dir)), f"{root}/features")
+    features = spark.read.parquet(f"{root}/features")
+    model_store.save_model(model_store.fit_model(features), f"{root}/model")
+    stream = spark.readStream.schema(features.schema).parquet(f"{root}/features")
+    scored = model_store.load_model(spark, f"{root}/model").score(stream).select(
+        "row_id", "isolation_forest_score", "isolation_forest_flag")
+    (scored.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{root}/rows")
+
+
 def _alert_log(spark: SparkSession, sf_dir: str) -> live.AlertLog:
     """The stream's alerts in ten batches of three days, compacted on the way."""
     log = live.AlertLog(spark, durable_path(spark, "alert-log"), every=4)
@@ -443,7 +457,7 @@ def _alert_log(spark: SparkSession, sf_dir: str) -> live.AlertLog:
 
 def alert_log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts read by the manifest, after appending and compacting."""
-    return _alert_log(spark, sf_dir).alerts()
+    return _alert_log(spark, sf_dir).alerts().select(*V.STREAM_ALERT_COLUMNS)
 
 
 def live_dangerous_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -549,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "event_time_baseline": event_time_baseline,
     "stream_features": stream_features,
     "stream_event_time_scores": stream_event_time_scores,
+    "stored_model_flags": stored_model_flags,
     "alert_log_read": alert_log_read,
     "live_dangerous_ips": live_dangerous_ips,
     "stream_kpis": stream_kpis,

@@ -408,6 +408,8 @@ ORACLE: dict[str, str] = {
     "lof_reference": f"{_BURST_FEATURES}{_INPUTS},{_factor()} SELECT row_id, lof_score FROM lof",
     "isolation_forest": f"""{_BURST_FEATURES}{_INPUTS},{_forest()} SELECT row_id, raw_score AS isolation_forest_score,
         raw_score < (SELECT quantile_cont(raw_score, 0.1) FROM forest) AS isolation_forest_flag FROM forest""",
+    "stored_model_flags": f"""{_BURST_FEATURES}{_INPUTS},{_forest()} SELECT row_id, raw_score AS isolation_forest_score,
+        raw_score < (SELECT quantile_cont(raw_score, 0.1) FROM forest) AS isolation_forest_flag FROM forest""",
     "lof_features": f"""{_BURST_FEATURES}{_INPUTS},{_factor()} SELECT row_id, lof_score,
         lof_score < (SELECT quantile_cont(lof_score, 0.1) FROM lof) AS lof_flag FROM lof""",
     "scored_logs": f"""{_BURST_SCORED} SELECT row_id, ip_address, attack_type, isolation_forest_score, lof_score,
