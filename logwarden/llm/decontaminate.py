@@ -24,8 +24,8 @@ SEGMENT, STRIDE = 40, 10
 #: An item shorter than this many normalised characters must lie in the text as it is, between word edges.
 SHORTEST = 24
 
-#: Pairs of equal q-grams, and windows of a text, that are looked at at once.
-PAIRS, WINDOWS = 1_000_000, 200_000
+#: Pairs of equal q-grams, windows of a text, and segments to align that are looked at at once.
+PAIRS, WINDOWS, ALIGNED = 250_000, 200_000, 10_000
 
 #: Benchmark characters that one pass over the documents holds; a larger benchmark takes several passes.
 BLOCK_CHARS = 2_000_000
@@ -78,6 +78,7 @@ class Index:
 
     items: np.ndarray      # item of each segment
     codes: list[np.ndarray]
+    length: np.ndarray
     budget: np.ndarray     # edits allowed
     needed: np.ndarray     # q-grams that a region within the budget shares at least
     hashes: np.ndarray
@@ -120,7 +121,7 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     unique, first, count = np.unique(hashes[order], return_index=True, return_counts=True)
     present = np.zeros(1 << 22, bool)
     present[unique >> np.uint64(42)] = True
-    return Index(np.array(owner), codes, budget, needed, unique, first, first + count,
+    return Index(np.array(owner), codes, lengths, budget, needed, unique, first, first + count,
                  segment[order], place[order], present, {n: dict(found) for n, found in brief.items()})
 
 
@@ -164,41 +165,42 @@ def candidates(index: Index, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return segment, band * (index.budget[segment] + 1)
 
 
-def aligned(segment: np.ndarray, codes: np.ndarray, diagonal: int, budget: int) -> tuple[int, int, int] | None:
-    """Least edits between the segment and any stretch of the text within a band, with the stretch.
+def aligned_together(segments: np.ndarray, codes: np.ndarray, diagonals: np.ndarray, budget: int) -> tuple[np.ndarray, ...]:
+    """Least edits between segments (rows of one length) and any stretch of the text within their bands.
 
-    Columns are the 2(k + 1) diagonals of the band and k more on either side, so that a path whose
-    edits leave the counted diagonals stays inside. None beyond the budget.
+    Columns are the 2(k + 1) diagonals of a band and k more on either side, so that a path whose
+    edits leave the counted diagonals stays inside. All segments are aligned together, a character
+    at a time. Returns edits, begin and end of the stretch; edits beyond the budget mean nothing.
     """
-    low = diagonal - budget
-    width = 2 * (budget + 1) + 2 * budget
-    at = max(low, 0)
-    same = codes[at:max(at, low + width - 1 + len(segment))].tobytes().find(segment.tobytes())
-    if same >= 0 and same % codes.itemsize == 0:
-        begin = at + same // codes.itemsize
-        return 0, begin, begin + len(segment)
-    columns = np.arange(width)
-    cost, origin = np.zeros(width, np.int64), columns + low
-    outside = 1 << 20
-    padded = np.full(len(codes) + 2 * (width + len(segment)) + 2 * SEGMENT, 1 << 21, np.int64)
-    shift = width + len(segment) + SEGMENT
-    padded[shift:shift + len(codes)] = codes
-    for i, c in enumerate(segment):
-        window = padded[shift + i + low:shift + i + low + width]
-        new = cost + np.where(window == c, 0, 1)
-        come = origin
-        dropped = np.append(cost[1:] + 1, outside)  # a character of the segment is missing in the text
+    length, width = segments.shape[1], 2 * (budget + 1) + 2 * budget
+    columns, outside = np.arange(width, dtype=np.int32), np.int32(1 << 20)
+    low = (diagonals - budget).astype(np.int32)[:, None]
+    front = max(0, -int(low.min()))
+    padded = np.full(front + max(len(codes), int(low.max()) + length + width) + 1, 1 << 21, np.int32)
+    padded[front:front + len(codes)] = codes
+    segments, base = segments.astype(np.int32), front + low + columns
+    cost, origin = np.zeros(base.shape, np.int32), low + columns
+    missing = np.full((len(segments), 1), outside, np.int32)
+    for i in range(length):
+        new = cost + (padded[base + i] != segments[:, i:i + 1])
+        dropped = np.concatenate((cost[:, 1:] + 1, missing), axis=1)  # a character of the segment is missing in the text
         better = dropped < new
-        new, come = np.where(better, dropped, new), np.where(better, np.append(origin[1:], 0), come)
+        new = np.where(better, dropped, new)
+        come = np.where(better, np.concatenate((origin[:, 1:], missing), axis=1), origin)
         lead = new - columns  # an extra character in the text: each column from the best one to its left
-        best = np.minimum.accumulate(lead)
-        source = np.maximum.accumulate(np.where(lead == best, columns, 0))
-        cost, origin = best + columns, come[source]
-    j = int(cost.argmin())
-    if cost[j] > budget:
-        return None
-    begin, end = max(0, int(origin[j])), min(len(codes), len(segment) + low + j)
-    return int(cost[j]), begin, end
+        best = np.minimum.accumulate(lead, axis=1)
+        source = np.maximum.accumulate(np.where(lead == best, columns, 0), axis=1)
+        cost, origin = best + columns, np.take_along_axis(come, source, axis=1)
+    rows = np.arange(len(segments))
+    j = cost.argmin(axis=1)
+    begin = np.maximum(origin[rows, j], 0)
+    return cost[rows, j], begin, np.minimum(length + low[:, 0] + j, len(codes))
+
+
+def aligned(segment: np.ndarray, codes: np.ndarray, diagonal: int, budget: int) -> tuple[int, int, int] | None:
+    """One segment and band; None beyond the budget."""
+    edits, begin, end = (int(x[0]) for x in aligned_together(segment[None, :], codes, np.array([diagonal]), budget))
+    return (edits, begin, end) if edits <= budget else None
 
 
 def short_matches(index: Index, codes: np.ndarray) -> list[tuple[int, int, int]]:
@@ -231,10 +233,15 @@ def matches(index: Index, text: str) -> list[tuple[int, int, int, int, int]]:
         old = found.get(item, (start, stop, set(), distance))
         found[item] = (min(old[0], start), max(old[1], stop), old[2] | {segment}, min(old[3], distance))
 
-    for s, d in zip(*candidates(index, codes)):
-        got = aligned(index.codes[s], codes, int(d), int(index.budget[s]))
-        if got is not None and got[2] > got[1]:
-            add(int(index.items[s]), int(s), *got)
+    segments, diagonals = candidates(index, codes)
+    for length in np.unique(index.length[segments]):
+        alike = np.flatnonzero(index.length[segments] == length)
+        for k in range(0, len(alike), ALIGNED):
+            some = alike[k:k + ALIGNED]
+            s, budget = segments[some], int(index.budget[segments[some[0]]])
+            edits, begin, end = aligned_together(np.array([index.codes[i] for i in s]), codes, diagonals[some], budget)
+            for i in np.flatnonzero((edits <= budget) & (end > begin)):
+                add(int(index.items[s[i]]), int(s[i]), int(edits[i]), int(begin[i]), int(end[i]))
     for item, begin, end in short_matches(index, codes):
         add(item, -1, 0, begin, end)
     return sorted((i, b, e, len(n), d) for i, (b, e, n, d) in found.items())
