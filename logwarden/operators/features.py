@@ -32,11 +32,15 @@ POST, ERR, SUSP, SIZE, SIZED = "_post", "_err", "_susp", "_size", "_sized"
 OPENS, CLOSES, GAP = "_opens", "_closes", "_gap"
 
 
-def log_features(clean: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def log_features(clean: DataFrame, hot_rows: int | None = HOT_ROWS, placed_by: str | None = None) -> DataFrame:
     """Cleaned log plus the ten features; rows without an event time are left out.
 
-    ``hot_rows=None`` skips the look for hot addresses (one narrow pre-aggregated pass).
+    ``hot_rows=None`` skips the look for hot addresses (one narrow pre-aggregated pass). A log that
+    lies in buckets of the address key in column ``placed_by`` (see ``write_laid_out``) is not
+    exchanged; with it there is no look for hot addresses.
     """
+    if placed_by is not None:
+        return _finished(_windowed(_prepared(clean).withColumn(KEY, F.col(placed_by)), placed=True), clean)
     rows = _prepared(clean)
     names = find_hot_addresses(clean, hot_rows) if hot_rows is not None else None
     if names is None:
@@ -94,11 +98,11 @@ def run_flags(rows: DataFrame, *part: str, only_url: tuple[Column, ...] = (),
     }).drop("_previous")
 
 
-def _windowed(rows: DataFrame) -> DataFrame:
+def _windowed(rows: DataFrame, placed: bool = False) -> DataFrame:
     ordered = W.partitionBy(KEY).orderBy(AT)
     # Grouped by address once; the finer groups of the flags lie within it. Left to itself
     # the planner would shuffle anew for each of them.
-    rows = run_flags(rows.repartition(KEY), KEY).withColumn("_one", F.lit(1))
+    rows = run_flags(rows if placed else rows.repartition(KEY), KEY).withColumn("_one", F.lit(1))
     return rows.withColumns({
         name: trailing_total(ordered, seconds, entering, leaving)
         for name, (seconds, entering, leaving) in TOTALS.items()

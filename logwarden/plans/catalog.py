@@ -1,14 +1,15 @@
 """The registered queries: every operator applied to the given tables.
 
-Reports read the scored log that the detectors wrote, as they would in use: the first report
-of a session scores the log, the others read that table (``scored_table``). ``scored_logs`` and
-``detector_comparison_full`` always score anew.
+Reports read the scored log that the detectors wrote, as they would in use: the first report over
+some input files scores the log, the others read that table (``scored_table``) as long as it is
+there and the files are the same. ``scored_logs`` and ``detector_comparison_full`` always score anew.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,17 +59,37 @@ def _ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return durable(sanitize_features(_features(spark, sf_dir)), "features")
 
 
-_SCORED_TABLES: dict[tuple[str, str], str] = {}
+_SCORED_TABLES: dict[tuple, str] = {}
+
+
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session and the very files of the events: a table made of other files is not used again."""
+    file = F.xxhash64("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size")
+    state = read_table(spark, sf_dir, "events").select(file.cast("decimal(38,0)").alias("h")).agg(F.sum("h"), F.count("h")).first()
+    return (spark.sparkContext.applicationId, sf_dir, *state)
+
+
+def _made_once(held: dict[tuple, str], spark: SparkSession, sf_dir: str, make: Callable[[], str], part: str = "") -> str:
+    """The folder that ``make`` wrote for these input files, made anew if it has gone."""
+    key = _input_key(spark, sf_dir)
+    if key in held:
+        try:
+            spark.read.parquet(f"{held[key]}{part}")
+            return held[key]
+        except AnalysisException:
+            pass
+    held[key] = make()
+    return held[key]
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log scored by the real detectors, written once a session to the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SCORED_TABLES:
+    """The log scored by the real detectors, written once for the same input files."""
+    def make() -> str:
         path = durable_path(spark, "scored")
         files.write_parquet(pipeline.score_logs(access_log(spark, sf_dir, "burst")), path)
-        _SCORED_TABLES[key] = path
-    return spark.read.parquet(_SCORED_TABLES[key])
+        return path
+
+    return spark.read.parquet(_made_once(_SCORED_TABLES, spark, sf_dir, make))
 
 
 def _report_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +143,26 @@ def external_alert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def daily_alert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL on an external table of alerts by day, for one day."""
+    path = durable_path(spark, "daily-alerts")
+    table = "daily_alerts_" + path.rsplit("-", 1)[-1]
+    found = streams.stream_alerts(_batch_scored(spark, sf_dir)).select(*V.STREAM_ALERT_COLUMNS)
+    files.create_daily_alert_table(spark, table, path, found)
+    return spark.sql(f"""
+        SELECT ip_address, count(*) AS alert_count, max(threat_score) AS max_threat_score
+        FROM {table} WHERE event_date = DATE '2024-01-05' GROUP BY ip_address
+    """)
+
+
+def laid_out_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten features from a log that lies by day and in buckets of addresses, without an exchange."""
+    path = durable_path(spark, "laid-out")
+    table = files.write_laid_out(_clean(spark, sf_dir, "burst"), "laid_out_" + path.rsplit("-", 1)[-1], path, 8)
+    features = log_features(table, hot_rows=None, placed_by=files.ADDRESS_KEY)
+    return rounded(features.select("row_id", "ip_address", *V.FEATURE_COLUMNS), *V.FEATURE_COLUMNS)
+
+
 # --- Scalars -----------------------------------------------------------------
 
 def parse_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,7 +392,20 @@ def stream_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_scored(spark, sf_dir).groupBy("batch_id").agg(*streams.batch_metrics())
 
 
-_LIVE_RUNS: dict[tuple[str, str], str] = {}
+def _order_files(spark: SparkSession, path: str, partition: str) -> None:
+    """Dates the files of a partitioned table by their partition value, the order a file stream takes them in.
+
+    One listing and one small call a file; no data moves.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}=*/part-*")):
+        value = int(status.getPath().getParent().getName().split("=")[1])
+        fs.setTimes(status.getPath(), status.getModificationTime() // 10_000_000 * 10_000_000 - 10_000_000 + value * 1000, -1)
+
+
+_LIVE_RUNS: dict[tuple, str] = {}
 
 
 def _live_run(spark: SparkSession, sf_dir: str) -> str:
@@ -362,17 +416,16 @@ def _live_run(spark: SparkSession, sf_dir: str) -> str:
     # A task writes whole days, row by row, so each day is one file in the order of its events.
     (events.repartition("batch_id").sortWithinPartitions("batch_id", "row_id").select("batch_id", "value")
      .write.partitionBy("batch_id").text(source))
-    files.order_files(spark, source, "batch_id")
+    _order_files(spark, source, "batch_id")
     raw = files.read_event_stream(spark, "text", {
         "path": source, "maxFilesPerTrigger": "1", "recursiveFileLookup": "true", "pathGlobFilter": "part-*"})
     AlertStream(root).start_raw(raw, f"{root}/checkpoint", available_now=True).awaitTermination()
-    _LIVE_RUNS[(spark.sparkContext.applicationId, sf_dir)] = root
     return root
 
 
 def _last_run(spark: SparkSession, sf_dir: str) -> str:
-    """The run of this session, the first one if there is none yet."""
-    return _LIVE_RUNS.get((spark.sparkContext.applicationId, sf_dir)) or _live_run(spark, sf_dir)
+    """The run over these input files, the first one if there is none yet."""
+    return _made_once(_LIVE_RUNS, spark, sf_dir, lambda: _live_run(spark, sf_dir), "/alerts")
 
 
 def stream_live_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -498,6 +551,8 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "json_roundtrip": json_roundtrip,
     "external_alert_table": external_alert_table,
+    "daily_alert_table": daily_alert_table,
+    "laid_out_features": laid_out_features,
     "parse_event_time": parse_event_time,
     "enrich": enrich,
     "browser_mix": _on_log(reports.browser_mix),

@@ -470,6 +470,9 @@ ORACLE: dict[str, str] = {
     "live_dangerous_ips": f"""{_STREAM} SELECT ip_address, max(threat_score) AS max_threat_score,
         count(*) AS alert_count, arg_max(severity, threat_score) AS top_severity FROM stream_alerts
         GROUP BY ip_address ORDER BY max_threat_score DESC, alert_count DESC, ip_address LIMIT 10""",
+    "laid_out_features": f"{_BURST_FEATURES} SELECT row_id, ip_address, {_six(*_TEN)} FROM features",
+    "daily_alert_table": f"""{_STREAM} SELECT ip_address, count(*) AS alert_count, max(threat_score) AS max_threat_score
+        FROM stream_alerts WHERE timestamp LIKE '2024-01-05 %' GROUP BY ip_address""",
     "stream_event_time_scores": f"""WITH{_log('burst')}{_STREAM_EVENTS}, timed AS (
           SELECT *, TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
             CAST(response_bytes AS DOUBLE) AS b FROM enriched),
