@@ -33,6 +33,7 @@ from logwarden.streaming import scoring as streams
 from logwarden.streaming.alert_stream import AlertStream
 from logwarden.streaming.baseline_join import score_by_event_time
 from logwarden.streaming.feature_stream import STREAM_FEATURES, start_features
+from logwarden.streaming.replay_guard import ReplayGuard
 from logwarden.streaming.triage import alert_files, start_triage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -484,6 +485,19 @@ def stream_event_time_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, "resp_zscore")
 
 
+def replayed_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten batches of three days in which some rows come again in the next batch, and some of them once
+    more three batches later, when their time is closed."""
+    log = _clean(spark, sf_dir).withColumn("batch", F.floor(F.col("batch_id") / 3).cast("int"))
+    again = log.where("row_id % 13 = 0").withColumn("batch", F.col("batch") + 1)
+    late = log.where("row_id % 17 = 0").withColumn("batch", F.col("batch") + 3)
+    sent = durable(log.unionByName(again).unionByName(late).where("batch < 10"), "sent")
+    guard = ReplayGuard(durable_path(spark, "guard"), ["row_id"], 5 * V.DAY_SECONDS)
+    for batch in range(10):
+        guard.admit(sent.where(F.col("batch") == batch), batch)
+    return guard.counts(spark).drop("run")
+
+
 def stored_model_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forest fitted, saved, loaded and applied to the features on a stream."""
     root = durable_path(spark, "stored-model")
@@ -618,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "event_time_baseline": event_time_baseline,
     "stream_features": stream_features,
     "stream_event_time_scores": stream_event_time_scores,
+    "replayed_input": replayed_input,
     "stored_model_flags": stored_model_flags,
     "alert_log_read": alert_log_read,
     "live_dangerous_ips": live_dangerous_ips,

@@ -473,6 +473,18 @@ ORACLE: dict[str, str] = {
     "laid_out_features": f"{_BURST_FEATURES} SELECT row_id, ip_address, {_six(*_TEN)} FROM features",
     "daily_alert_table": f"""{_STREAM} SELECT ip_address, count(*) AS alert_count, max(threat_score) AS max_threat_score
         FROM stream_alerts WHERE timestamp LIKE '2024-01-05 %' GROUP BY ip_address""",
+    "replayed_input": f"""WITH{_log()}, timed AS (
+          SELECT row_id, batch_id // 3 AS batch, TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t FROM log),
+        sent AS (
+          SELECT * FROM (
+            SELECT * FROM timed UNION ALL SELECT row_id, batch + 1, t FROM timed WHERE row_id % 13 = 0
+            UNION ALL SELECT row_id, batch + 3, t FROM timed WHERE row_id % 17 = 0) WHERE batch < 10),
+        per_batch AS (SELECT batch, max(t) AS top FROM sent GROUP BY batch),
+        tops AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM per_batch),
+        marked AS (SELECT sent.*, coalesce(t < newest - INTERVAL 5 DAYS, false) AS late FROM sent JOIN tops USING (batch)),
+        turned AS (SELECT *, row_number() OVER (PARTITION BY row_id, late ORDER BY batch) AS turn FROM marked)
+        SELECT batch AS batch_id, count(*) AS received, count(*) FILTER (NOT late AND turn = 1) AS admitted,
+          count(*) FILTER (NOT late AND turn > 1) AS repeats, count(*) FILTER (late) AS late FROM turned GROUP BY batch""",
     "stream_event_time_scores": f"""WITH{_log('burst')}{_STREAM_EVENTS}, timed AS (
           SELECT *, TRY_CAST(CASE WHEN timestamp <> 'n/a' THEN timestamp END AS TIMESTAMP) AS t,
             CAST(response_bytes AS DOUBLE) AS b FROM enriched),
