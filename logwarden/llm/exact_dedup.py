@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logwarden.llm.common import unused
 from logwarden.operators.durable import durable
 
 #: Copies of a hot text are spread over this many merge groups before the last merge.
@@ -60,10 +61,14 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS, digest=sha256) -> DataFrame
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns; repeated rows (same id, same text) once."""
+    """The documents that stay, with their own columns; repeated rows (same id, same text) once.
+
+    Null, empty and blank texts are copies of each other; columns of any name are kept.
+    """
+    digest, keep_id, keep_digest = (unused(docs, name) for name in ("_digest", "_keep_id", "_keep_digest"))
     kept = exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_digest")).distinct()
-    marked = docs.withColumn("_digest", sha256(normalized(F.col("text"))))
-    joined = marked.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_keep_id"))
-                         & (F.col("_digest") == F.col("_keep_digest")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_digest"]).select(*docs.columns)
+        F.col("doc_id").alias(keep_id), F.col("text_sha256").alias(keep_digest)).distinct()
+    marked = docs.withColumn(digest, sha256(normalized(F.col("text"))))
+    joined = marked.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(keep_id))
+                         & (F.col(digest) == F.col(keep_digest)), "left_semi")
+    return joined.dropDuplicates(["doc_id", digest]).select(*docs.columns)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import mix, pieces, utf8
+from logwarden.llm.common import mix, pieces, unused, utf8
 from logwarden.llm.components import components
 from logwarden.llm.quality import _SPACE, word_keys
 from logwarden.operators.durable import durable
@@ -270,7 +270,10 @@ def _across_chunks(chunks: DataFrame, sets: DataFrame, found: DataFrame, percent
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, the one with the least doc_id, with its own columns."""
-    gone = near_duplicates(docs, words, percent).where("not kept").select(
-        F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone_id"), "left_anti")
+    """One document of each group, the one with the least doc_id, with its own columns of any name.
+
+    Rows with one doc_id are one document: all of them go if it does.
+    """
+    gone_id = unused(docs, "_gone_id")
+    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")

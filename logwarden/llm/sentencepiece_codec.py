@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass
 from itertools import chain
@@ -15,8 +16,8 @@ from logwarden.llm.common import pieces, strings
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
-#: Words longer than this are advanced one by one.
-LONG_WORD = 64
+#: Words longer than this are advanced one by one, in windows of so many characters.
+LONG_WORD, WINDOW = 64, 4096
 
 #: Words whose pieces a worker remembers, and words of one length that advance together.
 CACHE_WORDS, TOGETHER = 400_000, 4096
@@ -186,25 +187,27 @@ def table_length(table: Pieces, i: int) -> int:
 
 
 def _encode_long(table: Pieces, word: str) -> list[int]:
-    size = len(word)
-    lengths, all_ids, all_scores = _probe(table, _codes([word], size))
-    found = {n: (all_ids[k, 0].tolist(), all_scores[k, 0].tolist()) for k, n in enumerate(lengths)}
-    best, back = [0.0] + [-np.inf] * size, [1] * (size + 1)
-    for end in range(1, size + 1):
-        for length in lengths:
-            if length <= end:
-                score = best[end - length] + found[length][1][end - length]
-                if score > best[end]:
-                    best[end], back[end] = score, length
-    cuts = [size]
-    while cuts[-1] > 0:
-        cuts.append(cuts[-1] - back[cuts[-1]])
-    cuts.reverse()
-    ids = []
-    for begin, end in zip(cuts[:-1], cuts[1:]):
-        i = found[end - begin][0][begin]
-        ids += [i] if i >= 0 else _unknown(table, word[begin])
-    return ids
+    """One long word, looked at in windows, so that memory beyond a few bytes a character is bounded."""
+    size, longest = len(word), max(table.keys)
+    best, back, chosen = array("d", [-np.inf]) * (size + 1), array("i", [0]) * (size + 1), array("i", [0]) * (size + 1)
+    best[0] = 0.0
+    for start in range(0, size, WINDOW):
+        first, stop = max(0, start - longest + 1), min(size, start + WINDOW)
+        lengths, all_ids, all_scores = _probe(table, _codes([word[first:stop]], stop - first))
+        found = [(n, all_ids[k, 0].tolist(), all_scores[k, 0].tolist()) for k, n in enumerate(lengths)]
+        for end in range(start + 1, stop + 1):
+            for length, ids, scores in found:
+                begin = end - length
+                if begin >= first:
+                    score = best[begin] + scores[begin - first]
+                    if score > best[end]:
+                        best[end], back[end], chosen[end] = score, length, ids[begin - first]
+    out, end = [], size
+    while end > 0:
+        i = chosen[end]
+        out.append([i] if i >= 0 else _unknown(table, word[end - back[end]]))
+        end -= back[end]
+    return [i for part in reversed(out) for i in part]
 
 
 def words_of(text: str) -> list[str]:

@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logwarden.llm.common import unused
 from logwarden.operators.durable import durable
 
 SHARDS = 16
@@ -148,9 +149,14 @@ def _placed(rows: DataFrame, starts: list[str], law: Column) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the documents as one folder per shard, with their own columns and the shard as ``shard``."""
+    """Write the documents as one folder per shard, with their own columns and the shard as ``shard``.
+
+    Where the documents have a column ``shard`` of their own, the number gets underscores before its
+    name. Null texts count as empty; rows of equal texts lie in one shard; no rows write nothing.
+    """
+    name = unused(docs, "shard")
     text = F.coalesce(F.col("text"), F.lit(""))
     groups = durable(sized(docs).groupBy("group_key").agg(F.sum("size").alias("size")), "sharding-groups")
     starts = shard_starts(groups, shards)
     shard = sum((F.when(F.sha2(text, 256) >= s, 1).otherwise(0) for s in starts), F.lit(0)).cast("int")
-    docs.drop("shard").withColumn("shard", shard).write.partitionBy("shard").parquet(path)
+    docs.withColumn(name, shard).write.partitionBy(name).parquet(path)

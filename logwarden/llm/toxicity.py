@@ -404,7 +404,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bound: int = LABEL_BOUND)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, bound: int = LABEL_BOUND) -> DataFrame:
-    """The documents with a score below the threshold, with their own columns; no shuffle of texts."""
+    """The documents with a score below the threshold, with their own columns; no shuffle of texts.
+
+    Null and empty texts stay, as do all documents where there are no labels; repeated rows fare alike.
+    """
     model = fit_toxicity(docs, labels, bound)
 
     def clean(batches):
