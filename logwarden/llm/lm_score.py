@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ BROADCAST_WORDS = 2_000_000
 HELD_WORDS = 500_000
 CACHE_WORDS = 400_000
 
+#: A token's code holds its symbol in the lower bits.
+PLACE_BITS = 20
+
 #: Weight of a symbol's every follower, and count added to every symbol and word.
 FOLLOWER_WEIGHT, ADDED = 1.0, 0.5
 
@@ -60,8 +64,8 @@ def shape(word: str) -> int:
 
 
 def word_key(word: str, kind: int) -> int:
-    """A word of a class, as a signed 64-bit hash."""
-    value = xxhash.xxh64_intdigest(f"{kind} {word}".encode("utf-8", "surrogatepass"))
+    """A word of a class, as a signed 64-bit hash: the one that Spark's xxhash64 has of the same text."""
+    value = xxhash.xxh64_intdigest(f"{kind} {word}".encode("utf-8", "surrogatepass"), 42)
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -76,29 +80,33 @@ class Symbols:
     def __init__(self, vocabulary: dict[str, int], keys: np.ndarray | None = None):
         self.vocabulary, self.keys, self.seen = vocabulary, keys, {}
 
-    def _code(self, word: str) -> int:
-        low = word.lower()
-        known = self.vocabulary.get(low)
-        if known is not None:
-            return known
-        kind = shape(word)
-        if self.keys is None:
-            return WORDS + kind
-        key = word_key(low, kind)
-        at = int(np.searchsorted(self.keys, key))
-        place = at if at < len(self.keys) and self.keys[at] == key else len(self.keys) + kind
-        return (place + 1) * SYMBOLS + WORDS + kind
-
-    def codes(self, text: str) -> np.ndarray:
-        """Codes of the text's tokens between two edges."""
-        words = TOKEN.findall(text)
+    def _learn(self, words: list[str]) -> None:
+        """Codes of words not seen so far."""
+        codes, kinds = [], []
+        for w in words:
+            known = self.vocabulary.get(w.lower())
+            kinds.append(-1 if known is not None else shape(w))
+            codes.append(known if known is not None else WORDS + kinds[-1])
+        if self.keys is not None:
+            other = [i for i, kind in enumerate(kinds) if kind >= 0]
+            keys = np.array([word_key(words[i].lower(), kinds[i]) for i in other], np.int64)
+            at = np.searchsorted(self.keys, keys)
+            there = np.zeros(len(at), bool)
+            there[at < len(self.keys)] = self.keys[at[at < len(self.keys)]] == keys[at < len(self.keys)]
+            for i, place, found in zip(other, at.tolist(), there.tolist()):
+                codes[i] |= (place + 1 if found else len(self.keys) + 1 + kinds[i]) << PLACE_BITS
+        self.seen.update(zip(words, codes))
+
+    def codes(self, texts: list[str]) -> list[np.ndarray]:
+        """Codes of each text's tokens between two edges."""
+        tokens = [TOKEN.findall(t) for t in texts]
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
-        seen = self.seen
-        for w in set(words):
-            if w not in seen:
-                seen[w] = self._code(w)
-        return np.fromiter((EDGE, *map(seen.__getitem__, words), EDGE), np.int64, len(words) + 2)
+        new = set(chain.from_iterable(tokens)).difference(self.seen)
+        if new:
+            self._learn(list(new))
+        look = self.seen.__getitem__
+        return [np.fromiter((EDGE, *map(look, words), EDGE), np.int64, len(words) + 2) for words in tokens]
 
     def rare(self, text: str) -> Counter:
         """Words of the text that are no symbols, with their class: (word, class) to count."""
@@ -111,22 +119,17 @@ class Symbols:
 
 
 def count_words(marked: DataFrame) -> DataFrame:
-    """(word, kind, key, background, target): every word of all documents and of the target's."""
+    """(word, kind, background, target, key): every word of all documents and of the target's."""
     def counted(batches):
         counts = {True: Counter(), False: Counter()}
 
         def passed_on():
-            both = Counter(counts[False])
-            both.update(counts[True])
-            words, kinds = [], []
-            for w in both:
-                words.append(w.lower())
-                kinds.append(shape(w))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.string()), pa.array(kinds, pa.int32()),
-                 pa.array([word_key(w, k) for w, k in zip(words, kinds)], pa.int64()), pa.array(both.values(), pa.int64()),
-                 pa.array([counts[True][w] for w in both], pa.int64())],
-                ["word", "kind", "key", "background", "target"])
+            for wanted, held in counts.items():
+                n = pa.array(held.values(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w.lower() for w in held], pa.string()), pa.array(list(map(shape, held)), pa.int32()),
+                     n, n if wanted else pa.array(np.zeros(len(held), np.int64))],
+                    ["word", "kind", "background", "target"])
             counts[True].clear()
             counts[False].clear()
 
@@ -138,9 +141,10 @@ def count_words(marked: DataFrame) -> DataFrame:
                     yield from passed_on()
         yield from passed_on()
 
-    found = marked.mapInArrow(counted, "word string, kind int, key long, background long, target long")
-    return found.groupBy("word", "kind", "key").agg(
-        F.sum("background").alias("background"), F.sum("target").alias("target"))
+    found = marked.mapInArrow(counted, "word string, kind int, background long, target long")
+    return found.groupBy("word", "kind").agg(
+        F.sum("background").alias("background"), F.sum("target").alias("target")).withColumn(
+        "key", F.xxhash64(F.concat(F.col("kind").cast("string"), F.lit(" "), F.col("word"))))
 
 
 def learn_vocabulary(words: DataFrame) -> dict[str, int]:
@@ -167,8 +171,7 @@ def bigram_counts(marked: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
         for batch in batches:
             for part in pieces(batch):
                 codes = {True: [], False: []}
-                for text, wanted in zip(strings(part.column("text")), part.column("wanted").to_pylist()):
-                    ids = symbols.codes(text)
+                for ids, wanted in zip(symbols.codes(strings(part.column("text"))), part.column("wanted").to_pylist()):
                     codes[bool(wanted)].append(ids[:-1] * SYMBOLS + ids[1:])
                 for wanted, held in codes.items():
                     if held:
@@ -281,13 +284,12 @@ def _scored_with_table(docs: DataFrame, vocabulary: dict, tables: list, listed:
 
     def scored(batches):
         words, target, background, keys, own_target, own_background = shared.value
-        symbols = Symbols(words, keys)
+        symbols, mask = Symbols(words, keys), (1 << PLACE_BITS) - 1
         for batch in batches:
             for part in pieces(batch):
                 rows = []
-                for text in strings(part.column("text")):
-                    codes = symbols.codes(text)
-                    ids, place = codes % SYMBOLS, codes[1:] // SYMBOLS
+                for codes in symbols.codes(strings(part.column("text"))):
+                    ids, place = codes & mask, codes[1:] >> PLACE_BITS
                     code = ids[:-1] * SYMBOLS + ids[1:]
                     rows.append((len(code), own_target[place].sum(dtype=float) - target[code].sum(dtype=float),
                                  own_background[place].sum(dtype=float) - background[code].sum(dtype=float)))
@@ -312,8 +314,8 @@ def _scored_by_join(docs: DataFrame, vocabulary: dict, tables: list, listed: Dat
         for batch in batches:
             for part in pieces(batch):
                 sums, rare = [], []
-                for text in strings(part.column("text")):
-                    ids = symbols.codes(text)
+                texts = strings(part.column("text"))
+                for ids, text in zip(symbols.codes(texts), texts):
                     code = ids[:-1] * SYMBOLS + ids[1:]
                     sums.append((len(code), -target[code].sum(dtype=float), -background[code].sum(dtype=float)))
                     rare.append([{"key": word_key(w, k), "kind": k, "n": n} for (w, k), n in symbols.rare(text).items()])
