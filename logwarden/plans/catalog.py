@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from logwarden import fixed_values as V
 from logwarden.functions import text
 from logwarden.functions.scoring import severity
+from logwarden.functions.timekeys import epoch_micros, wall_clock
 from logwarden.operators import reports
 from logwarden.operators.durable import durable, durable_path
 from logwarden.operators.features import log_features
@@ -443,13 +444,13 @@ def event_time_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A windowed aggregation on a stream; windows closed by the watermark come out."""
     log = as_access_log(event_stream(spark, sf_dir), "burst")
     timed = log.select(
-        "response_bytes", text.parse_event_time(F.col("timestamp")).cast("timestamp").alias("event_time"))
+        "response_bytes", F.timestamp_micros(epoch_micros(text.parse_event_time(F.col("timestamp")))).alias("event_time"))
     root = durable_path(spark, "windows")
     (streams.event_time_baseline(timed).writeStream.format("parquet").outputMode("append")
      .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/rows")
      .trigger(availableNow=True).start().awaitTermination())
     closed = spark.read.parquet(f"{root}/rows").withColumns({
-        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+        c: wall_clock(F.unix_micros(F.col(c))) for c in ("window_start", "window_end")})
     return rounded(closed, "mean_bytes", "std_bytes")
 
 
