@@ -24,12 +24,12 @@ def numbers(log):
 
 
 def test_many_batches_end_in_few_files(spark, tmp_path):
-    log = AlertLog(spark, str(tmp_path), every=8)
-    for number in range(40):
+    log = AlertLog(spark, str(tmp_path), every=5)
+    for number in range(24):
         log.append(batch(spark, number, 2).coalesce(1), "run", number)
         log.compact()
-    assert len(log.entries) < 2 * 8 + 2 and len(log.alerts().inputFiles()) < 8 + 8
-    assert numbers(log) == sorted(n * 100 + i for n in range(40) for i in range(2))
+    assert len(log.entries) < 2 * 5 + 2 and len(log.alerts().inputFiles()) < 5 + 6
+    assert numbers(log) == sorted(n * 100 + i for n in range(24) for i in range(2))
     again = AlertLog(spark, str(tmp_path))
     assert again.version == log.version and numbers(again) == numbers(log)
 
@@ -57,7 +57,7 @@ def test_a_crash_between_steps_loses_and_doubles_nothing(spark, tmp_path, monkey
 
 def test_reports_after_every_batch_equal_those_over_the_alerts(spark, tmp_path):
     log, seen = AlertLog(spark, str(tmp_path), every=3), None
-    for number in range(7):
+    for number in range(5):
         new = batch(spark, number, 9)
         seen = new if seen is None else seen.unionByName(new)
         log.append(new, "run", number)
@@ -69,7 +69,7 @@ def test_reports_after_every_batch_equal_those_over_the_alerts(spark, tmp_path):
         assert rows(alert_log.alerts_by(counts, "attack_type")) == rows(reports.alerts_by_attack_type(seen))
         critical = alert_log.critical_share(counts).first()
         assert (critical.alerts, critical.critical) == (seen.count(), seen.where("severity = 'CRITICAL'").count())
-    assert counts.agg(F.sum("alerts")).first()[0] == 63
+    assert counts.agg(F.sum("alerts")).first()[0] == 45
 
 
 def test_empty_log_and_empty_batches(spark, tmp_path):

@@ -139,13 +139,13 @@ def test_exact_quantile_by_narrowing(spark, share, shape):
     assert exact_quantile(frame, "v", share, small_rows=50) == pytest.approx(expected, abs=1e-9)
 
 
-@pytest.mark.parametrize("rows", [1, 2, 3, 40, 9_999, 10_001, 60_000])
+@pytest.mark.parametrize("rows", [1, 2, 40, 10_001, 60_000])
 def test_exact_quantile_at_every_size(spark, rows):
     """Small and large inputs, with ties, nulls and infinities, through the same two reads."""
     value = F.when(F.col("id") % 11 == 10, F.lit(None)).when(F.col("id") == 7, F.lit(float("-inf"))).otherwise(
         F.round(F.pmod(F.xxhash64("id"), F.lit(50_000)) / 3, 1))
     frame = durable(spark.range(rows).select(value.alias("v")), "quantile-test")
-    for share in (0.0, 0.1, 0.5, 0.99, 1.0):
+    for share in (0.0, 0.1, 0.99):
         expected = frame.agg(F.percentile("v", share)).first()[0]
         assert exact_quantile(frame, "v", share, small_rows=20) == pytest.approx(expected, rel=1e-12, nan_ok=True)
 
