@@ -6,7 +6,7 @@ import pytest
 
 from logwarden.operators.durable import durable
 from logwarden.operators.lof import exact_lof
-from logwarden.operators.neighbors import first_bounds, first_copies, nearest_neighbors, own_bounds
+from logwarden.operators.neighbors import _with_reach, first_bounds, first_copies, nearest_neighbors, neighbor_lists, own_bounds
 from logwarden.operators.range_tree import build_tree, visited_cells
 from logwarden.plans.catalog import _ready
 from logwarden.plans.pipeline import model_inputs
@@ -99,3 +99,31 @@ def test_first_bounds_hold_k_points():
     np.fill_diagonal(distance, np.inf)
     assert (bound >= np.sort(distance, axis=1)[:, 6] - 1e-8).all() and np.isfinite(bound).all()
     assert np.isinf(first_bounds(points[:5], cell[:5], 7)).all()
+
+
+def test_rows_are_sent_to_groups_not_to_cells(spark):
+    rng = np.random.default_rng(5)
+    names = [f"x{i}" for i in range(12)]
+    frame = spark.createDataFrame(pd.DataFrame(rng.normal(size=(3000, 12)), columns=names).assign(row_id=range(3000)))
+    tree = build_tree(frame, names, leaf_rows=16, fan=16)
+    bounded = _with_reach(tree, 5, 4096, 1000).toPandas()
+    sent, groups = bounded.reach.map(len).sum(), bounded.group.nunique()
+    assert groups > 4 and 0 < sent <= 3000 * (groups - 1)
+    assert 4 * sent < visited_cells(tree, own_bounds(tree, 5)).count()
+    assert all(own not in reach and len(set(reach)) == len(reach) for own, reach in zip(bounded.group, bounded.reach))
+
+
+def test_lists_name_the_neighbours_of_other_groups(spark):
+    rows = clustered(6, 5)
+    lists = neighbor_lists(spark.createDataFrame(rows), ["a", "b", "c"], 7, leaf_rows=8, fan=4).toPandas()
+    group = lists.set_index("row_id").group
+    assert lists.outer.map(len).sum() > 0
+    for row in lists.itertuples():
+        assert [i for i in row.ids if group[i] != row.group] == list(row.outer) and len(row.ids) == 7
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+def test_missing_coordinates_are_named(spark, bad):
+    rows = spark.createDataFrame([(i, float(i)) for i in range(9)] + [(9, bad)], "row_id long, a double")
+    with pytest.raises(Exception, match="present and finite"):
+        nearest_neighbors(rows, ["a"], 2).collect()
