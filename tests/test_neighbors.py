@@ -6,8 +6,9 @@ import pytest
 
 from logwarden.operators.durable import durable
 from logwarden.operators.lof import exact_lof
-from logwarden.operators.neighbors import _with_reach, first_bounds, first_copies, nearest_neighbors, neighbor_lists, own_bounds
-from logwarden.operators.range_tree import build_tree, visited_cells
+from logwarden.operators.neighbors import (
+    _with_reach, first_bounds, first_copies, grouped, nearest_neighbors, neighbor_lists, own_bounds)
+from logwarden.operators.range_tree import UNEVEN, build_tree, visited_cells
 from logwarden.plans.catalog import _ready
 from logwarden.plans.pipeline import model_inputs
 from tests.test_detectors import brute_lof
@@ -127,3 +128,13 @@ def test_missing_coordinates_are_named(spark, bad):
     rows = spark.createDataFrame([(i, float(i)) for i in range(9)] + [(9, bad)], "row_id long, a double")
     with pytest.raises(Exception, match="present and finite"):
         nearest_neighbors(rows, ["a"], 2).collect()
+
+
+def test_leaves_cut_again_stay_in_the_group_of_the_cell_above(spark):
+    rng = np.random.default_rng(8)
+    rows = pd.DataFrame(rng.normal(size=(1500, 2)), columns=["a", "b"]).assign(row_id=range(1500))
+    leaf_rows, fan = 64, 8  # eight cells of 188 rows, of which those over 192 are cut again
+    tree = build_tree(spark.createDataFrame(rows), ["a", "b"], leaf_rows, fan)
+    points = grouped(tree).toPandas()
+    assert 1500 <= UNEVEN * leaf_rows * fan and points.parent.nunique() > 1
+    assert points["group"].nunique() == 1
