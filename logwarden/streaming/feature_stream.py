@@ -1,11 +1,12 @@
-"""Behavioural features of each address on a stream, equal to the batch features on closed time.
-
-Requests wait in keyed state, by address and minute. Once the watermark has passed the end of a
-minute no request of it can come any more; a timer then emits its requests with their trailing
-totals. A frame of whole minutes reaches back to one partly covered minute and whole minutes
-after it, so each closed minute leaves its totals and its different paths behind, and requests
-are read one by one only at both ends of a frame. Minutes are removed an hour later, whether or
-not the address is heard of again, so state never holds more than an hour and the allowed delay.
+"""Features of each address on a stream, equal to the batch features on closed time.
+
+Requests wait in keyed state, by group of addresses and minute. Once the watermark has passed the
+end of a minute no request of it can come any more; a timer then emits its requests with their
+trailing totals. A group holds many addresses, because every call between Python and the state store
+has its price: minutes are read and written whole, and all addresses of a group are summed at once.
+At most an hour of minutes is closed in one step, so a step reads two hours of a group. Minutes are
+removed an hour later, whether or not their addresses are heard of again, so state never holds more
+than an hour and the allowed delay.
 """
 
 from __future__ import annotations
@@ -28,14 +29,15 @@ from logwarden.operators.hot_features import NULL_ADDRESS
 #: Requests are kept and emitted by the minute; every frame is a whole number of minutes.
 SLOT_SECONDS = V.MINUTE_SECONDS
 SLOT_MICROS, SLOT_MILLIS = SLOT_SECONDS * MICROS, SLOT_SECONDS * 1000
-FRAMES = (V.MINUTE_SECONDS, V.FIVE_MINUTES_SECONDS, V.HALF_HOUR_SECONDS, V.HOUR_SECONDS)
 KEPT_SLOTS = V.HOUR_SECONDS // SLOT_SECONDS
+#: Groups that addresses are dealt to; a checkpoint holds for one number only.
+GROUPS = 256
 
 STREAM_FEATURES = [
     "requests_per_minute", "post_login_rate", "error_rate_5min", "unique_urls_per_hour",
     "avg_response_bytes_ratio", "suspicious_param_rate",
 ]
-MEASURES = ["n", "post", "err", "susp", "size", "sized"]
+MEASURES = ["post", "err", "susp", "size", "sized"]
 #: Trailing totals that the features need: name, measure, frame.
 TOTALS = [
     ("n60", "n", V.MINUTE_SECONDS), ("n300", "n", V.FIVE_MINUTES_SECONDS), ("n1800", "n", V.HALF_HOUR_SECONDS),
@@ -43,85 +45,82 @@ TOTALS = [
     ("susp1800", "susp", V.HALF_HOUR_SECONDS), ("size3600", "size", V.HOUR_SECONDS),
     ("sized3600", "sized", V.HOUR_SECONDS),
 ]
-COLUMNS = ["at", "row_id", "post", "err", "susp", "size", "path"]
-SUMS = ", ".join(f"{m} string" for m in MEASURES) + ", paths array<string>"  # digits: no long holds every sum
+COLUMNS = ["address", "at", "row_id", "post", "err", "susp", "size", "sized", "path"]
 
 
-class Minute:
-    """The requests of one minute in the order of time, with running totals of every measure."""
+def running(values: np.ndarray) -> np.ndarray:
+    """Totals of the first 0, 1, 2, ... values. Sums may exceed a long, Python's integers cannot."""
+    if len(values) and max(abs(int(values.max())), abs(int(values.min()))) * len(values) >= 2**63:
+        values = values.astype(object)
+    return np.concatenate(([0], np.cumsum(values)))
 
-    def __init__(self, rows: tuple | None) -> None:
-        columns = dict(zip(COLUMNS, rows or ([],) * len(COLUMNS)))
-        order = np.argsort(np.array(columns["at"], np.int64), kind="stable")
-        self.at = np.array(columns["at"], np.int64)[order]
-        self.row_id = [columns["row_id"][i] for i in order]
-        self.size = [columns["size"][i] for i in order]
-        self.path = [columns["path"][i] for i in order]
-        measured = {
-            "n": np.ones(len(order), np.int64), **{m: np.array(columns[m], np.int64)[order] for m in ("post", "err", "susp")},
-            # sizes can exceed a long in sum, Python's integers cannot
-            "size": np.array([s or 0 for s in self.size], object), "sized": np.array([s is not None for s in self.size], np.int64)}
-        self.running = {m: np.concatenate(([0], np.cumsum(v))) for m, v in measured.items()}
 
-    def total(self, measure: str):
-        return self.running[measure][-1]
+def trailing(rows: dict[str, list], now: np.ndarray) -> pd.DataFrame:
+    """The requests marked ``now`` with their trailing totals over all rows of their address.
 
-    def up_to(self, measure: str, times: np.ndarray) -> np.ndarray:
-        """Totals of the requests until each time, that instant included."""
-        return self.running[measure][np.searchsorted(self.at, times, "right")]
-
-    def since(self, measure: str, times: np.ndarray) -> np.ndarray:
-        """Totals of the requests from each time on, that instant included."""
-        return self.total(measure) - self.running[measure][np.searchsorted(self.at, times, "left")]
-
-
-def distinct_paths(now: Minute, edge: Minute, between: set[str]) -> np.ndarray:
-    """Different paths in the trailing hour of each request of ``now``.
-
-    ``between`` are those of the whole minutes inside every frame. Any other path is missing from
-    the time it has left the frame, by its last request in ``edge``, to its first one in ``now``.
+    In the order of address and time a frame is a run of rows, and its total is the difference of two
+    running totals. A path's requests form runs without a gap over an hour: those begun until a request
+    less those ended before its hour are the different paths in it.
     """
     hour = V.HOUR_SECONDS * MICROS
-    first, last = {}, {}
-    for path, at in zip(now.path, now.at.tolist()):
-        if path is not None and path not in between:
-            first.setdefault(path, at)
-    for path, at in zip(edge.path, edge.at.tolist()):
-        if path is not None and path not in between:
-            last[path] = at + hour
-    far = np.iinfo(np.int64)
-    others = first.keys() | last.keys()
-    gaps = [(last.get(p, far.min), first.get(p, far.max)) for p in others]
-    gone = np.sort(np.array([g for g, f in gaps if g < f], np.int64))
-    back = np.sort(np.array([f for g, f in gaps if g < f], np.int64))
-    missing = np.searchsorted(gone, now.at, "left") - np.searchsorted(back, now.at, "right")
-    return len(between) + len(others) - missing
+    address, path = pd.factorize(np.array(rows["address"], object))[0], pd.factorize(np.array(rows["path"], object))[0]
+    at = np.array(rows["at"], np.int64)
+    order = np.lexsort((at, address))
+    address, path, at, now = address[order], path[order], at[order], now[order]
+    measured = {m: np.array(rows[m], np.int64)[order] for m in MEASURES}
+    sums = {"n": np.arange(len(at) + 1), **{m: running(v) for m, v in measured.items()}}
+
+    passed = at - at.min()
+    width = int(passed.max()) + 1
+    place = address * width + passed
+    asked = np.flatnonzero(now)
+    last = np.searchsorted(place, place[asked], "right")
+
+    def first(micros: int) -> np.ndarray:
+        return np.searchsorted(place, address[asked] * width + np.maximum(passed[asked] - micros, 0), "left")
+
+    back = {seconds: first(seconds * MICROS) for seconds in {seconds for _, _, seconds in TOTALS}}
+    out = {
+        "row_id": [rows["row_id"][i] for i in order[asked]], "address": [rows["address"][i] for i in order[asked]],
+        "at": at[asked], "size": pd.array(np.where(measured["sized"][asked] > 0, measured["size"][asked], 0), "Int64")}
+    out["size"][measured["sized"][asked] == 0] = pd.NA
+    for name, measure, seconds in TOTALS:
+        total = sums[measure][last] - sums[measure][back[seconds]]
+        out[name] = total.astype(float) if measure == "size" else total
+
+    by_path = np.lexsort((at, path, address))
+    follows = (np.diff(address[by_path]) == 0) & (np.diff(path[by_path]) == 0) & (np.diff(at[by_path]) <= hour)
+    opens, closes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    opens[by_path], closes[by_path] = np.r_[True, ~follows], np.r_[~follows, True]
+    opens, closes = running(opens * (path >= 0)), running(closes * (path >= 0))
+    start = np.searchsorted(address, address[asked], "left")
+    out["urls3600"] = opens[last] - opens[start] - (closes[back[V.HOUR_SECONDS]] - closes[start])
+    return pd.DataFrame(out)
 
 
 class TrailingTotals(StatefulProcessor):
-    """State of one address: requests by minute, and an index of its minutes.
+    """State of a group of addresses: requests by minute, and an index of its minutes, open and closed.
 
-    The index is one value, read and written once a batch: minutes still open, and closed ones with
-    their totals and paths. One timer is set for the next minute to close, or, when none is open,
-    for the time at which the last closed one is of no more use.
+    The index is one value, read and written once a batch. One timer is set for the next minute
+    to close, or, when none is open, for the time at which the last closed one is of no more use.
     """
 
     def __init__(self, key_type: str) -> None:
-        self.row_schema = (f"at array<long>, row_id array<{key_type}>, post array<int>, err array<int>, "
-                           "susp array<int>, size array<long>, path array<string>")
+        self.row_schema = (f"address array<string>, at array<long>, row_id array<{key_type}>, post array<int>, err array<int>, "
+                           "susp array<int>, size array<long>, sized array<int>, path array<string>")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.rows = handle.getMapState("rows", "slot long", self.row_schema)
-        self.index = handle.getValueState("index", f"open array<long>, closed array<struct<slot long, {SUMS}>>")
+        self.index = handle.getValueState("index", "open array<long>, closed array<long>")
 
-    def _index(self) -> tuple[set[int], dict[int, tuple]]:
+    def _index(self) -> tuple[set[int], set[int]]:
         found = self.index.get()
-        return (set(found[0]), {entry[0]: tuple(entry) for entry in found[1]}) if found else (set(), {})
+        return (set(found[0]), set(found[1])) if found else (set(), set())
 
-    def _leave(self, open_: set[int], closed: dict[int, tuple]) -> None:
+    def _leave(self, open_: set[int], closed: set[int]) -> None:
         if open_ or closed:
-            self.index.update((sorted(open_), [closed[slot] for slot in sorted(closed)]))
+            self.index.update((sorted(open_), sorted(closed)))
             due = min(open_) + 1 if open_ else max(closed) + 1 + KEPT_SLOTS + 1
             self.handle.registerTimer(due * SLOT_MILLIS)
         else:
@@ -129,55 +128,43 @@ class TrailingTotals(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         open_, closed = self._index()
+        added: dict[int, list[list]] = {}
         for frame in rows:
-            frame = frame.astype({"size": object}).where(frame.notna(), None)
-            for slot, part in frame.groupby(frame["at"].astype("int64") // SLOT_MICROS):
-                slot, added = int(slot), [part[c].tolist() for c in COLUMNS]
-                added[5] = [None if s is None else int(s) for s in added[5]]
-                before = self.rows.getValue((slot,)) if slot in open_ else [[]] * len(COLUMNS)
-                self.rows.updateValue((slot,), tuple([*old, *new] for old, new in zip(before, added)))
-                open_.add(slot)
+            frame = frame.iloc[np.argsort(frame["at"].to_numpy(), kind="stable")]
+            slots, begins = np.unique(frame["at"].to_numpy() // SLOT_MICROS, return_index=True)
+            columns = [c.astype(object).where(c.notna(), None).tolist() if c.hasnans else c.tolist()
+                       for c in (frame[name] for name in COLUMNS)]
+            for slot, begin, end in zip(slots.tolist(), begins, [*begins[1:], len(frame)]):
+                held = added.setdefault(slot, [[] for _ in COLUMNS])
+                for values, new in zip(held, columns):
+                    values += new[begin:end]
+        for slot, new in added.items():
+            before = self.rows.getValue((slot,)) if slot in open_ else [[]] * len(COLUMNS)
+            self.rows.updateValue((slot,), tuple([*old, *values] for old, values in zip(before, new)))
+            open_.add(slot)
         self._leave(open_, closed)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() // SLOT_MILLIS  # minutes before this one are over
         open_, closed = self._index()
-        minutes: dict[int, Minute] = {}
-        for slot in sorted(s for s in open_ if s < passed):
-            now, found = self._closed(key[0], slot, closed, minutes)
-            yield found
-            paths = sorted({p for p in now.path if p is not None})
-            closed[slot] = (slot, *[str(now.total(m)) for m in MEASURES], paths)
-            open_.remove(slot)
+        due, minutes = sorted(s for s in open_ if s < passed), {}
+        while due:
+            closing = [s for s in due if s < due[0] + KEPT_SLOTS]
+            needed = [s for s in sorted(closed.union(closing)) if due[0] - KEPT_SLOTS <= s <= closing[-1]]
+            minutes = {s: minutes[s] if s in minutes else self.rows.getValue((s,)) for s in needed}
+            together = {c: [v for s in needed for v in minutes[s][i]] for i, c in enumerate(COLUMNS)}
+            now = np.repeat(np.isin(needed, closing), [len(minutes[s][0]) for s in needed])
+            yield trailing(together, now)
+            closed.update(closing)
+            open_.difference_update(closing)
+            due = due[len(closing):]
         # the next minute to close is not before ``passed`` and looks back by KEPT_SLOTS at most
         for slot in [s for s in closed if s < passed - KEPT_SLOTS]:
-            del closed[slot]
+            closed.remove(slot)
             self.rows.removeKey((slot,))
         self._leave(open_, closed)
 
-    def _minute(self, slot: int, held: bool, minutes: dict[int, Minute]) -> Minute:
-        if slot not in minutes:
-            minutes[slot] = Minute(self.rows.getValue((slot,)) if held else None)
-        return minutes[slot]
-
-    def _closed(self, address: str, slot: int, closed: dict[int, tuple], minutes: dict[int, Minute]):
-        """The requests of a minute, and as a frame with their trailing totals."""
-        now = self._minute(slot, True, minutes)
-        edges = {seconds: self._minute(back, back in closed, minutes)
-                 for seconds in FRAMES for back in [slot - seconds // SLOT_SECONDS]}
-        out = {"row_id": now.row_id, "address": address, "at": now.at, "size": pd.array(now.size, "Int64")}
-        for name, measure, seconds in TOTALS:
-            place = 1 + MEASURES.index(measure)
-            inside = sum(int(sums[place]) for s, sums in closed.items() if slot - seconds // SLOT_SECONDS < s < slot)
-            total = now.up_to(measure, now.at) + edges[seconds].since(measure, now.at - seconds * MICROS) + inside
-            out[name] = total.astype(float) if measure == "size" else total
-        between = {p for s, sums in closed.items() if slot - KEPT_SLOTS < s < slot for p in sums[-1]}
-        out["urls3600"] = distinct_paths(now, edges[V.HOUR_SECONDS], between)
-        for old in [s for s in minutes if s <= slot - KEPT_SLOTS]:
-            del minutes[old]
-        return now, pd.DataFrame(out)
-
     def close(self) -> None:
         pass
 
@@ -194,10 +181,12 @@ def stream_features(clean: DataFrame, delay: str = "10 minutes") -> DataFrame:
         F.coalesce("ip_address", F.lit(NULL_ADDRESS)).alias("address"), "row_id", "at",
         F.timestamp_micros("at").alias("happened"),  # watermarks need a TIMESTAMP; this one knows no zone
         text.is_post_login(path, F.col("method")).alias("post"), text.is_error(F.col("status_code")).alias("err"),
-        F.col("has_suspicious_params").alias("susp"), F.col("response_bytes").alias("size"), path.alias("path"))
+        F.col("has_suspicious_params").alias("susp"), F.coalesce("response_bytes", F.lit(0).cast("long")).alias("size"),
+        F.col("response_bytes").isNotNull().cast("int").alias("sized"), path.alias("path"))
+    dealt = events.withColumn("group", F.pmod(F.xxhash64("address"), F.lit(GROUPS)))
     key_type = clean.schema["row_id"].dataType.simpleString()
     totals = ", ".join(f"{name} {'double' if measure == 'size' else 'long'}" for name, measure, _ in TOTALS)
-    held = events.withWatermark("happened", delay).groupBy("address").transformWithStateInPandas(
+    held = dealt.withWatermark("happened", delay).groupBy("group").transformWithStateInPandas(
         statefulProcessor=TrailingTotals(key_type), outputMode="Append", timeMode="EventTime",
         outputStructType=f"row_id {key_type}, address string, at long, size long, {totals}, urls3600 long")
     mean_size = F.col("size3600") / F.nullif(F.col("sized3600"), F.lit(0))

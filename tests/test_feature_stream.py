@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from logwarden import fixed_values as V
 from logwarden.functions.timekeys import epoch_micros
 from logwarden.operators.features import log_features
 from logwarden.operators.ingest import clean_logs
-from logwarden.streaming.feature_stream import STREAM_FEATURES, start_features
+from logwarden.streaming.feature_stream import STREAM_FEATURES, start_features, trailing
 
 START = dt.datetime(2026, 1, 1, 10, 0, 0)
 SCHEMA = "row_id long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in V.LOG_SCHEMA)
@@ -102,3 +103,29 @@ def test_sizes_beyond_a_long_in_sum(spark, tmp_path):
     write(spark, rows, f"{tmp_path}/in", "a")
     start_features(follow(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", "1 minute").awaitTermination()
     assert {r.avg_response_bytes_ratio for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {1.0}
+
+
+def test_many_addresses_share_few_state_rows(spark, tmp_path):
+    rows = [request(i, i % 60, ip=f"10.1.{i // 250}.{i % 250}") for i in range(3000)] + [request(9999, 4000)]
+    write(spark, rows, f"{tmp_path}/in", "a")
+    query = start_features(follow(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/checkpoint", "1 minute")
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held and max(held) < 1500  # a minute, an index and a timer of each group, not of each address
+    found = spark.read.parquet(f"{tmp_path}/out")
+    assert found.count() == 3000 and found.agg(F.max("requests_per_minute")).first()[0] == 1
+
+
+def test_totals_of_requests_that_are_closed_in_steps():
+    """Two steps of an hour give what brute force gives, edges and returning paths included."""
+    rng = random.Random(11)
+    made = sorted((rng.randrange(0, 7200) * 1_000_000, rng.choice("ab"), rng.choice(["/x", "/y", "/z", None])) for _ in range(300))
+    rows = {"at": [m[0] for m in made], "address": [m[1] for m in made], "path": [m[2] for m in made],
+            "row_id": list(range(300)), **{m: [1] * 300 for m in ("post", "err", "susp", "size", "sized")}}
+    now = np.array([m[0] >= 3_600_000_000 for m in made])
+    found = trailing(rows, now).set_index("row_id")
+    assert len(found) == now.sum()
+    for i in np.flatnonzero(now):
+        frame = {w: [m for m in made if m[1] == made[i][1] and made[i][0] - w * 1_000_000 <= m[0] <= made[i][0]] for w in (60, 3600)}
+        assert found.n60[i] == len(frame[60]) and found.size3600[i] == len(frame[3600])
+        assert found.urls3600[i] == len({m[2] for m in frame[3600]} - {None})
