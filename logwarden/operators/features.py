@@ -25,6 +25,11 @@ from logwarden.operators.hot_features import (
     NULL_ADDRESS, TOTALS, find_hot_addresses, hot_features, trailing_total)
 
 HOT_ROWS = 1_000_000
+#: Columns of the cleaned log that the features are made of. Hot addresses are written and exchanged a few
+#: times with every column that is passed in, so whoever needs the features alone passes these.
+INPUT_COLUMNS = [
+    "row_id", "ip_address", "event_time", "method", "base_url", "status_code", "response_bytes",
+    "has_suspicious_params", "session_id"]
 
 # Helper columns, dropped from the result.
 KEY, AT, NUM = "_key", "_at", "_num"

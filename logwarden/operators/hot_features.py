@@ -69,7 +69,9 @@ def hot_features(
 ) -> DataFrame:
     """Rows of the hot addresses with flags, trailing totals and gap variance."""
     hot = rows.join(names, "_key")
-    cuts = durable(block_cuts(hot.select("_key", "_at"), hot_rows), "hot-cuts")
+    # The cuts read the times up to three times; the log is read and parsed for them once.
+    times = durable(hot.select("_key", "_at"), "hot-times")
+    cuts = durable(block_cuts(times, hot_rows), "hot-cuts")
     # Five narrow passes read the placed rows, so they are placed once.
     placed = durable(in_blocks(hot, cuts), "hot-rows")
     flagged = durable(_flagged(placed, run_flags), "hot")

@@ -8,8 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from logwarden.fixed_values import FEATURE_COLUMNS
+from logwarden.operators import hot_features
+from logwarden.operators.durable import durable
 from logwarden.operators.features import log_features
 from logwarden.operators.hot_features import block_cuts, in_blocks
+from logwarden.plans import catalog
 
 BASE = dt.datetime(2026, 1, 1, 10)
 SCHEMA = ("row_id long, ip_address string, event_time timestamp_ntz, base_url string, method string, "
@@ -182,3 +185,23 @@ def test_plan_has_one_exchange_and_three_sorts(spark):
     assert "SinglePartition" not in plan
     assert len(re.findall(r"\bSort \[", plan)) == 3
     assert "Python" not in plan
+
+
+def test_split_query_writes_only_what_the_features_read(spark, tmp_path, monkeypatch):
+    events = spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 4320) AS ts", "id % 4 AS user_id",
+        "element_at(array('view', 'signup', 'error'), cast(id % 3 + 1 AS int)) AS event_type", "id / 7.0D AS value",
+        "'{\"k\": 5}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    written = {}
+
+    def noted(df, label):
+        written[label] = set(df.columns)
+        return durable(df, label)
+
+    monkeypatch.setattr(hot_features, "durable", noted)
+    split = catalog.all_features_split(spark, str(tmp_path))
+    assert written["hot-times"] == {"_key", "_at"}
+    assert "base_url" in written["hot"] and not written["hot"] & {"timestamp", "url", "user_agent", "referrer", "browser_type"}
+    plain = catalog.all_features(spark, str(tmp_path))
+    assert split.columns == plain.columns and split.exceptAll(plain).isEmpty() and split.count() == plain.count() > 0
