@@ -47,6 +47,8 @@ FAR_REACHING = 4
 CLUSTER_ROWS = 128
 #: Rows of a cell that look together for the groups they reach.
 REACH_ROWS = 64
+#: Answers of other groups to the rows of one group that one task merges at a time.
+ANSWER_ROWS = 65536
 # Covers the rounding of distances.
 _SLACK = 1e-6
 
@@ -374,6 +376,34 @@ def _from_outside(bounded: DataFrame, columns: list[str], k: int, query_rows: in
         match, f"home long, row_id {key}, ids array<{key}>, distances array<double>")
 
 
+def _best_answers(foreign: DataFrame, bounded: DataFrame, k: int, answer_rows: int) -> DataFrame:
+    """The answers of other groups, cut to the k nearest of each row where a group gets very many of them.
+
+    Points that nothing prunes ask every group, so what a group gets back grows with all rows. It is
+    merged in parts of bounded size first; what the group's own task holds is then k a row.
+    """
+    got = bounded.groupBy("group").agg(F.sum(F.size("reach")).alias("answers"))
+    if got.where(F.col("answers") > answer_rows).isEmpty():
+        return foreign
+    sized = durable(got.select(F.col("group").alias("home"), parts_of(F.col("answers"), answer_rows).alias("parts")), "answer-parts")
+
+    def best(rows: pa.Table) -> pa.Table:
+        keys = rows["row_id"].combine_chunks()
+        some, ids = keys.unique(), pa.compute.list_flatten(rows["ids"]).combine_chunks()
+        owner = pa.compute.index_in(keys, value_set=some).to_numpy()
+        row = np.repeat(owner, pa.compute.list_value_length(rows["ids"]).to_numpy())
+        back = pa.compute.sort_indices(ids).to_numpy()
+        order = np.empty(len(ids), np.int64)
+        order[back] = np.arange(len(ids))
+        row, rank, distance = _nearest_of(row, order, pa.compute.list_flatten(rows["distances"]).to_numpy(), k)
+        return pa.table({
+            "home": rows["home"].slice(0, 1).take(pa.array(np.zeros(len(some), np.int64))), "row_id": some,
+            "ids": _lists(ids.take(pa.array(back[rank])), row, len(some)), "distances": _lists(pa.array(distance), row, len(some))})
+
+    parted = foreign.join(F.broadcast(sized), "home").withColumn("part", part_of(F.col("parts"))).drop("parts")
+    return parted.groupBy("home", "part").applyInArrow(best, _simple_schema(foreign, *foreign.columns))
+
+
 def clusters(points: np.ndarray, size: int) -> list[np.ndarray]:
     """Places of the points in sets of at most ``size`` that lie together."""
     pending, done = [np.arange(len(points))], []
@@ -391,6 +421,7 @@ def clusters(points: np.ndarray, size: int) -> list[np.ndarray]:
 def neighbor_lists(
     df: DataFrame, columns: Sequence[str], k: int, leaf_rows: int = LEAF_ROWS, fan: int = FAN,
     top_cells: int = SHARED_RANGES, query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS,
+    answer_rows: int = ANSWER_ROWS,
 ) -> DataFrame:
     """(row_id, group, ids, distances, outer) of each row, written: its k nearest others, by (distance, key).
 
@@ -401,7 +432,7 @@ def neighbor_lists(
     key = df.schema["row_id"].dataType.simpleString()
     tree = build_tree(df, columns, leaf_rows, fan, candidate_rows)
     bounded = _with_reach(tree, k, top_cells, query_rows)
-    foreign = _from_outside(bounded, columns, k, query_rows)
+    foreign = _best_answers(_from_outside(bounded, columns, k, query_rows), bounded, k, answer_rows)
 
     def merged(rows: pa.Table, others: pa.Table) -> pa.Table:
         rows = _by_key(rows)

@@ -7,7 +7,7 @@ import pytest
 from logwarden.operators.durable import durable
 from logwarden.operators.lof import exact_lof
 from logwarden.operators.neighbors import (
-    _with_reach, first_bounds, first_copies, grouped, nearest_neighbors, neighbor_lists, own_bounds)
+    _best_answers, _from_outside, _with_reach, first_bounds, first_copies, grouped, nearest_neighbors, neighbor_lists, own_bounds)
 from logwarden.operators.range_tree import UNEVEN, build_tree, visited_cells
 from logwarden.plans.catalog import _ready
 from logwarden.plans.pipeline import model_inputs
@@ -138,3 +138,20 @@ def test_leaves_cut_again_stay_in_the_group_of_the_cell_above(spark):
     points = grouped(tree).toPandas()
     assert 1500 <= UNEVEN * leaf_rows * fan and points.parent.nunique() > 1
     assert points["group"].nunique() == 1
+
+
+def test_answers_of_many_groups_are_cut_before_they_meet(spark):
+    """Points that nothing prunes ask every group; the answers are merged in parts, one row for each of them."""
+    columns, k = [f"x{i}" for i in range(12)], 5
+    rng = np.random.default_rng(3)
+    frame = spark.createDataFrame(pd.DataFrame(rng.normal(size=(400, 12)), columns=columns).assign(row_id=np.arange(400)))
+    tree = build_tree(frame, columns, leaf_rows=8, fan=4)
+    bounded = _with_reach(tree, k, 4096, 64)
+    foreign = durable(_from_outside(bounded, columns, k, 64), "foreign")
+    cut = _best_answers(foreign, bounded, k, 50).toPandas()
+    whole = foreign.toPandas()
+    assert len(whole) > 2 * len(cut) and cut.row_id.is_unique and set(cut.row_id) == set(whole.row_id)
+    assert cut.ids.map(len).max() <= k and set(zip(cut.home, cut.row_id)) == set(zip(whole.home, whole.row_id))
+    by_row = [{r.row_id: (r.ids, r.distances, r.outer) for r in neighbor_lists(
+        frame, columns, k, leaf_rows=8, fan=4, answer_rows=rows).collect()} for rows in (50, 10**6)]
+    assert by_row[0] == by_row[1] and len(by_row[0]) == 400
