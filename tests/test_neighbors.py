@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from logwarden.operators import neighbors, range_tree
 from logwarden.operators.durable import durable
 from logwarden.operators.lof import exact_lof
 from logwarden.operators.neighbors import (
@@ -155,3 +156,56 @@ def test_answers_of_many_groups_are_cut_before_they_meet(spark):
     by_row = [{r.row_id: (r.ids, r.distances, r.outer) for r in neighbor_lists(
         frame, columns, k, leaf_rows=8, fan=4, answer_rows=rows).collect()} for rows in (50, 10**6)]
     assert by_row[0] == by_row[1] and len(by_row[0]) == 400
+
+
+def plans_of(monkeypatch, module) -> dict[str, list[str]]:
+    """Plans of what the module writes, by label."""
+    plans = {}
+
+    def kept(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return durable(df, label)
+
+    monkeypatch.setattr(module, "durable", kept)
+    return plans
+
+
+def test_root_is_not_paired_with_the_points_by_every_task(spark, monkeypatch):
+    plans = plans_of(monkeypatch, range_tree)
+    build_tree(spark.createDataFrame(clustered(4, 30)), ["a", "b", "c"], leaf_rows=10, fan=4)
+    assert plans["tree-cells"] and not any("CartesianProduct" in plan for plan in plans["tree-cells"])
+
+
+def test_groups_are_not_joined_to_tasks_by_their_bytes(spark, monkeypatch):
+    plans = plans_of(monkeypatch, neighbors)
+    neighbor_lists(spark.createDataFrame(clustered(5, 5)), ["a", "b", "c"], 4, leaf_rows=8, fan=2)
+    assert "REPARTITION_BY_NUM" in plans["bounded"][0] and plans["neighbors"][0].count("REPARTITION_BY_NUM") >= 2
+
+
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-3, 50.0), (1e6, 1e9), (1e25, 0.0)])
+def test_distances_are_exact_whatever_the_singles_blur(scale, shift):
+    rng, k = np.random.default_rng(6), 5
+    near, far = rng.normal(size=(80, 3)), rng.normal(loc=300, size=(20, 3))
+    points = np.vstack([near, far, np.full((6, 3), 7.0)]) * scale + shift
+    apart = np.round(np.sqrt(((points[:, None] - points) ** 2).sum(axis=2)), 9)
+    np.fill_diagonal(apart, np.inf)
+    assert np.array_equal(first_bounds(points, np.arange(len(points)) // 20, k), np.sort(apart, axis=1)[:, k - 1])
+
+
+def test_singles_bound_the_kth_distance(monkeypatch):
+    """The bound holds in singles as in doubles, and is hardly above the distance."""
+    points, k = np.random.default_rng(7).normal(size=(300, 10)), 20
+    held, own = neighbors.Centred(points), np.arange(len(points))
+    assert held.squared(points, True)[0].dtype == np.float32
+    apart = np.sqrt(((points[:, None] - points) ** 2).sum(axis=2))
+    np.fill_diagonal(apart, np.inf)
+    kth = np.sort(apart, axis=1)[:, k - 1]
+    for blur in (neighbors.BLUR, 0.0):
+        monkeypatch.setattr(neighbors, "BLUR", blur)
+        bound = neighbors.kth_at_most(points, own, held, k)
+        assert (bound >= kth).all() and (bound <= kth * 1.01).all()
+
+
+def test_zeros_of_either_sign_are_copies(spark):
+    rows = spark.createDataFrame([(i, 0.0 if i % 2 else -0.0, 1.0) for i in range(8)], "row_id long, a double, b double")
+    assert [r.row_id for r in first_copies(rows, ["a", "b"], 3).orderBy("row_id").collect()] == [0, 1, 2]
