@@ -517,9 +517,11 @@ def nearest_neighbors(
     lists = neighbor_lists(
         durable(first_copies(df, columns, k + 1), "points"), columns, k, leaf_rows, fan, top_cells, query_rows, candidate_rows)
     lists = lists.select("row_id", "ids", "distances")
-    # a further copy has the neighbours of the last copy that is searched
-    further = numbered.where(F.col("_copy") > k + 1).drop("_copy")
-    last = numbered.where(F.col("_copy") == k + 1).drop("_copy").withColumnsRenamed(
+    # A further copy has the neighbours of the last copy that is searched. Written, because in one plan with the
+    # hash of all columns each column that is renamed doubles what the optimizer infers about that hash.
+    beyond = durable(numbered.where(F.col("_copy") > k), "copies")
+    further = beyond.where(F.col("_copy") > k + 1).drop("_copy")
+    last = beyond.where(F.col("_copy") == k + 1).drop("_copy").withColumnsRenamed(
         {"row_id": "_last", **{c: f"_{c}" for c in columns}})
     same = [F.col(c) == F.col(f"_{c}") for c in columns]
     copies = further.join(last, same).select(F.col("row_id").alias("_copy"), F.col("_last").alias("row_id")).join(

@@ -55,6 +55,21 @@ def test_exact_factor_with_many_copies(spark):
     assert got == pytest.approx(brute_lof(rows.sort_values("row_id")[["a", "b", "c"]].to_numpy(), 20))
 
 
+def test_copies_of_points_with_many_columns(spark):
+    rng = np.random.default_rng(3)
+    points, k = np.vstack([rng.normal(size=(6, 40)), np.full((9, 40), 2.0)]), 4
+    names = [f"x{i}" for i in range(40)]
+    rows = spark.createDataFrame(pd.DataFrame(points, columns=names).assign(row_id=range(15)))
+    found = nearest_neighbors(rows, names, k)
+    # renamed columns under a hash of them all double what the optimizer infers, each one anew
+    assert "xxhash64" not in found._jdf.queryExecution().analyzed().toString()
+    got = found.toPandas().sort_values(["row_id", "rank"]).groupby("row_id").neighbor_id.apply(list)
+    for own in range(15):
+        distance = np.round(np.sqrt(((points - points[own]) ** 2).sum(axis=1)), 9)
+        expected = sorted((d, i) for i, d in enumerate(distance) if i != own)[:k]
+        assert got[own] == [i for _, i in expected]
+
+
 def visits_per_row(spark, sf):
     scaled, names = model_inputs(_ready(spark, f"/root/testdata/{sf}"))
     points = durable(first_copies(scaled, names, 21), "points")
