@@ -224,3 +224,35 @@ def test_singles_bound_the_kth_distance(monkeypatch):
 def test_zeros_of_either_sign_are_copies(spark):
     rows = spark.createDataFrame([(i, 0.0 if i % 2 else -0.0, 1.0) for i in range(8)], "row_id long, a double, b double")
     assert [r.row_id for r in first_copies(rows, ["a", "b"], 3).orderBy("row_id").collect()] == [0, 1, 2]
+
+
+def test_a_cell_is_compared_with_the_rows_that_reach_it_alone(monkeypatch):
+    """Rows of a cell that reach far to different sides do not look at each other's cells."""
+    rng, compared = np.random.default_rng(9), []
+    points = np.vstack([rng.normal(size=(1900, 6)), rng.normal(scale=4.0, size=(100, 6))])
+    cell = np.zeros(2000, np.int64)
+    for number, rows in enumerate(neighbors.clusters(points, 64)):
+        cell[rows] = number
+    squared = neighbors.Centred.squared
+    monkeypatch.setattr(neighbors.Centred, "squared", lambda self, asking, single: (
+        compared.append(len(asking) * (self.factors.shape[1])), squared(self, asking, single))[1])
+    bound = first_bounds(points, cell, 10)
+    apart = np.round(np.sqrt(((points[:, None] - points) ** 2).sum(axis=2)), 9)
+    np.fill_diagonal(apart, np.inf)
+    assert np.array_equal(bound, np.sort(apart, axis=1)[:, 9])
+    assert sum(compared) < 0.9 * 2000 * 2000
+
+
+def test_loose_bounds_are_cut_on_the_way(monkeypatch):
+    """Very many rows within a bound are cut to the k nearest before more are looked at, with ties by key."""
+    monkeypatch.setattr(neighbors, "FOUND_ROWS", 500)
+    points, k = np.random.default_rng(10).integers(0, 4, size=(400, 3)).astype(float), 6
+    block, own = neighbors.Block(points, np.arange(400) // 30), np.arange(400)
+    apart = np.round(np.sqrt(((points[:, None] - points) ** 2).sum(axis=2)), 9)
+    np.fill_diagonal(apart, np.inf)
+    for bound in (np.full(400, np.inf), np.full(400, 3.0)):
+        row, place, distance = neighbors.within(points, own, bound, block, k, block.members)
+        for i in range(400):
+            nearest = np.lexsort((own, apart[i]))[:k]
+            nearest = nearest[apart[i][nearest] <= bound[i]]
+            assert place[row == i].tolist() == nearest.tolist() and (distance[row == i] == apart[i][nearest]).all()
