@@ -175,3 +175,22 @@ def test_alerts_are_sorted_and_reported(spark, scored):
     assert {r.detector for r in reports.detector_comparison(frame).collect()} == {
         "Isolation Forest", "Local Outlier Factor", "Z-Score Baseline", "Composite (Combined)"}
     assert reports.overview_kpis(frame.limit(0)).first().anomaly_rate_pct == 0.0
+
+
+def test_only_wanted_columns_of_the_log_go_through_the_scoring(spark, sf, monkeypatch):
+    """With the columns named that are wanted, texts that only the features read are not written with them."""
+    from logwarden.plans import catalog, pipeline
+    from logwarden.sources.driver_tables import access_log
+
+    written = {}
+    for module in (catalog, pipeline):
+        monkeypatch.setattr(module, "durable", lambda df, label: written.setdefault(label, df.columns) and durable(df, label))
+    catalog._ready(spark, sf)
+    assert written.pop("features") == ["row_id", *V.FEATURE_COLUMNS]
+    log = access_log(spark, sf, "burst").where("row_id < 300")
+    narrow = pipeline.score_logs(log, keep=["attack_type"])
+    assert set(written.pop("features")) == {"row_id", "is_bot", "attack_type", *V.FEATURE_COLUMNS}
+    wide = pipeline.score_logs(log)
+    assert {"url", "user_agent"} <= set(wide.columns) and not {"url", "user_agent"} & set(narrow.columns)
+    shared = sorted(narrow.columns)
+    assert sorted(map(tuple, narrow.select(shared).collect())) == sorted(map(tuple, wide.select(shared).collect()))

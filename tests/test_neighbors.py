@@ -256,3 +256,17 @@ def test_loose_bounds_are_cut_on_the_way(monkeypatch):
             nearest = np.lexsort((own, apart[i]))[:k]
             nearest = nearest[apart[i][nearest] <= bound[i]]
             assert place[row == i].tolist() == nearest.tolist() and (distance[row == i] == apart[i][nearest]).all()
+
+
+def test_rows_follow_cuts_that_every_task_has(spark, monkeypatch):
+    """The rows of few cells are not exchanged to meet their cuts; the tree is the one that grouping gives."""
+    frame, trees = spark.createDataFrame(clustered(11, 40)), []
+    for held in (range_tree.HELD_CUTS, 0):
+        monkeypatch.setattr(range_tree, "HELD_CUTS", held)
+        with monkeypatch.context() as patch:
+            plans = plans_of(patch, range_tree)
+            tree = build_tree(frame, ["a", "b", "c"], leaf_rows=10, fan=4)
+        assert all(("CoGroup" in plan) == (held == 0) for plan in plans["tree-cells"])
+        trees.append(sorted(map(tuple, tree.points.select("row_id", "a", "b", "c", "cell", "parent", "alone").collect())))
+        assert len(tree.levels) >= 2
+    assert trees[0] == trees[1] and len(trees[0]) == len(clustered(11, 40))
